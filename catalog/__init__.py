@@ -1,6 +1,6 @@
 """Registered queries: every operator over the provided tables, with the SQL that checks it."""
 
-from catalog import review_queries  # noqa: F401
+from catalog import column_queries, pool_queries, review_queries, score_queries  # noqa: F401
 from catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -160,7 +160,7 @@ def precision_recall(outcomes: DataFrame, targets: Sequence[str], *, decided: st
 def confusion(predictions: DataFrame, classes: Sequence[str]) -> DataFrame:
     """Truth × guess counts with every class in place, and the share of right ones per row."""
     known = predictions.filter(F.col("truth").isin(*classes) & F.col("guess").isin(*classes))
-    table = known.groupBy(F.col("truth").alias("name")).pivot("guess", list(classes)).agg(F.count("*"))
+    table = known.groupBy(F.col("truth").alias("name")).pivot("guess", list(classes)).agg(F.count(F.lit(1)))
     table = _listed(predictions, classes).join(table, "name", "left").fillna(0)
     total = sum((F.col(c) for c in classes[1:]), F.col(classes[0]))
     table = table.withColumnRenamed("name", "truth")

@@ -90,7 +90,7 @@ def with_human_part(df: DataFrame, name: str) -> DataFrame:
 
 def tally(df: DataFrame, stratum: Sequence[str], parts: Sequence[str]) -> DataFrame:
     """Members of every stratum in every part."""
-    return df.groupBy(*stratum).pivot("split", list(parts)).agg(F.count("*")).fillna(0, subset=list(parts))
+    return df.groupBy(*stratum).pivot("split", list(parts)).agg(F.count(F.lit(1))).fillna(0, subset=list(parts))
 
 
 def sample_groups(df: DataFrame, *, group: str, key: str, limits: Mapping[str, int], seed: int = 0) -> DataFrame:
