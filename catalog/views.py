@@ -130,6 +130,13 @@ VIEWS = {
         FROM {{documents}} d LEFT JOIN {{labels}} l ON d.doc_id = l.doc_id WHERE d.n_chars > 100""",
     "run_one_graded": "SELECT * FROM {run_one} WHERE truth <> ''",
     "run_two_graded": "SELECT * FROM {run_two} WHERE truth <> ''",
+    # every vector read as a picture of 8 x 8 pixels
+    "pixels": """
+        SELECT vec_id AS img, CAST(p % 8 AS int) AS x, CAST((p - p % 8) / 8 AS int) AS y, 8 AS width, 8 AS height,
+               CAST(greatest(0, least(255, floor(110 + 700e0 * embedding[p + 1]))) AS int) AS r,
+               CAST(greatest(0, least(255, floor(110 + 700e0 * embedding[(p + 21) % 64 + 1]))) AS int) AS g,
+               CAST(greatest(0, least(255, floor(110 + 700e0 * embedding[(p + 42) % 64 + 1]))) AS int) AS b
+        FROM (SELECT vec_id, embedding, unnest(range(64)) AS p FROM {embeddings})""",
     "claims": """
         SELECT doc_id, lang AS brand,
                CASE source WHEN 'src0' THEN 'colors_only' WHEN 'src1' THEN 'logo_only' WHEN 'src2' THEN 'logo_only'
@@ -139,6 +146,12 @@ VIEWS = {
 }
 
 SPARK_VIEWS = {
+    "pixels": """
+        SELECT vec_id AS img, CAST(p % 8 AS int) AS x, CAST((p - p % 8) / 8 AS int) AS y, 8 AS width, 8 AS height,
+               CAST(greatest(0, least(255, floor(110 + 700e0 * embedding[p]))) AS int) AS r,
+               CAST(greatest(0, least(255, floor(110 + 700e0 * embedding[(p + 21) % 64]))) AS int) AS g,
+               CAST(greatest(0, least(255, floor(110 + 700e0 * embedding[(p + 42) % 64]))) AS int) AS b
+        FROM (SELECT vec_id, embedding, explode(sequence(0, 63)) AS p FROM {embeddings})""",
     "recordings": """
         SELECT user_id AS recording, event_id, CAST(event_id AS string) AS file,
                timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(ts AS timestamp_ntz)) / 1e6
