@@ -38,9 +38,13 @@ def label_line(cx: Column, cy: Column, w: Column, h: Column, class_id: int = 0)
 
 
 def stem(file: Column) -> Column:
-    """File name without folder and last suffix."""
-    name = F.element_at(F.split(file, "/"), -1)
-    return F.regexp_replace(name, r"(?<=.)\.[^.]*$", "")
+    """File name without folder and last suffix.
+
+    Plain string functions: this runs once or more per row of every table.
+    """
+    name = F.substring_index(file, "/", -1)
+    dot = F.length(name) - F.length(F.substring_index(name, ".", -1))
+    return F.when(dot > 1, F.left(name, dot - 1)).otherwise(name)
 
 
 def crop_name(file: Column, index: Column) -> Column:

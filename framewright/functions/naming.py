@@ -27,10 +27,9 @@ def group_of(file: Column) -> Column:
 
 def video_moment(file: Column) -> dict[str, Column]:
     """Recording and seconds of a video frame; both null for a still."""
-    name = stem(file)
-    number = F.nullif(F.regexp_extract(name, FRAME_NAME, 1), F.lit("")).cast("double")
-    seconds = F.nullif(F.regexp_extract(name, FRAME_NAME, 2), F.lit("")).cast("double")
-    seconds = F.when(seconds > 0, seconds)
+    name = F.substring_index(file, "/", -1)
+    number = F.regexp_extract(name, FRAME_NAME, 1).try_cast("double")
+    seconds = F.nullif(F.regexp_extract(name, FRAME_NAME, 2).try_cast("double"), F.lit(0.0))
     return {"recording": F.bround(number / seconds, 0).cast("long"), "seconds": seconds}
 
 

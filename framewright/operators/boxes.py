@@ -159,14 +159,12 @@ def detection_quality(
     Confidences carry four decimals, so the curve is built on at most 10,001
     levels per part and step; predictions of equal confidence form one point.
     """
-    hits = matched_detections(predictions, truths, steps=steps).withColumn("_hit", F.lit(1))
     level = F.bround("confidence", 4).alias("level")
-    shown = predictions.select("id", part, level).withColumn("step", F.explode(F.array(*[F.lit(s) for s in steps])))
-    points = (
-        shown.join(hits, ["step", "id"], "left")
-        .groupBy(part, "step", "level")
-        .agg(F.count("*").alias("n"), F.count("_hit").alias("tp"))
-    )
+    hits = matched_detections(predictions, truths, steps=steps).join(predictions.select("id", part, level), "id")
+    hits = hits.groupBy(part, "step", "level").agg(F.count("*").alias("tp"))
+    shown = predictions.groupBy(part, level).agg(F.count("*").alias("n"))
+    shown = shown.withColumn("step", F.explode(F.array(*[F.lit(s) for s in steps])))
+    points = shown.join(hits, [part, "step", "level"], "left").fillna(0, subset=["tp"])
     total = truths.groupBy(part).agg(F.count("*").alias("truths"))
     down = W.partitionBy(part, "step").orderBy(F.desc("level"))
     upto = down.rowsBetween(W.unboundedPreceding, 0)

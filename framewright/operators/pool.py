@@ -38,7 +38,7 @@ def labelled_samples(images: DataFrame, labels: DataFrame, *, negative_source: b
 
 def confident_samples(names: DataFrame, images: DataFrame, labels: DataFrame) -> DataFrame:
     """Confident frames whose image and label are really there."""
-    listed = images.select(F.element_at(F.split("path", "/"), -1).alias("file"))
+    listed = images.select(F.substring_index("path", "/", -1).alias("file"))
     return (
         names.withColumn("stem", stem(F.col("file")))
         .join(listed, "file", "left_semi")

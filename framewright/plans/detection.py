@@ -38,7 +38,7 @@ def collect(source: Source) -> DataFrame:
         joined = pool.labelled_samples(source.images, source.labels)
     return joined.join(keys, "path").select(
         "path",
-        F.element_at(F.split("path", "/"), -1).alias("file"),
+        F.substring_index("path", "/", -1).alias("file"),
         "stem",
         "text",
         F.lit(source.handmade).alias("handmade"),

@@ -37,7 +37,7 @@ def list_images(spark: SparkSession, folder: str, *, recursive: bool = False) ->
         .option("recursiveFileLookup", str(recursive).lower())
         .load(_folder(spark, folder))
     )
-    name = F.element_at(F.split("path", "/"), -1)
+    name = F.substring_index("path", "/", -1)
     return files.select(
         _plain().alias("path"),
         name.alias("file"),
