@@ -46,7 +46,8 @@ def overlap_pairs(left: DataFrame, right: DataFrame, *, iou_min: float) -> DataF
         ]
     )
     probes = measured(left).withColumn("_band", F.explode(around)).drop("_class").select("*", "_band.*").drop("_band")
-    a, b = probes.alias("a"), home.alias("b")
+    # one side grew ninefold, which size estimates do not see: it must not be broadcast
+    a, b = probes.alias("a").hint("merge"), home.alias("b")
     same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("file", "_class", "_cell")]
     measure = iou({s: F.col(f"a.{s}") for s in SIDES}, {s: F.col(f"b.{s}") for s in SIDES})
     return (

@@ -98,11 +98,35 @@ def image_pixels(images: DataFrame) -> DataFrame:
     return good.mapInPandas(spread, "img string, x int, y int, width int, height int, r int, g int, b int")
 
 
+def _label_globs(spark: SparkSession, folder: str, recursive: bool) -> list[str]:
+    """Patterns of all depths that hold label files."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    system = jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(conf)
+    found, level = [], folder.rstrip("/")
+    while system.globStatus(jvm.org.apache.hadoop.fs.Path(f"{level}/*")):
+        if system.globStatus(jvm.org.apache.hadoop.fs.Path(f"{level}/*.txt")):
+            found.append(f"{level}/*.txt")
+        if not recursive:
+            break
+        level += "/*"
+    return found
+
+
 def read_label_files(spark: SparkSession, folder: str, *, recursive: bool = True) -> DataFrame:
-    """Label files as ``path, stem, text``, sub-folders included; an empty file is an empty text."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt")
-    files = files.option("recursiveFileLookup", str(recursive).lower()).load(_folder(spark, folder))
-    return files.select(_plain().alias("path"), stem(F.col("path")).alias("stem"), F.decode("content", "UTF-8").alias("text"))
+    """Label files as ``path, stem, text``, sub-folders included.
+
+    An empty file says "nothing here" and must stay a row.  The DataFrame file
+    readers skip files of length zero, so this one reads whole text files, in
+    many splits and without leaving the JVM.
+    """
+    globs = _label_globs(spark, _folder(spark, folder), recursive)
+    if not globs:
+        return spark.createDataFrame([], "path string, stem string, text string")
+    sc, encoders = spark.sparkContext, spark._jvm.org.apache.spark.sql.Encoders
+    pairs = sc._jsc.wholeTextFiles(",".join(globs), 4 * sc.defaultParallelism)
+    rows = spark._jsparkSession.createDataset(pairs.rdd(), encoders.tuple(encoders.STRING(), encoders.STRING()))
+    files = DataFrame(rows.toDF(), spark).toDF("path", "text")
+    return files.select(_plain().alias("path"), stem(F.col("path")).alias("stem"), "text")
 
 
 def read_annotation_export(spark: SparkSession, folder: str) -> DataFrame:
