@@ -69,8 +69,8 @@ def src07_optional(d):
     missing = scratch_path(d.spark, "missing")
     answers = files.read_table(d.spark, missing, C.ANSWERS, optional=True)
     verdicts = files.read_table(d.spark, missing, C.VERDICTS, optional=True)
-    open_boxes = d.boxes.join(answers, "box_id", "left_semi").agg(F.count("*").alias("answers"))
-    return open_boxes.join(d.boxes.join(verdicts, "box_id", "left_semi").agg(F.count("*").alias("verdicts")))
+    judged = d.boxes.join(verdicts, "box_id", "left_semi").agg(F.count("*"))
+    return d.boxes.join(answers, "box_id", "left_semi").agg(F.count("*").alias("answers")).withColumn("verdicts", judged.scalar())
 
 
 @query(
@@ -126,7 +126,7 @@ def snk04(d):
 def snk05(d):
     path = scratch_path(d.spark, "fates")
     table = fates(d)
-    sinks.write_fates(table.withColumn("note", F.lit("")), review.human_queue(table), path)
+    sinks.write_fates(review.with_notes(table), review.human_queue(table), path)
     frames = files.read_table(d.spark, f"{path}/frames", C.FRAMES)
     queue = d.spark.read.option("header", True).schema("file string, status string").csv(f"{path}/queue")
     marked = frames.join(queue.select("file", F.lit(True).alias("queued")), "file", "left")
@@ -171,7 +171,7 @@ def make_sums():
 
 SUMS = inference.Extractor("sums", "1", ("s0", "s1", "s2", "s3"), make_sums, shape=(64,))
 SUMS_SQL = ", ".join(
-    f"round(list_sum(list_transform(range(16), lambda k: embedding[k * 4 + {j + 1}]::DOUBLE)), 4) AS s{j}" for j in range(4)
+    f"round(list_sum(list_transform(range(16), lambda k: embedding[k * 4 + {j + 1}]::DOUBLE))::FLOAT::DOUBLE, 4) AS s{j}" for j in range(4)
 )
 
 

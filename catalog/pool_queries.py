@@ -433,7 +433,7 @@ SHARED = """
 
 @query("ag11_photos_in_two_splits", SHARED)
 def ag11(d):
-    return audit.photos_in_two_splits(d.set_images.filter("content IS NOT NULL"))
+    return audit.photos_in_two_splits(audit.digests(d.set_images.filter("content IS NOT NULL")))
 
 
 FOUND = f"""

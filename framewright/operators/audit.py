@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from framewright import schemas as C
 from framewright.functions.geometry import MIN_AREA, stem
 from framewright.operators.review import filled_lines
+from framewright.session import pin
 
 # The ten kinds of finding.
 KINDS = (
@@ -85,9 +86,18 @@ def names_in_two_splits(images: DataFrame) -> DataFrame:
     return parts.filter(F.col("_a") != F.col("_b")).select("name")
 
 
-def photos_in_two_splits(images: DataFrame) -> DataFrame:
-    """Images whose content occurs in more than one part: one row per member, with the content digest."""
-    keyed = images.select("split", "name", F.sha1("content").alias("digest"))
+def digests(images: DataFrame) -> DataFrame:
+    """Images with the digest of their content in its place.
+
+    Pinned: the bytes are by far the largest input and are read this once.
+    """
+    others = [c for c in images.columns if c != "content"]
+    return pin(images.select(*others, F.sha1("content").alias("digest")))
+
+
+def photos_in_two_splits(keyed: DataFrame) -> DataFrame:
+    """Images whose content occurs in more than one part: one row per member (input from :func:`digests`)."""
+    keyed = keyed.select("split", "name", "digest")
     parts = keyed.groupBy("digest").agg(
         F.min("split").alias("_a"), F.max("split").alias("_b"), F.count("*").alias("members")
     )
@@ -111,16 +121,16 @@ def findings(images: DataFrame, labels: DataFrame, *, splits: Sequence[str] = C.
     ``images``: ``split, name, content`` and optionally ``readable``; a null
     content is a link that leads nowhere.  ``labels``: ``split, name, text``.
     """
-    images = images.filter(F.col("split").isin(*splits))
+    images = digests(images.filter(F.col("split").isin(*splits)))
     labels = labels.filter(F.col("split").isin(*splits))
-    present = images.filter(F.col("content").isNotNull())
+    present = images.filter(F.col("digest").isNotNull())
     source = F.concat("split", F.lit("/"), "name")
 
     wanted = images.agg(*[F.count_if(F.col("split") == s).alias(s) for s in splits])
     absent = F.array_compact(F.array(*[F.when(F.col(s) == 0, F.lit(s)) for s in splits]))
     found = wanted.select(F.lit("empty_split").alias("kind"), F.explode(absent).alias("item"))
 
-    broken = images.filter(F.col("content").isNull())
+    broken = images.filter(F.col("digest").isNull())
     lonely = unpaired(images, labels)
     dead = broken.select(F.lit("broken_link").alias("kind"), source.alias("item"))
     no_label = lonely.join(dead.select("item").withColumn("kind", F.lit("missing_label")), ["kind", "item"], "left_anti")

@@ -105,12 +105,12 @@ def number_boxes(boxes: DataFrame, order: Sequence[str], *, after: DataFrame | N
     numbered = ranked.join(starts, "file")
     number, index = F.col("_rank"), F.col("_rank") - F.col("_start")
     if after is not None:
-        top = after.agg(F.coalesce(F.max("number"), F.lit(0)).alias("_top"))
+        top = F.coalesce(after.agg(F.max("number")).scalar(), F.lit(0))
         used = after.groupBy("file").agg((F.max("index") + 1).alias("_used"))
-        numbered = numbered.join(used, "file", "left").join(F.broadcast(top))  # one row
-        number, index = number + F.col("_top"), index + F.coalesce("_used", F.lit(0))
+        numbered = numbered.join(used, "file", "left")
+        number, index = number + top, index + F.coalesce("_used", F.lit(0))
     numbered = numbered.withColumn("number", number).withColumn("index", index)
-    return numbered.drop("_rank", "_start", "_top", "_used")
+    return numbered.drop("_rank", "_start", "_used")
 
 
 def boxes_from_detections(detections: DataFrame, *, min_confidence: float = 0.25) -> DataFrame:

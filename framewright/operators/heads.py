@@ -54,7 +54,7 @@ def fit_head(
     weighted, total, _ = balanced(df, label)
     head = LogisticRegression(
         featuresCol="features", labelCol=label, weightCol="weight", family="multinomial",
-        regParam=1.0 / (c * total), elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-8,
+        regParam=1.0 / (c * total), elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-6,
     )
     return Pipeline(stages=[*block_stages(widths, weights or {}), head]).fit(weighted)
 

@@ -87,6 +87,21 @@ def every_kth(df: DataFrame, order: str, stride: int) -> DataFrame:
     return ranked.filter(F.pmod(F.col("_nth"), F.lit(stride)) == 0).drop("_nth")
 
 
+def with_notes(fates: DataFrame, *, empty_stride: int = 0, export: str | None = None) -> DataFrame:
+    """Adds why a frame got its fate."""
+    status, bare = F.col("status"), F.col("boxes_before") == 0
+    waiting = "nothing detected, skipped" if empty_stride else "nothing detected, a human looks"
+    note = (
+        F.when(status == C.FATE_DISPUTED, F.lit("disputed box, a human decides"))
+        .when(status == C.FATE_NO_BOXES, F.lit(waiting))
+        .when((status == C.FATE_NEGATIVE) & bare, F.lit("nothing detected, taken as a negative"))
+        .otherwise(F.lit(""))
+    )
+    if export is not None:
+        note = F.when(F.col("from_export"), F.lit(f"labels from {export}")).otherwise(note)
+    return fates.withColumn("note", note)
+
+
 def fate_totals(fates: DataFrame) -> DataFrame:
     """Frames and boxes per fate."""
     return fates.groupBy("status").agg(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from framewright import schemas as C
@@ -35,7 +34,7 @@ def with_truth(answers: DataFrame, truth: DataFrame) -> DataFrame:
 def answer_shares(outcomes: DataFrame, column: str = "decided") -> DataFrame:
     """Answers per value with their share of all."""
     counts = outcomes.groupBy(column).agg(F.count("*").alias("answers"))
-    return counts.withColumn("share", F.col("answers") / F.sum("answers").over(W.partitionBy()))
+    return counts.withColumn("share", F.col("answers") / outcomes.agg(F.count("*")).scalar())
 
 
 def accuracy(outcomes: DataFrame) -> DataFrame:

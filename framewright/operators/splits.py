@@ -40,14 +40,21 @@ def part_sizes(n: Column, validation: float, test: float) -> tuple[Column, Colum
 def stratified_split(
     df: DataFrame,
     *,
-    stratum: Sequence[str],
-    key: str,
+    stratum: Sequence[str | Column],
+    key: str | Column,
     validation: float = 0.15,
     test: float = 0.15,
     seed: int = 0,
 ) -> DataFrame:
-    """Adds ``split``.  Strata of fewer than three stay in train whole."""
-    ranked = shuffled_rank(df, key, groups=list(stratum), seed=seed, rank="_rank")
+    """Adds ``split``.  Strata of fewer than three stay in train whole.
+
+    Stratum and key are columns or expressions; null counts as a stratum of its own.
+    """
+    parts = [F.col(c) if isinstance(c, str) else c for c in stratum]
+    names = [f"_stratum{i}" for i in range(len(parts))]
+    filled = {n: F.coalesce(c.cast("string"), F.lit("\0")) for n, c in zip(names, parts, strict=True)}
+    keyed = df.withColumns({**filled, "_key": F.col(key) if isinstance(key, str) else key})
+    ranked = shuffled_rank(keyed, "_key", groups=names, seed=seed, rank="_rank")
     val, tst = part_sizes(F.col("_rank_of"), validation, test)
     place = F.col("_rank")
     split = (
@@ -56,7 +63,7 @@ def stratified_split(
         .when(place <= val + tst, F.lit("test"))
         .otherwise(F.lit("train"))
     )
-    return ranked.withColumn("split", split).drop("_rank", "_rank_of")
+    return ranked.withColumn("split", split).select(*df.columns, "split")
 
 
 def follow_originals(df: DataFrame) -> DataFrame:

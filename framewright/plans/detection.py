@@ -13,6 +13,7 @@ from framewright.functions.naming import group_of, video_moment
 from framewright.operators import audit, augment, boxes, pool, reports, review, scenes, splits
 from framewright.operators.inference import ask_service, detect, require_service
 from framewright.operators.ranking import ordered_rank, sample_first, sheet_cell
+from framewright.session import pin
 from framewright.sources import sinks
 
 
@@ -20,7 +21,8 @@ from framewright.sources import sinks
 class Source:
     """A named pool of frames and labels; ``labels=None`` means nothing is shown on its frames.
 
-    ``images`` has ``path, content_key``; ``labels`` has ``stem, text``.
+    ``images`` has ``path, content_key`` (see :func:`pool.content_key`; keep it
+    in a table, so that the bytes are read once); ``labels`` has ``stem, text``.
     """
 
     name: str
@@ -103,7 +105,7 @@ def handmade(
 
     ``samples`` has ``file, n_boxes``.  Validation and test lose augmented copies.
     """
-    keyed = scenes.scene_keys(samples.withColumns(video_moment(F.col("file"))), gap=gap, span=span)
+    keyed = pin(scenes.scene_keys(samples.withColumns(video_moment(F.col("file"))), gap=gap, span=span))
     table = scenes.scene_table(keyed)
     placed = splits.stratified_split(table, stratum=["group", "density"], key="scene_key", validation=validation, test=test, seed=seed)
     frames = keyed.join(placed.select("scene_key", "group", "density", "split"), "scene_key")
@@ -162,7 +164,7 @@ def sheets(settled: DataFrame, frames: DataFrame, *, columns: int = 8, rows: int
 
 def apply_verdicts(frames: DataFrame, boxes_: DataFrame, answers: DataFrame, verdicts: DataFrame, *, empty_stride: int = 0) -> dict[str, DataFrame]:
     """Review stage four: fates, clean label lines, totals, and what a human must still see."""
-    settled = review.settle_boxes(boxes_, answers, verdicts)
+    settled = pin(review.settle_boxes(boxes_, answers, verdicts))
     fates = review.frame_fates(frames, settled, empty_stride=empty_stride)
     return {
         "settled": settled,
@@ -200,7 +202,7 @@ def evaluate(predictions: DataFrame, truths: DataFrame, *, part: str = "split")
     return boxes.detection_quality(predictions, truths, part=part)
 
 
-def store_review(result: dict[str, DataFrame], path: str) -> None:
+def store_review(result: dict[str, DataFrame], path: str, *, empty_stride: int = 0) -> None:
     """Write what :func:`apply_verdicts` settled."""
-    sinks.write_fates(result["fates"].withColumn("note", F.lit("")), result["queue"], path)
+    sinks.write_fates(review.with_notes(result["fates"], empty_stride=empty_stride), result["queue"], path)
     sinks.write_label_texts(result["lines"], result["fates"].filter(~F.col("status").isin(C.FATE_DISPUTED, C.FATE_NO_BOXES)), f"{path}/labels")

@@ -58,10 +58,11 @@ def write_split(samples: DataFrame, path: str) -> None:
     """Manifest of a split, one folder per part.
 
     The whole tree is replaced, so no frame of an older build stays behind; a
-    frame without label gets an empty text.
+    frame without label gets an empty text.  Parts differ in size, so Spark
+    rebalances them into files of even size.
     """
     ready = samples.withColumn("text", F.coalesce("text", F.lit("")))
-    ready.repartition("split", F.pmod(F.xxhash64("file"), F.lit(64))).write.mode("overwrite").partitionBy("split").parquet(path)
+    ready.hint("rebalance", "split").write.mode("overwrite").partitionBy("split").parquet(path)
 
 
 def append_answers(answers: DataFrame, path: str) -> None:
