@@ -253,6 +253,26 @@ def flt08(d):
     return palette.generic_features(long).withColumn("value", F.round("value", 6))
 
 
+@query("ag26_colour_features")
+def colour_features(d):
+    named = palette.colour_features(d.pixels)
+    return named.select("img", F.size("values").alias("dims"), *[F.round(F.col("values")[i].cast("double"), 4).alias(n) for i, n in enumerate(palette.feature_names())])
+
+
+@query(
+    "prj20_shortcut_features",
+    """WITH p AS (SELECT img, x, y, width, height, round(0.299e0 * r + 0.587e0 * g + 0.114e0 * b, 0) AS v FROM {pixels}),
+            l AS (SELECT img, v, coalesce(lag(v) OVER rx, lead(v) OVER rx) AS p1, coalesce(lead(v) OVER rx, lag(v) OVER rx) AS p2,
+                         coalesce(lag(v) OVER ry, lead(v) OVER ry) AS p3, coalesce(lead(v) OVER ry, lag(v) OVER ry) AS p4 FROM p
+                  WINDOW rx AS (PARTITION BY img, y ORDER BY x), ry AS (PARTITION BY img, x ORDER BY y))
+       SELECT img, round(log10(8)::FLOAT::DOUBLE, 4) AS log_width, round(log10(64)::FLOAT::DOUBLE, 4) AS log_area,
+              round(log10(var_pop(p1 + p2 + p3 + p4 - 4 * v) + 1e-6)::FLOAT::DOUBLE, 4) AS sharpness FROM l GROUP BY img""",
+)
+def shortcut(d):
+    values = {n: F.round(F.col("values")[i].cast("double"), 4) for i, n in enumerate(palette.SHORTCUTS)}
+    return palette.shortcut_features(d.pixels).select("img", *[values[n].alias(n) for n in ("log_width", "log_area", "sharpness")])
+
+
 HEAD = {"beeline": [0.5, -0.25, 0.125, 0.75], "megafon": [-0.5, 0.5, -0.125, 0.25], "tele2": [-1.0, -1.0, -1.0, -1.0]}
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -22,9 +22,10 @@ def overlap_pairs(left: DataFrame, right: DataFrame, *, iou_min: float) -> DataF
 
     Boxes that overlap so much have widths within a factor ``1/iou_min`` and
     centres closer than ``(1 - iou_min)`` of the larger width.  So every right
-    box sits in one band (width class, cell) and a left box looks at nine bands
-    around its own.  Only neighbours are compared, also in a very full file, and
-    no qualifying pair is missed.  Both sides need ``id, file, cx, cy, w, h``.
+    box sits in one band (width class, cell), and a left box looks into the
+    cells within reach in its own class and the two beside it, about five in
+    all.  Only neighbours are compared, also in a very full file, and no
+    qualifying pair is missed.  Both sides need ``id, file, cx, cy, w, h``.
     """
     floor = iou_min * 0.999
     ratio = 1.0 / floor
@@ -33,20 +34,18 @@ def overlap_pairs(left: DataFrame, right: DataFrame, *, iou_min: float) -> DataF
         solid = df.select("id", "file", *SIDES).filter((F.col("w") > 0) & (F.col("h") > 0))
         return solid.withColumn("_class", F.floor(F.log("w") / F.lit(math.log(ratio))))
 
-    def cell(width_class):
-        step = F.pow(F.lit(ratio), width_class + 2) * F.lit(1.0 - floor)
-        return F.floor(F.col("cx") / step)
-
-    home = measured(right).withColumn("_cell", cell(F.col("_class")))
-    around = F.array(
-        *[
-            F.struct((F.col("_class") + dk).alias("_class"), (cell(F.col("_class") + dk) + dc).alias("_cell"))
-            for dk in (-1, 0, 1)
-            for dc in (-1, 0, 1)
-        ]
-    )
-    probes = measured(left).withColumn("_band", F.explode(around)).drop("_class").select("*", "_band.*").drop("_band")
-    # one side grew ninefold, which size estimates do not see: it must not be broadcast
+    def widest(width_class: Column) -> Column:
+        return F.pow(F.lit(ratio), width_class + 1)
+
+    def cell(at: Column) -> Column:
+        return F.floor(at / (F.col("_widest") * F.lit(4.0 * (1.0 - floor))))
+
+    home = measured(right).withColumn("_widest", widest(F.col("_class"))).withColumn("_cell", cell(F.col("cx")))
+    beside = F.explode(F.array(*[F.col("_class") + step for step in (-1, 0, 1)]))
+    probes = measured(left).withColumn("_class", beside).withColumn("_widest", widest(F.col("_class")))
+    reach = F.greatest("w", "_widest") * F.lit(1.0 - floor)
+    probes = probes.withColumn("_cell", F.explode(F.sequence(cell(F.col("cx") - reach), cell(F.col("cx") + reach))))
+    # one side grew about fivefold, which size estimates do not see: it must not be broadcast
     a, b = probes.alias("a").hint("merge"), home.alias("b")
     same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("file", "_class", "_cell")]
     measure = iou({s: F.col(f"a.{s}") for s in SIDES}, {s: F.col(f"b.{s}") for s in SIDES})

@@ -15,6 +15,7 @@ from framewright.functions.chance import shuffle_key
 from framewright.session import pin
 
 MAX_PIVOTS = 1024
+ROWS_PER_TASK = 50_000
 
 
 def _unit(vectors) -> np.ndarray:
@@ -22,6 +23,12 @@ def _unit(vectors) -> np.ndarray:
     return matrix / (np.linalg.norm(matrix, axis=1, keepdims=True) + 1e-12)
 
 
+def _spread(vectors: DataFrame, rows: int) -> DataFrame:
+    """Vectors in partitions small enough for the Python work per row that follows."""
+    tasks = max(vectors.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_PER_TASK))
+    return pin(vectors.repartition(tasks, "id"))
+
+
 def _pivots(vectors: DataFrame, seed: int) -> tuple[list, np.ndarray]:
     """A bounded random set of vectors: at most ``MAX_PIVOTS`` rows reach the driver."""
     wanted = min(MAX_PIVOTS, max(8, math.isqrt(vectors.count())))
@@ -141,8 +148,9 @@ def _forest(a: np.ndarray, b: np.ndarray, hit: np.ndarray) -> pd.DataFrame:
 
 def similar_pairs(vectors: DataFrame, *, threshold: float = 0.97, block: int = 2048, seed: int = 0) -> DataFrame:
     """All pairs ``id_a < id_b`` of vectors (``id, vector``) with cosine of at least ``threshold``; exact."""
-    _, matrix = _pivots(vectors.select("id", "vector"), seed)
-    placed = _placed(vectors.select("id", "vector"), matrix, threshold)
+    spread = _spread(vectors.select("id", "vector"), vectors.count())
+    _, matrix = _pivots(spread, seed)
+    placed = _placed(spread, matrix, threshold)
     return _compare(_blocks(placed, (("home_far", "any"), ("home_near", "any")), block), threshold, forest=False)
 
 
@@ -156,7 +164,7 @@ def duplicate_groups(vectors: DataFrame, *, threshold: float = 0.97, block: int
     vectors = vectors.select("id", "vector")
     firsts = vectors.groupBy("vector").agg(F.min("id").alias("id"))
     copies = vectors.join(firsts.withColumnRenamed("id", "first"), "vector").filter(F.col("id") != F.col("first"))
-    distinct = pin(firsts.select("id", "vector"))
+    distinct = _spread(firsts.select("id", "vector"), vectors.count())
     names, matrix = _pivots(distinct, seed)
     placed = _placed(distinct, matrix, threshold)
     pivot = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("cell") + 1)
@@ -189,7 +197,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     hung = both.filter(F.col("v") > F.col("u")).join(least, "u")
-    return hung.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
+    return hung.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from framewright.functions import colour as K
 from framewright.functions.colour import lab
+from framewright.functions.geometry import size_features
+from framewright.session import pin
 
 NAMES = tuple(K.ANCHORS)
 BALANCE_POWER = 6
@@ -196,8 +198,11 @@ def sharpness(grey: DataFrame) -> DataFrame:
     return laplace.groupBy("img").agg(F.log10(F.var_pop("_l") + 1e-6).alias("sharpness"))
 
 
-def white_balance(pixels: DataFrame, *, power: int = BALANCE_POWER) -> DataFrame:
-    """Even out the colour of the light: channels scaled to a common power mean, clipped to 0–255."""
+def white_balance(pixels: DataFrame, *, power: int = BALANCE_POWER, whole: bool = False) -> DataFrame:
+    """Even out the colour of the light: channels scaled to a common power mean, clipped to 0–255.
+
+    ``whole`` cuts the result to whole numbers, as an 8-bit image holds them.
+    """
     channels = ("r", "g", "b")
     light = pixels.groupBy("img").agg(
         *[F.pow(F.avg(F.pow(F.col(c) + 1.0, F.lit(power))), F.lit(1.0 / power)).alias(f"_{c}") for c in channels]
@@ -207,7 +212,8 @@ def white_balance(pixels: DataFrame, *, power: int = BALANCE_POWER) -> DataFrame
     scaled = [
         F.greatest(F.lit(0.0), F.least(F.lit(255.0), (F.col(c) + 1.0) * mean / F.col(f"_{c}"))).alias(c) for c in channels
     ]
-    return pixels.join(light, "img").select(*keep, *scaled)
+    balanced = pixels.join(light, "img").select(*keep, *scaled)
+    return balanced.withColumns({c: F.floor(c).cast("int") for c in channels}) if whole else balanced
 
 
 def stretch_lightness(points: DataFrame) -> DataFrame:
@@ -219,6 +225,65 @@ def stretch_lightness(points: DataFrame) -> DataFrame:
     return joined.withColumn("L", F.when(high - low < 1.0, F.col("L")).otherwise(wide)).drop("_p")
 
 
+STATISTICS = ("achromatic", "lightness_median", "lightness_spread", "chroma", "colorfulness", "palette_entropy")
+BRAND_MEASURES = ("coverage", "coverage_peak", "balance", "similarity", "score")
+SHORTCUTS = ("log_width", "log_height", "aspect", "log_area", "sharpness")
+
+
+def feature_names() -> tuple[str, ...]:
+    """Names of the colour features, in the order of their vector."""
+    return (
+        *[f"share_{c}" for c in NAMES],
+        *[f"peak_{c}" for c in NAMES],
+        *STATISTICS,
+        *[f"{brand}_{m}" for brand in K.PROTOTYPES for m in BRAND_MEASURES],
+        *[f"{brand}_adjacency_{grid}" for brand in K.PAIRS for grid in ("coarse", "fine")],
+    )
+
+
+def _sideways(long: DataFrame, brands, measures: dict[str, str]) -> DataFrame:
+    """One row per image from one row per image and brand."""
+    picks = [
+        F.max(F.when(F.col("brand") == brand, F.col(column))).alias(f"{brand}_{name}")
+        for brand in brands
+        for column, name in measures.items()
+    ]
+    return long.groupBy("img").agg(*picks)
+
+
+def colour_features(pixels: DataFrame) -> DataFrame:
+    """All colour features of every image: ``img, values`` in the order of :func:`feature_names`.
+
+    Pixels are weighed once; every further table has a few rows per image, and
+    all of them meet on ``img``.
+    """
+    plain = to_lab(white_balance(pixels, whole=True))
+    fine = pin(cell_sums(membership(stretch_lightness(plain))))
+    coarse = coarser(fine)
+    shares = shares_and_peaks(coarse)
+    tables = [
+        image_statistics(plain),
+        colourfulness(pixels),
+        palette_entropy(shares),
+        _sideways(brand_metrics(coarse), K.PROTOTYPES, {m: m for m in BRAND_MEASURES}),
+        _sideways(adjacency(coarse, grid=K.COARSE_GRID), K.PAIRS, {"adjacency": "adjacency_coarse"}),
+        _sideways(adjacency(fine, grid=K.FINE_GRID), K.PAIRS, {"adjacency": "adjacency_fine"}),
+    ]
+    for table in tables:
+        shares = shares.join(table, "img")
+    return shares.select("img", F.array(*[F.col(n).cast("float") for n in feature_names()]).alias("values"))
+
+
+def shortcut_features(pixels: DataFrame) -> DataFrame:
+    """What gives away the source of a picture: size, aspect and sharpness, in the order of ``SHORTCUTS``."""
+    grey = F.round(0.299 * F.col("r") + 0.587 * F.col("g") + 0.114 * F.col("b"), 0).alias("v")
+    sharp = sharpness(pixels.select("img", "x", "y", grey))
+    sizes = pixels.groupBy("img").agg(F.max("width").alias("width"), F.max("height").alias("height"))
+    parts = size_features(F.col("width"), F.col("height"))
+    named = sizes.select("img", *[v.alias(k) for k, v in parts.items()]).join(sharp, "img")
+    return named.select("img", F.array(*[F.col(n).cast("float") for n in SHORTCUTS]).alias("values"))
+
+
 def attribution(cells: DataFrame, weights: dict[str, list[float]]) -> DataFrame:
     """Contribution of every grid cell to every class, scaled to 0–1 per image and class.
 

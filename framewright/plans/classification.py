@@ -74,6 +74,26 @@ def ablate(
     }
 
 
+def standard_arms(samples: DataFrame, dims: Mapping[str, Sequence[str]]) -> tuple[DataFrame, dict[str, dict[str, int]]]:
+    """Samples with a brand-free colour block, and the arms that tell the blocks apart.
+
+    ``dims`` names the dimensions of ``visual``, ``color`` and, if there, ``shortcut``.
+    """
+    rows = heads.generic_only(samples.withColumn("color_generic", F.col("color")), "color_generic", dims["color"])
+    generic = sum(d.startswith(heads.GENERIC_PREFIXES) for d in dims["color"])
+    visual, color, plain = {"visual": len(dims["visual"])}, {"color": len(dims["color"])}, {"color_generic": generic}
+    arms = {
+        "visual": visual,
+        "color": color,
+        "visual+color": visual | color,
+        "color, no brands": plain,
+        "visual+color, no brands": visual | plain,
+    }
+    if "shortcut" in dims:
+        arms["shortcut"] = {"shortcut": len(dims["shortcut"])}
+    return rows, arms
+
+
 def answer(
     frames: DataFrame, truth: DataFrame, make_client: Callable, column: str, *, probe: Callable[[], bool] | None = None,
     limit: int = 0, accept_logo: bool = False, sessions: int = 8,

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from framewright.functions import colour as K
 from framewright.operators import nearest, palette
-from framewright.plans import detection  # noqa: F401
 
 
 def _vectors(seed, n=150, d=8, copies=60):
@@ -160,3 +159,68 @@ def test_attribution_is_bounded_and_zero_maps_stay_zero(frame):
 def test_generic_features_know_no_brand(frame):
     df = frame([(1, n, 0.0) for n in ("share_red", "peak_red", "chroma", "palette_entropy", "beeline_score", "lightness_median")], "img int, name string, value double")
     assert {r["name"] for r in palette.generic_features(df).collect()} == {"share_red", "peak_red", "chroma", "palette_entropy", "lightness_median"}
+
+
+def _by_hand(pixels):
+    """Colour features of one image, step by step."""
+    side = pixels.shape[0]
+    data = pixels.astype(float) + 1.0
+    light = np.power(np.power(data, 6).mean(axis=(0, 1)), 1 / 6)
+    even = np.floor(np.clip(data * (light.mean() / light), 0, 255)).astype(int)
+    plain = np.array([[_lab(tuple(int(c) for c in even[y, x])) for x in range(side)] for y in range(side)])
+    low, high = np.percentile(plain[..., 0], (2, 98))
+    wide = plain.copy()
+    if high - low >= 1:
+        wide[..., 0] = np.clip((plain[..., 0] - low) / (high - low) * 90 + 5, 0, 100)
+    anchors = np.array([_lab(rgb) for rgb in K.ANCHORS.values()])
+    weight = np.exp(-(np.linalg.norm(wide[:, :, None, :] - anchors, axis=3) / K.KERNEL_SIGMA) ** 2)
+    weight /= weight.sum(axis=2, keepdims=True) + 1e-9
+    pooled = lambda g: weight.reshape(g, side // g, g, side // g, -1).mean(axis=(1, 3)).reshape(g * g, -1)
+    shares, coarse = weight.mean(axis=(0, 1)), pooled(4)
+    peaks, chroma = coarse.max(axis=0), np.linalg.norm(plain[..., 1:], axis=2)
+    red, green, blue = (pixels[..., i].astype(float) for i in range(3))
+    rg, yb = red - green, 0.5 * (red + green) - blue
+    out = dict(zip([f"share_{n}" for n in palette.NAMES], shares)) | dict(zip([f"peak_{n}" for n in palette.NAMES], peaks))
+    out["achromatic"] = (chroma < 12).mean()
+    out["lightness_median"], out["lightness_spread"] = np.median(plain[..., 0]) / 100, plain[..., 0].std() / 100
+    out["chroma"] = chroma.mean() / 100
+    out["colorfulness"] = (math.hypot(rg.std(), yb.std()) + 0.3 * math.hypot(rg.mean(), yb.mean())) / 100
+    out["palette_entropy"] = -(shares * np.log(shares + 1e-9)).sum() / math.log(len(shares))
+    at = {n: i for i, n in enumerate(palette.NAMES)}
+    for brand, proto in K.PROTOTYPES.items():
+        cols = [at[n] for n in proto]
+        target = np.zeros(len(at))
+        target[cols] = list(proto.values())
+        out[f"{brand}_coverage"], out[f"{brand}_coverage_peak"] = shares[cols].sum(), coarse[:, cols].sum(axis=1).max()
+        out[f"{brand}_balance"] = np.exp(np.log(peaks[[at[n] for n in K.REQUIRED[brand]]] + 1e-6).mean())
+        out[f"{brand}_similarity"] = shares @ target / (np.linalg.norm(shares) * np.linalg.norm(target) + 1e-9)
+        out[f"{brand}_score"] = np.cbrt(out[f"{brand}_coverage_peak"] * out[f"{brand}_balance"] * out[f"{brand}_similarity"])
+    for brand, pairs in K.PAIRS.items():
+        for name, grid in (("coarse", 4), ("fine", 8)):
+            top = pooled(grid).argmax(axis=1).reshape(grid, grid)
+            edges = [(top[y, x], top[y, x + 1]) for y in range(grid) for x in range(grid - 1)]
+            edges += [(top[y, x], top[y + 1, x]) for y in range(grid - 1) for x in range(grid)]
+            out[f"{brand}_adjacency_{name}"] = max(sum({a, b} == {at[p], at[q]} for a, b in edges) / len(edges) for p, q in pairs)
+    return [out[n] for n in palette.feature_names()]
+
+
+def test_colour_features_equal_the_steps_by_hand(frame):
+    rng = np.random.default_rng(5)
+    colours = np.array(list(K.ANCHORS.values()))
+    images = {}
+    for img in (1, 2):
+        blocks = colours[rng.integers(0, len(colours), size=(8, 8))].repeat(2, axis=0).repeat(2, axis=1)
+        images[img] = np.clip(blocks + rng.integers(-15, 15, size=blocks.shape), 0, 255)
+    rows = [(i, x, y, 16, 16, *map(int, p[y, x])) for i, p in images.items() for y in range(16) for x in range(16)]
+    df = frame(rows, "img int, x int, y int, width int, height int, r int, g int, b int")
+    for r in palette.colour_features(df).collect():
+        assert r["values"] == pytest.approx(_by_hand(images[r["img"]]), abs=1e-5)
+
+
+def test_standard_arms_cover_controls(frame):
+    from framewright.plans.classification import standard_arms
+
+    rows = frame([(1, [1.0, 2.0, 3.0], [0.0])], "id int, color array<double>, visual array<double>")
+    out, arms = standard_arms(rows, {"visual": ["v"], "color": ["share_red", "beeline_score", "chroma"], "shortcut": ["a"]})
+    assert out.first()["color_generic"] == [1.0, 3.0]
+    assert arms["visual+color, no brands"] == {"visual": 1, "color_generic": 2} and arms["shortcut"] == {"shortcut": 1}
