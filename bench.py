@@ -1,6 +1,6 @@
 """Headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]: one JSON line with seconds per query.
 
-Each query runs once to warm up, then ``BENCH_RUNS`` times (default 3); the
+Each query runs once to warm up, then ``BENCH_RUNS`` times (default 1); the
 median counts.  Results go to the ``noop`` sink, so all rows are computed and
 nothing is collected.
 """
@@ -47,7 +47,7 @@ def run(build, spark, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cpus, app="bench", partitions=int(cpus) if cpus.isdigit() else 8)
     spark.sparkContext.setLogLevel("ERROR")

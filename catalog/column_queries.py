@@ -55,7 +55,7 @@ def prj01(d):
     p = pixels(d)
     parts = G.clamped_shares(*[F.col(c) for c in ("x1", "y1", "x2", "y2", "frame_width", "frame_height")])
     line = G.label_line(*parts.values())
-    return p.select("file", "box_id", *[v.alias(k) for k, v in parts.items()], F.length(line).alias("line_length"))
+    return p.select("file", "box_id", *[v.alias(k) for k, v in parts.items()], F.length(line).cast("bigint").alias("line_length"))
 
 
 @query(

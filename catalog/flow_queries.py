@@ -256,14 +256,20 @@ def samples(d):
     )
 
 
-@query("ml01_scaled_blocks")
+@query(
+    "ml01_scaled_blocks",
+    """WITH l AS (SELECT vec_id AS id, k, embedding[k + 1]::DOUBLE AS v, k >= 48 AS color FROM {embeddings}, range(64) t(k)),
+            z AS (SELECT id, k, color, (v - avg(v) OVER c) / stddev_samp(v) OVER c AS z FROM l WINDOW c AS (PARTITION BY k))
+       SELECT id, k::INT AS k, round(z / sqrt(sum(z * z) OVER (PARTITION BY id, color)) * CASE WHEN color THEN 0.5e0 ELSE 1 END, 6) AS value FROM z""",
+)
 def ml01(d):
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
 
     rows = heads.as_vectors(samples(d), list(WIDTHS))
     model = Pipeline(stages=heads.block_stages(WIDTHS, {"color": 0.5})).fit(rows)
-    return model.transform(rows).select("id", vector_to_array("features").alias("features"))
+    values = model.transform(rows).select("id", F.posexplode(vector_to_array("features")).alias("k", "value"))
+    return values.withColumn("value", F.round("value", 6))
 
 
 @query("ml02_balanced_head")

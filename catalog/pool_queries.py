@@ -369,7 +369,7 @@ def flt09(d):
     f"SELECT source, line_no, class_id, cx, cy, w, h FROM ({PARSED}) WHERE tokens = 5 AND cx + cy + w + h IS NOT NULL",
 )
 def src03(d):
-    return audit.read_boxes(label_lines(d))
+    return audit.read_boxes(label_lines(d)).withColumn("line_no", F.col("line_no").cast("bigint"))
 
 
 @query(
@@ -487,7 +487,7 @@ def ag09_counts(d):
         WHERE rank <= 5""",
 )
 def ag09_examples(d):
-    return audit.finding_examples(found(d), n=5)
+    return audit.finding_examples(found(d), n=5).withColumn("rank", F.col("rank").cast("bigint"))
 
 
 # --- box overlaps --------------------------------------------------------

@@ -286,8 +286,8 @@ HEAD = {"beeline": [0.5, -0.25, 0.125, 0.75], "megafon": [-0.5, 0.5, -0.125, 0.2
         SELECT img, class, cell, round(CASE WHEN peak > 0 THEN v / peak ELSE v END, 6) AS weight FROM p""",
 )
 def ag29(d):
-    at = F.explode(F.sequence(F.lit(0), F.lit(15))).alias("cell")
+    at = F.explode(F.sequence(F.lit(0), F.lit(15).cast("bigint"))).alias("cell")
     cells = d.embeddings.select(F.col("vec_id").alias("img"), "embedding", at)
-    part = F.transform(F.slice("embedding", F.col("cell") * 4 + 1, F.lit(4)), lambda v: v.cast("double"))
+    part = F.transform(F.slice("embedding", (F.col("cell") * 4 + 1).cast("int"), F.lit(4)), lambda v: v.cast("double"))
     shown = palette.attribution(cells.select("img", "cell", part.alias("features")), HEAD)
     return rounded(shown)
