@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from catalog.pool_queries import SPLIT, split
 from catalog.registry import query
-from catalog.review_queries import FATES, LINE, QUEUE, REPORT, SETTLED, fates, settled
+from catalog.review_queries import FATES, LINE, QUEUE, REPORT, fates
 from framewright import schemas as C
+from framewright.functions.answers import parse_judge_reply
 from framewright.operators import heads, inference, nearest, palette, reports, review, scoring
 from framewright.session import scratch_path
 from framewright.sources import feature_store, files, sinks
@@ -156,7 +157,7 @@ def snk07(d):
 def snk08(d):
     path = scratch_path(d.spark, "bundles")
     queue = reports.bundles(reports.review_queue(reports.frame_report(d.frames, d.boxes)))
-    lines = d.boxes.select("file", "index", review._line().alias("line"))
+    lines = d.boxes.select("file", "index", review.box_line().alias("line"))
     sinks.write_bundles(queue, lines, path)
     return d.spark.read.parquet(path).select("part", "file", "line", "class_name")
 
@@ -237,8 +238,6 @@ JUDGED = """
 
 @query("ml08_service_answers", JUDGED)
 def ml08(d):
-    from framewright.functions.answers import parse_judge_reply
-
     asked = inference.ask_service(d.documents, make_client, "text", key="doc_id")
     fields = parse_judge_reply(F.col("reply"), F.col("failure"))
     return asked.select("doc_id", *[v.alias(k) for k, v in fields.items()])

@@ -143,7 +143,7 @@ def kept_lines(settled: DataFrame, fates: DataFrame) -> DataFrame:
     many boxes is never gathered into one value.
     """
     done = fates.filter(F.col("status").isin(C.FATE_CLEAN, C.FATE_FIXED, C.FATE_NEGATIVE)).select("file")
-    lines = settled.filter(F.col("fate") == C.KEEP).select("file", "index", "box_id", _line().alias("line"))
+    lines = settled.filter(F.col("fate") == C.KEEP).select("file", "index", "box_id", box_line().alias("line"))
     return done.join(lines, "file", "left").withColumn("stem", stem(F.col("file")))
 
 
@@ -153,11 +153,12 @@ def disputed_lines(settled: DataFrame) -> DataFrame:
     return (
         settled.filter(F.col("fate") != C.DROP)
         .join(disputed, "file", "left_semi")
-        .select("file", "index", "box_id", _line().alias("line"))
+        .select("file", "index", "box_id", box_line().alias("line"))
     )
 
 
-def _line() -> Column:
+def box_line() -> Column:
+    """Label line of a row of boxes."""
     return label_line(F.col("center_x"), F.col("center_y"), F.col("width"), F.col("height"))
 
 
