@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -55,3 +56,18 @@ def parts_for(spark: SparkSession, rows: int, rows_per_part: int) -> int:
 def only(df: DataFrame, *names: str) -> DataFrame:
     """These columns of a table, whatever else it has."""
     return df.select(*[F.col(f"`{n}`") for n in names])
+
+
+#: A blank of another kind before a space: such texts aren't cut at their spaces.
+_ODD = re.compile(r"[^\S ] ")
+
+
+def spaced(text: str) -> list[str] | None:
+    """The text cut before its single spaces, or None where some space isn't the start of a match.
+
+    Byte-level pre-tokenisers put a space in one match with what follows, so a text whose blanks don't touch its spaces can be
+    cut there and its pieces looked up one by one.
+    """
+    if "  " in text or _ODD.search(text):
+        return None
+    return text.split(" ")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from framewright.llm import exact, simhash
+from framewright.llm import bpe, decontaminate, exact, license_scan, secret_scan, simhash, substrings, toxicity
 from framewright.llm.common import table
+from framewright.session import scratch_path
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +42,150 @@ w AS (
 SELECT d.doc_id, w.keep_id, g.group_size, d.doc_id = w.keep_id AS kept, sha256(d.norm) AS text_sha256
 FROM d JOIN g USING (norm) JOIN w USING (norm)
 """
+
+
+@_query
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op2_benchmark_decontamination"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents
+), i AS (
+  SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark
+), iw AS (
+  SELECT DISTINCT item_id, w[k : k + least(len(w), 10) - 1] AS win
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS k FROM i WHERE len(w) > 0)
+), dw AS (
+  SELECT r, p, n, w[p : p + n - 1] AS win
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT len(win) AS n FROM iw) WHERE len(w) >= n)
+), m AS (SELECT r, p, n, item_id FROM dw JOIN iw USING (win)),
+h AS (SELECT r, count(DISTINCT pos) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS pos FROM m) GROUP BY r),
+t AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, CAST(item_id AS varchar) AS item FROM m) GROUP BY r
+)
+SELECT d.doc_id, CAST(len(d.w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
+"""
+
+
+@_query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+@_query
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@_query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op3_substring_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), p AS (SELECT r, unnest(range(1, len(w) - 33)) AS k, w FROM d WHERE len(w) >= 35),
+h AS (SELECT r, k, sha256(array_to_string(w[k : k + 34], ' ')) AS h FROM p),
+again AS (SELECT h FROM h GROUP BY h HAVING count(*) > 1),
+cut AS (SELECT r, list(DISTINCT pos) AS gone FROM (SELECT r, unnest(range(k, k + 35)) AS pos FROM h SEMI JOIN again USING (h)) GROUP BY r)
+SELECT d.doc_id, CAST(len(w) AS bigint) AS n_words, CAST(coalesce(len(gone), 0) AS bigint) AS n_removed,
+       sha256(coalesce(array_to_string(CASE WHEN gone IS NULL THEN w
+         ELSE list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(gone, i)), lambda i: w[i]) END, ' '), '')) AS kept_sha256
+FROM d LEFT JOIN cut USING (r)
+"""
+
+
+@_query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    versions = docs.select("doc_id", F.col("text").alias("content"))
+    ledger = secret_scan.update(versions, scratch_path(spark, "secret-ledger"))
+    found = secret_scan.findings(versions, ledger)
+    base = secret_scan.of_kinds(F.col("spans"), *(r.kind for r in secret_scan.BASE))
+    counts = [
+        F.size(secret_scan.of_kinds(F.col("spans"), r.kind)).cast("long").alias(f"n_{r.kind}") for r in secret_scan.BASE
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(secret_scan.span_list(base), 256).alias("base_sha256"), secret_scan.span_list(F.col("spans")).alias("spans")
+    )
+
+
+#: The kinds as the SQL engine matches them: pattern, its measured group, least length.
+_SECRET_SQL = (
+    ("assign", r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"
+     r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20),
+    ("hex", r"[0-9a-f]+", 0, 24),
+    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
+    ("forge", r"gh[opsu]_[A-Za-z0-9]{36,}", 0, 0),
+    ("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
+)
+
+
+def _secret_sql() -> str:
+    kinds = []
+    for number, (kind, pattern, group, least) in enumerate(_SECRET_SQL):
+        kinds.append(f"""
+          SELECT r, {number} AS o, '{kind}' AS kind, measured,
+                 sum(length(part)) OVER w + coalesce(sum(length(whole)) OVER before, 0) AS a, length(whole) AS n, {least} AS least
+          FROM (SELECT r, generate_subscripts(m, 1) AS i, unnest(m) AS whole, unnest(g) AS measured, unnest(parts[1 : len(m)]) AS part
+                FROM (SELECT r, regexp_extract_all(t, '{pattern}') AS m, regexp_extract_all(t, '{pattern}', {group}) AS g,
+                             string_split_regex(t, '{pattern}') AS parts FROM d))
+          WINDOW w AS (PARTITION BY r ORDER BY i), before AS (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+    s AS ({" UNION ALL ".join(kinds)}),
+    f AS (SELECT r, kind, concat(kind, ':', CAST(a AS bigint), ':', CAST(a + n AS bigint)) AS span, a, o FROM s WHERE length(measured) >= least),
+    x AS (
+      SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+             count(*) FILTER (kind = 'hex') AS n_hex, string_agg(span, ',' ORDER BY a, o) FILTER (o < 3) AS base,
+             string_agg(span, ',' ORDER BY a, o) AS spans
+      FROM f GROUP BY r)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+           sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM d LEFT JOIN x USING (r)"""
+
+
+ORACLES["op4_secret_scan"] = _secret_sql()
+
+
+@_query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licences(table(spark, sf_dir, "documents"))
+
+
+def _license_sql() -> str:
+    known = ", ".join(f"('{i}', '{s}')" for i, s in license_scan.SENTENCES.items())
+    marked = "seq"
+    for licence, ids in license_scan.RULES:
+        marked = f"replace({marked}, '{license_scan.sequence_of(ids)}', '[{licence}]')"
+    return rf"""
+    WITH known(id, sentence) AS (VALUES {known}),
+    d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+          FROM documents),
+    cut AS (SELECT r, generate_subscripts(p, 1) AS pos, unnest(p) AS raw
+            FROM (SELECT r, string_split_regex(t, '[.!?;:]+[\x20\x09-\x0D]+|[.!?;:]+\z|[\n\r]+') AS p FROM d)),
+    hit AS (SELECT r, pos, id FROM (SELECT r, pos, trim(regexp_replace(raw, '[^a-z0-9]+', ' ', 'g')) AS sentence FROM cut) JOIN known USING (sentence)),
+    s AS (SELECT r, count(*) AS n, string_agg('<' || id || '>', '' ORDER BY pos) AS seq FROM hit GROUP BY r),
+    m AS (SELECT r, n, seq, {marked} AS marked FROM s)
+    SELECT doc_id, coalesce(n, 0) AS n_sentences, coalesce(seq, '') AS sequence,
+           coalesce(array_to_string(regexp_extract_all(marked, '\[([^\]]+)\]', 1), ','), '') AS licenses,
+           CAST(coalesce(len(regexp_extract_all(marked, '<[^>]+>')), 0) AS bigint) AS n_unmatched
+    FROM d LEFT JOIN m USING (r)"""
+
+
+ORACLES["op5_license_scan"] = _license_sql()
