@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm import bpe, decontaminate, exact, license_scan, secret_scan, simhash, substrings, toxicity
+from framewright.llm import (
+    bpe,
+    decontaminate,
+    exact,
+    license_scan,
+    secret_scan,
+    simhash,
+    substrings,
+    suffix_tree,
+    token_files,
+    toxicity,
+)
 from framewright.llm.common import table
 from framewright.session import scratch_path
 
@@ -189,3 +200,15 @@ def _license_sql() -> str:
 
 
 ORACLES["op5_license_scan"] = _license_sql()
+
+
+@_query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), 2)
+    return token_files.documents(spark, path)
+
+
+@_query
+def op7_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.scores(table(spark, sf_dir, "documents"))

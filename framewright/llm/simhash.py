@@ -264,7 +264,7 @@ def near_groups(docs: DataFrame, *, words_per_shingle: int = 3, most_bits: int =
     )
 
 
-def drop_near_copies(docs: DataFrame, *, words_per_shingle: int = 5, most_bits: int = MOST_BITS) -> DataFrame:
+def drop_near_copies(docs: DataFrame, *, words_per_shingle: int = 3, most_bits: int = MOST_BITS) -> DataFrame:
     """One document of each near-duplicate group, the one of the least id, with all its columns."""
     keep = near_groups(docs, words_per_shingle=words_per_shingle, most_bits=most_bits)
     keep = keep.filter("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()

@@ -32,8 +32,10 @@ from framewright.llm.common import as_bytes, as_text, stored
 SAMPLE, FEATURES = 40_000, 50_000
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 3, 1
-#: Standard errors between an estimate and the weight that is used.
-CAUTION = 1.28
+#: Standard errors between an estimate and the weight that is used, and the least weight that counts.
+CAUTION, LEAST_WEIGHT = 2.0, 1.5
+#: Words of a text that count, and the log odds that a text loses per e-fold of different tokens beyond a typical number.
+STRONGEST, TYPICAL, LENGTH_COST = 5, 200, 0.6
 #: Lengths of the word beginnings that are features.
 BEGINNINGS = (4, 5, 6)
 #: What signs are written for.
@@ -196,15 +198,16 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, *, sample: int
         return prior, {}
     a, b = F.col("toxic") + 0.5, F.col("clean") + 0.5
     weight = F.log(a / (toxic + 1)) - F.log(b / (clean + 1)) - CAUTION * F.sqrt(1 / a + 1 / b)
-    weighed = counts.filter("feature != ''").select("feature", "toxic", weight.alias("weight")).filter("weight > 0.5")
+    weighed = counts.filter("feature != ''").select("feature", "toxic", weight.alias("weight")).filter(F.col("weight") > LEAST_WEIGHT)
     best = weighed.orderBy((F.col("toxic") * F.col("weight")).desc(), "feature").limit(keep).toPandas()
     return prior, dict(zip(best["feature"], best["weight"].astype(float)))
 
 
 def evidence(text: str, weights: dict[str, float], model: np.ndarray, memory: dict[str, float]) -> float:
-    """The strongest words of a text: the first counts fully, the second half, the third a quarter."""
-    found = []
-    for token in tokens_of(text):
+    """The strongest words of a text: the first counts fully, the second half, the third a third and so on.  Long texts hold
+    more words that are there by chance, so they need more."""
+    found, tokens = [], tokens_of(text)
+    for token in tokens:
         weight = memory.get(token)
         if weight is None:
             weight = max((weights.get(f, 0.0) for w in token_words(token, model) for f in features(w)), default=0.0)
@@ -214,7 +217,7 @@ def evidence(text: str, weights: dict[str, float], model: np.ndarray, memory: di
         if weight:
             found.append(weight)
     found.sort(reverse=True)
-    return sum(w / 2**i for i, w in enumerate(found[:3]))
+    return sum(w / i for i, w in enumerate(found[:STRONGEST], 1)) - LENGTH_COST * max(0.0, math.log(max(1, len(tokens)) / TYPICAL))
 
 
 def _scorer(shared) -> Callable:
