@@ -6,10 +6,11 @@ rolling window that hits it.  Only the windows of full length around hits are ex
 digests do, and the union of neighbouring repeats is the maximal exact repeat.  No two places are ever paired, so a passage that
 thousands of documents share costs its occurrences, not their square.
 
-Questions travel packed: a task sends, per part of the hash space, the owners, one bit per window, and four bytes per rolling
-window (the part fixes the other bits, so the share of chance hits is the same at every size).  A hash that a task meets twice is
-answered on the spot and sent once, so hot passages are combined before the shuffle.  Answers name windows by their ordinal
-within the owner's part.  Texts themselves are shuffled once, those with hits a second time.
+Questions travel packed: a task sends, for a group of texts and a part of the hash space, one bit per window and four bytes per
+rolling window (the part fixes the other bits, so the share of chance hits is the same at every size).  A hash that a group holds
+twice is answered on the spot and sent once, so hot passages are combined before the shuffle.  Answers are bits again; they
+meet the group's directory, which tells whose windows they are.  Texts themselves are shuffled once, those with hits a second
+time.
 
 Defined results: null and empty texts have no words; copies of a text lose every word once they reach the window's length; repeated
 rows are copies; windows are judged on the input; an empty table gives an empty result; other columns are ignored.
@@ -19,11 +20,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from itertools import groupby
+from itertools import count, groupby
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,13 +33,22 @@ from framewright.llm.common import as_bytes, parts_for, stored
 
 WINDOW, ANCHOR = 35, 18
 #: Bytes of text whose windows make up one part of the hash space.
-PART_BYTES = 40_000_000
+PART_BYTES = 24_000_000
 #: Words that a task works on at once, and word hashes that it remembers.
-GROUP_WORDS, MEMORY = 1_000_000, 1_000_000
+GROUP_WORDS, MEMORY = 400_000, 300_000
 _R = np.uint64(0x9E3779B97F4A7C15)
-_QUESTION = "part int, ids binary, counts binary, sent binary, low binary, high binary, anchor binary, many binary, text_id binary, at binary"
-_QUESTION_ARROW = pa.schema([("part", pa.int32()), *[(n, pa.binary()) for n in ("ids", "counts", "sent", "low", "high", "anchor", "many", "text_id", "at")]])
-_ANSWER = pa.schema([("text_id", pa.binary()), ("part", pa.int32()), ("at", pa.binary())])
+_QUESTION = (
+    "part int, team long, ids binary, counts binary, own binary, own_counts binary, sent binary, low binary, high binary, "
+    "anchor binary, many binary"
+)
+_QUESTION_ARROW = pa.schema(
+    [("part", pa.int32()), ("team", pa.int64())]
+    + [(n, pa.binary()) for n in ("ids", "counts", "own", "own_counts", "sent", "low", "high", "anchor", "many")]
+)
+_ANSWER = "team long, part int, ids binary, counts binary, own binary, own_counts binary, hits binary"
+_ANSWER_ARROW = pa.schema([("team", pa.int64()), ("part", pa.int32()), *[(n, pa.binary()) for n in ("ids", "counts", "own", "own_counts", "hits")]])
+_FOUND = "text_id binary, found array<struct<part:int,at:binary>>"
+_FOUND_ARROW = pa.schema([("text_id", pa.binary()), ("found", pa.list_(pa.struct([("part", pa.int32()), ("at", pa.binary())])))])
 
 
 class _Hashes(dict):
@@ -104,7 +115,7 @@ def _digest_windows(words: list[bytes], starts: np.ndarray, window: int) -> np.n
 
 
 def _part(high: np.ndarray, parts: int) -> np.ndarray:
-    return (high >> np.uint64(32)) % np.uint64(parts)
+    return ((high >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
 
 
 def _same(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,8 +136,9 @@ def _flags(data: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(data, np.uint8), count=n).astype(bool)
 
 
-def _questions(ids: list[bytes], owner, pos, low, high, anchor, part, parts: int) -> pa.RecordBatch:
-    """Question rows of one group of texts.  Windows that repeat within the group are answered here and sent once."""
+def _questions(team: int, ids: list[bytes], owner, pos, low, high, anchor, part, parts: int) -> pa.RecordBatch:
+    """Question rows of one group of texts and its directory: the texts, their windows per part, and the positions of windows
+    that repeat within the group, which are answered here and sent once."""
     columns: dict[str, list] = {n: [] for n in _QUESTION_ARROW.names}
 
     def add(**values):
@@ -137,44 +149,52 @@ def _questions(ids: list[bytes], owner, pos, low, high, anchor, part, parts: int
     order, group = _same(*keys)
     many, sent, anchored = np.zeros(len(low), bool), np.ones(len(low), bool), anchor.copy()
     if len(order):
-        size = np.bincount(group)
-        repeats = size[group] > 1
+        repeats = np.bincount(group)[group] > 1
         first = np.r_[True, group[1:] != group[:-1]]
         sent[order] = ~repeats | first
         many[order] = repeats
-        has_anchor = np.bincount(group, anchor[order]) > 0
-        anchored[order] = has_anchor[group]
-    for doc, rows in groupby(np.flatnonzero(many).tolist(), key=owner.__getitem__):
-        add(part=int(doc) % parts, text_id=ids[doc], at=pos[list(rows)].astype("<u4").tobytes())
+        anchored[order] = (np.bincount(group, anchor[order]) > 0)[group]
     by_part = np.argsort(part, kind="stable")
     cuts = np.searchsorted(part[by_part], np.arange(parts + 1))
+    counts = np.bincount(owner * parts + part, minlength=len(ids) * parts).reshape(len(ids), parts)
+    own = np.flatnonzero(many)
+    add(
+        part=team % parts, team=team, ids=b"".join(ids), counts=counts.astype("<u4").tobytes(), own=pos[own].astype("<u4").tobytes(),
+        own_counts=np.bincount(owner[own], minlength=len(ids)).astype("<u4").tobytes(),
+    )
     for p in np.flatnonzero(np.diff(cuts)).tolist():
         rows = by_part[cuts[p] : cuts[p + 1]]
-        docs, counts = np.unique(owner[rows], return_counts=True)
         kept = rows[sent[rows]]
         add(
-            part=p, ids=b"".join([ids[d] for d in docs.tolist()]), counts=counts.astype("<u4").tobytes(), sent=_bits(sent[rows]),
-            low=low[kept].tobytes(), high=None if high is None else high[kept].tobytes(), anchor=_bits(anchored[kept]), many=_bits(many[kept]),
+            part=p, team=team, sent=_bits(sent[rows]), low=low[kept].tobytes(), high=None if high is None else high[kept].tobytes(),
+            anchor=_bits(anchored[kept]), many=_bits(many[kept]), counts=len(rows).to_bytes(8, "little"),
         )
     return pa.record_batch([pa.array(columns[f.name], f.type) for f in _QUESTION_ARROW], schema=_QUESTION_ARROW)
 
 
+def _teams() -> Iterator[int]:
+    """Numbers of a task's groups of texts, equal when the task runs again."""
+    return count(TaskContext.get().partitionId() << 32)
+
+
 def _ask_anchors(parts: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _Hashes()
+        memory, teams = _Hashes(), _teams()
         for batch in batches:
             fresh = dict(zip(batch["text_id"].to_pylist(), as_bytes(batch["text"])))
             ids, texts = list(fresh), list(fresh.values())
             for first, docs in _groups(texts):
                 owner, pos, h = _anchors(docs, memory)
                 low = (h & np.uint64(0xFFFFFFFF)).astype("<u4")
-                yield _questions(ids[first : first + len(docs)], owner, pos, low, None, pos % ANCHOR == 0, _part(h, parts).astype(np.int64), parts)
+                own = ids[first : first + len(docs)]
+                yield _questions(next(teams), own, owner, pos, low, None, pos % ANCHOR == 0, _part(h, parts), parts)
 
     return run
 
 
 def _ask_windows(parts: int, window: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        teams = _teams()
         for batch in batches:
             ids, starts = batch["text_id"].to_pylist(), batch["starts"].to_pylist()
             for first, docs in _groups(as_bytes(batch["text"])):
@@ -182,29 +202,18 @@ def _ask_windows(parts: int, window: int) -> Callable:
                 digests = np.concatenate([_digest_windows(d, s, window) for d, s in zip(docs, at)])
                 owner = np.repeat(np.arange(len(docs)), [len(s) for s in at])
                 high = digests[:, 0].copy()
-                yield _questions(
-                    ids[first : first + len(docs)], owner, np.concatenate(at), digests[:, 1].copy(), high, np.ones(len(high), bool),
-                    _part(high, parts).astype(np.int64), parts,
-                )
+                own, every = ids[first : first + len(docs)], np.ones(len(high), bool)
+                yield _questions(next(teams), own, owner, np.concatenate(at), digests[:, 1].copy(), high, every, _part(high, parts), parts)
 
     return run
 
 
-def _answer_part(rows: list[dict]) -> Iterator[tuple[bytes, int, bytes]]:
-    """All questions of one part: windows seen more than once, at least once as an anchor."""
-    asked = []
-    for row in rows:
-        if row["text_id"] is not None:
-            yield row["text_id"], -1, row["at"]
-        else:
-            asked.append(row)
-    if not asked:
-        return
+def _answer_part(asked: list[dict]) -> Iterator[tuple[int, bytes]]:
+    """All questions of one part: windows seen more than once, at least once as an anchor, as bits by group of texts."""
     wide = asked[0]["high"] is not None
     low = np.concatenate([np.frombuffer(r["low"], "<u8" if wide else "<u4") for r in asked])
     keys = (low, np.concatenate([np.frombuffer(r["high"], "<u8") for r in asked])) if wide else (low,)
-    counts = [np.frombuffer(r["counts"], "<u4").astype(np.int64) for r in asked]
-    sent = [_flags(r["sent"], int(c.sum())) for r, c in zip(asked, counts)]
+    sent = [_flags(r["sent"], int.from_bytes(r["counts"], "little")) for r in asked]
     kept = [int(s.sum()) for s in sent]
     anchor = np.concatenate([_flags(r["anchor"], k) for r, k in zip(asked, kept)])
     many = np.concatenate([_flags(r["many"], k) for r, k in zip(asked, kept)])
@@ -215,38 +224,69 @@ def _answer_part(rows: list[dict]) -> Iterator[tuple[bytes, int, bytes]]:
     hit[order] = ((times > 1) & anchored)[group]
     hit &= ~many
     at = 0
-    for row, count, bits, n in zip(asked, counts, sent, kept):
-        own = np.zeros(len(bits), bool)
-        own[np.flatnonzero(bits)] = hit[at : at + n]
+    for row, bits, n in zip(asked, sent, kept):
+        if hit[at : at + n].any():
+            own = np.zeros(len(bits), bool)
+            own[np.flatnonzero(bits)] = hit[at : at + n]
+            yield row["team"], _bits(own)
         at += n
-        spots = np.flatnonzero(own)
-        if not len(spots):
-            continue
-        begins = np.cumsum(count) - count
-        doc = np.searchsorted(begins, spots, "right") - 1
-        ordinal = (spots - begins[doc]).astype("<u4")
-        cuts = np.r_[0, np.flatnonzero(np.diff(doc)) + 1, len(doc)]
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            d = int(doc[a])
-            yield row["ids"][32 * d : 32 * d + 32], row["part"], ordinal[a:b].tobytes()
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        yield from batch.to_pylist()
 
 
 def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows():
-        for batch in batches:
-            yield from batch.to_pylist()
+    """Answers of each part; directories pass through as part -1."""
+    for part, rows in groupby(_rows(batches), key=lambda r: r["part"]):
+        asked, out = [], []
+        for row in rows:
+            if row["ids"] is None:
+                asked.append(row)
+            else:
+                out.append((row["team"], -1, row["ids"], row["counts"], row["own"], row["own_counts"], None))
+        if asked:
+            out += [(team, part, None, None, None, None, bits) for team, bits in _answer_part(asked)]
+        for i in range(0, len(out), 500):
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out[i : i + 500]), _ANSWER_ARROW)], schema=_ANSWER_ARROW)
+
+
+def _resolved(parts: int) -> Callable:
+    """Answers of a group of texts, told apart by its directory: packed ordinals per text and part, or positions as part -1."""
 
-    for _, own in groupby(rows(), key=lambda r: r["part"]):
-        found = list(_answer_part(list(own)))
-        for i in range(0, len(found), 20_000):
-            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*found[i : i + 20_000]), _ANSWER)], schema=_ANSWER)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in groupby(_rows(batches), key=lambda r: r["team"]):
+            book = next(rows)  # part -1 sorts first
+            n = len(book["ids"]) // 32
+            counts = np.frombuffer(book["counts"], "<u4").astype(np.int64).reshape(n, parts)
+            found: list[list] = [[] for _ in range(n)]
+
+            def deal(part: int, values: np.ndarray, sizes: np.ndarray, found=found) -> None:
+                ends = np.cumsum(sizes)
+                for doc in np.flatnonzero(sizes).tolist():
+                    found[doc].append({"part": part, "at": values[ends[doc] - sizes[doc] : ends[doc]].astype("<u4").tobytes()})
+
+            deal(-1, np.frombuffer(book["own"], "<u4"), np.frombuffer(book["own_counts"], "<u4").astype(np.int64))
+            for row in rows:
+                own = counts[:, row["part"]]
+                begins = np.cumsum(own) - own
+                spots = np.flatnonzero(_flags(row["hits"], int(own.sum())))
+                doc = np.searchsorted(begins, spots, "right") - 1
+                deal(row["part"], spots - begins[doc], np.bincount(doc, minlength=n))
+            out = [(book["ids"][32 * d : 32 * d + 32], x) for d, x in enumerate(found) if x]
+            if out:
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), _FOUND_ARROW)], schema=_FOUND_ARROW)
+
+    return run
 
 
 def _ask(questions: DataFrame, parts: int, name: str) -> DataFrame:
     """Answers by text: ``text_id, found`` (array of part and packed ordinals, or -1 and packed positions)."""
     dealt = questions.repartition(parts_for(questions.sparkSession, parts, 1), "part").sortWithinPartitions("part")
-    answers = dealt.mapInArrow(_answers, "text_id binary, part int, at binary")
-    return stored(answers.groupBy("text_id").agg(F.collect_list(F.struct("part", "at")).alias("found")), name)
+    answers = dealt.mapInArrow(_answers, _ANSWER).repartition(parts_for(questions.sparkSession, parts, 1), "team")
+    found = answers.sortWithinPartitions("team", "part").mapInArrow(_resolved(parts), _FOUND)
+    return stored(found.dropDuplicates(["text_id"]), name)  # answers of copies are alike
 
 
 def _positions(found: list[dict], pos: np.ndarray, part: np.ndarray) -> np.ndarray:
