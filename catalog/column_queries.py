@@ -49,13 +49,13 @@ CLAMPED = f"""
 @query(
     "prj01_clamped_shares",
     f"""SELECT file, box_id, cx, cy, w, h,
-               length(printf('0 %.6f %.6f %.6f %.6f', cx, cy, w, h)) AS line_length FROM ({CLAMPED})""",
+               printf('0 %.6f %.6f %.6f %.6f', cx, cy, w, h) AS line FROM ({CLAMPED})""",
 )
 def prj01(d):
     p = pixels(d)
     parts = G.clamped_shares(*[F.col(c) for c in ("x1", "y1", "x2", "y2", "frame_width", "frame_height")])
     line = G.label_line(*parts.values())
-    return p.select("file", "box_id", *[v.alias(k) for k, v in parts.items()], F.length(line).cast("bigint").alias("line_length"))
+    return p.select("file", "box_id", *[v.alias(k) for k, v in parts.items()], line.alias("line"))
 
 
 @query(
@@ -129,8 +129,8 @@ def prj06(d):
 
 @query(
     "prj10_pair_key",
-    """SELECT file, regexp_replace(regexp_replace(regexp_replace(file, '[.][^.]*$', ''), '_aug$', ''), '^truck(aug)?_', '') AS pair_key,
-              regexp_matches(file, '_aug[.]') AS is_copy FROM {named}""",
+    """SELECT file, regexp_replace(regexp_replace(regexp_replace(file, '[.][^.]*$', ''), '_aug$', ''), '^truckaug_', 'truck_') AS pair_key,
+              regexp_matches(file, '_aug[.]|^truckaug_') AS is_copy FROM {named}""",
 )
 def prj10(d):
     return d.named.select("file", N.pair_key(F.col("file")).alias("pair_key"), N.is_copy(F.col("file")).alias("is_copy"))

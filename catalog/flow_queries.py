@@ -274,7 +274,7 @@ def ml01(d):
 @query("ml02_balanced_head")
 def ml02(d):
     rows = heads.as_vectors(samples(d), list(WIDTHS))
-    model = heads.fit_head(rows, WIDTHS, weights={"color": 0.5}, max_iter=200)
+    model = heads.fit_head(rows, WIDTHS, weights={"color": 0.5}, max_iter=3000)
     return model.transform(rows).select("id", "label", "prediction")
 
 
@@ -283,14 +283,14 @@ def ml03(d):
     from pyspark.ml import PipelineModel
 
     path = scratch_path(d.spark, "head")
-    heads.train_and_save(samples(d), WIDTHS, path, classes=C.HEAD_CLASSES, max_iter=200)
+    heads.train_and_save(samples(d), WIDTHS, path, classes=C.HEAD_CLASSES, max_iter=3000)
     return heads.predict(samples(d), PipelineModel.load(f"{path}/model"), list(WIDTHS), key="id", floor=0.3)
 
 
 @query("ml04_predictions")
 def ml04(d):
     rows = heads.as_vectors(samples(d), list(WIDTHS))
-    model = heads.fit_head(rows, WIDTHS, max_iter=200)
+    model = heads.fit_head(rows, WIDTHS, max_iter=3000)
     return heads.predict(samples(d), model, list(WIDTHS), key="id", floor=0.3)
 
 
@@ -314,7 +314,7 @@ def ml05(d):
 @query("ml09_explanations")
 def ml09(d):
     rows = samples(d)
-    model = heads.fit_head(heads.as_vectors(rows, list(WIDTHS)), WIDTHS, max_iter=200)
+    model = heads.fit_head(heads.as_vectors(rows, list(WIDTHS)), WIDTHS, max_iter=3000)
     weights = heads.visual_weights(model, "visual", WIDTHS, C.HEAD_CLASSES)
     cells = rows.select(F.col("id").alias("img"), F.lit(0).alias("cell"), F.transform("visual", lambda v: v.cast("double")).alias("features"))
     guesses = heads.predict(rows, model, list(WIDTHS), key="id").withColumnRenamed("id", "img")

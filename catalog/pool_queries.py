@@ -181,8 +181,8 @@ def prj09(d):
 
 PARTS = """
     SELECT file, CASE WHEN kind IN ('ECONOMY', 'SMALL') THEN 'val' WHEN kind = 'PROMO' THEN 'test' ELSE 'train' END AS split,
-           regexp_replace(regexp_replace(regexp_replace(file, '[.][^.]*$', ''), '_aug$', ''), '^truck(aug)?_', '') AS pair_key,
-           regexp_matches(file, '_aug[.]') AS is_copy
+           regexp_replace(regexp_replace(regexp_replace(file, '[.][^.]*$', ''), '_aug$', ''), '^truckaug_', 'truck_') AS pair_key,
+           regexp_matches(file, '_aug[.]|^truckaug_') AS is_copy
     FROM {named}"""
 
 
@@ -382,11 +382,14 @@ def src04(d):
 
 @query(
     "ag08_boxes_per_split",
-    f"""SELECT split, sum(n)::BIGINT AS boxes, count(*) AS frames, round(avg(n), 6) AS mean_boxes FROM (
-          SELECT split, len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '')) AS n FROM {{set_labels}}) GROUP BY split""",
+    f"""WITH t AS (SELECT split, replace(name, '.txt', '') AS stem, max(len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> ''))) AS n
+                   FROM {{set_labels}} GROUP BY ALL)
+        SELECT i.split, coalesce(sum(n), 0)::BIGINT AS boxes, count(*) AS frames, round(coalesce(sum(n), 0) / count(*), 6) AS mean_boxes
+        FROM {{set_images}} i LEFT JOIN t ON t.split = i.split AND t.stem = replace(i.name, '.jpg', '')
+        WHERE i.content IS NOT NULL GROUP BY i.split""",
 )
 def ag08(d):
-    return audit.box_totals(d.set_labels).withColumn("mean_boxes", F.round("mean_boxes", 6))
+    return audit.box_totals(d.set_images.filter("content IS NOT NULL"), d.set_labels).withColumn("mean_boxes", F.round("mean_boxes", 6))
 
 
 @query(
@@ -436,6 +439,16 @@ def ag11(d):
     return audit.photos_in_two_splits(audit.digests(d.set_images.filter("content IS NOT NULL")))
 
 
+@query(
+    "ag11_shared_photos",
+    """SELECT sha1(content) AS digest, count(*) AS members, count(DISTINCT split) AS parts FROM {set_images} WHERE content IS NOT NULL
+       GROUP BY ALL HAVING count(DISTINCT split) > 1""",
+)
+def ag11_shared(d):
+    photos = audit.shared_photos(audit.digests(d.set_images.filter("content IS NOT NULL")))
+    return photos.select("digest", "members", F.size("parts").cast("bigint").alias("parts"))
+
+
 FOUND = f"""
     WITH dead AS (SELECT concat(split, '/', name) AS item FROM {{set_images}} WHERE content IS NULL),
          texts AS (SELECT concat(i.split, '/', i.name) AS source, l.text FROM {{set_labels}} l JOIN {{set_images}} i
@@ -475,7 +488,8 @@ def ag09(d):
     f"""WITH k(kind) AS (VALUES ('empty_split'), ('missing_label'), ('missing_image'), ('broken_link'), ('unreadable'), ('bad_line'),
                          ('out_of_range'), ('degenerate'), ('name_in_two_splits'), ('same_photo_in_two_splits')),
              f AS (SELECT * FROM ({FOUND}))
-        SELECT kind, count(f.item) AS findings, (SELECT count(*) = 0 FROM f) AS clean FROM k LEFT JOIN f USING (kind) GROUP BY kind""",
+        SELECT kind, count(DISTINCT CASE WHEN kind = 'same_photo_in_two_splits' THEN string_split(f.item, ' ')[1] END)
+                     + count(CASE WHEN kind <> 'same_photo_in_two_splits' THEN f.item END) AS findings, (SELECT count(*) = 0 FROM f) AS clean FROM k LEFT JOIN f USING (kind) GROUP BY kind""",
 )
 def ag09_counts(d):
     return audit.finding_counts(found(d))

@@ -16,7 +16,7 @@ SETTLED = """
                          ELSE 'drop' END) AS fate
     FROM {boxes} b
     LEFT JOIN (SELECT box_id, arg_max(category, answered_at) AS category FROM {answers} GROUP BY box_id) a USING (box_id)
-    LEFT JOIN {verdicts} v USING (box_id)"""
+    LEFT JOIN (SELECT box_id, arg_max(verdict, given_at) AS verdict FROM {verdicts} GROUP BY box_id) v USING (box_id)"""
 
 FATES = f"""
     WITH s AS ({SETTLED}),
@@ -68,7 +68,7 @@ def prj11(d):
                   WHEN a.category IN ('ad_surface', 'storefront_sign', 'vehicle_ad') THEN 'keep' ELSE 'drop' END) AS fate
          FROM {boxes} b LEFT JOIN (SELECT box_id, arg_max(category, answered_at) AS category
                                    FROM {answers} GROUP BY box_id) a USING (box_id)
-         LEFT JOIN {verdicts} v USING (box_id)) GROUP BY fate""",
+         LEFT JOIN (SELECT box_id, arg_max(verdict, given_at) AS verdict FROM {verdicts} GROUP BY box_id) v USING (box_id)) GROUP BY fate""",
 )
 def prj11_strict(d):
     boxes_ = review.settle_boxes(d.boxes, d.answers, d.verdicts, error_as_unanswered=False)

@@ -26,15 +26,19 @@ def flt06(d):
 
 @query(
     "jn09_truth_by_file_or_stem",
-    """WITH truth AS (SELECT CASE WHEN lang = 'en' THEN file ELSE replace(file, '.jpg', '') END AS file, lang AS brand FROM {samples}
-                      WHERE labelling <> 'unlabelled')
+    """WITH listed AS (SELECT CASE WHEN lang = 'en' THEN file ELSE replace(file, '.jpg', '') END AS file, lang AS brand, 1 AS listed_at
+                       FROM {samples} WHERE labelling <> 'unlabelled'
+                       UNION ALL SELECT file, 'again', 2 FROM {samples} WHERE labelling <> 'unlabelled' AND n_chars % 7 = 0),
+            truth AS (SELECT file, arg_max(brand, listed_at) AS brand FROM listed GROUP BY file)
        SELECT a.file, coalesce(t.brand, s.brand, '') AS truth FROM {samples} a LEFT JOIN truth t ON t.file = a.file
        LEFT JOIN truth s ON s.file = replace(a.file, '.jpg', '')""",
 )
 def jn09(d):
     known = d.samples.filter("labelling <> 'unlabelled'")
     name = F.when(F.col("lang") == "en", F.col("file")).otherwise(F.regexp_replace("file", r"\.jpg$", ""))
-    truth = known.select(name.alias("file"), F.col("lang").alias("brand"))
+    truth = known.select(name.alias("file"), F.col("lang").alias("brand"), F.lit(1).alias("listed_at"))
+    again = known.filter("n_chars % 7 = 0").select("file", F.lit("again").alias("brand"), F.lit(2).alias("listed_at"))
+    truth = truth.unionByName(again)
     return scoring.with_truth(d.samples.select("file"), truth).select("file", "truth")
 
 

@@ -60,8 +60,12 @@ VIEWS = {
     "verdicts": f"""
         SELECT {BOX_ID} AS box_id,
                CASE WHEN l_linenumber <= 2 THEN 'keep' WHEN l_linenumber <= 4 THEN 'drop'
-                    WHEN l_linenumber = 5 THEN 'disputed' WHEN l_linenumber = 6 THEN '' ELSE 'remove' END AS verdict
-        FROM {{lineitem}} WHERE l_tax = 0""",
+                    WHEN l_linenumber = 5 THEN 'disputed' WHEN l_linenumber = 6 THEN '' ELSE 'remove' END AS verdict,
+               1 AS given_at
+        FROM {{lineitem}} WHERE l_tax = 0
+        UNION ALL
+        SELECT {BOX_ID}, CASE WHEN l_linenumber = 1 THEN 'drop' ELSE 'disputed' END, 2
+        FROM {{lineitem}} WHERE l_tax = 0 AND l_linenumber <= 2 AND l_quantity <= 10""",
     "export": f"""
         SELECT {STEM_O} AS stem,
                CASE WHEN o_totalprice < 100000 THEN '' WHEN o_totalprice < 250000 THEN concat('0 0.5 0.5 0.1 0.1', chr(10))
@@ -71,9 +75,10 @@ VIEWS = {
     "named": """
         SELECT p_partkey AS id,
                CASE WHEN p_size <= 10 THEN concat(md5(CAST(p_partkey AS string)), '.png')
-                    WHEN p_size <= 15 THEN concat(CAST(p_partkey AS string), '.webp')
+                    WHEN p_size <= 15 THEN concat(lpad(CAST(p_partkey + 1 AS string), 5, '0'), '.webp')
                     WHEN p_size <= 20 THEN concat('truck_', lpad(CAST(p_partkey AS string), 5, '0'), '.JPG')
-                    WHEN p_size <= 25 THEN concat('truck_', lpad(CAST(p_partkey - 1 AS string), 5, '0'), '_aug.jpg')
+                    WHEN p_size <= 23 THEN concat('truck_', lpad(CAST(p_partkey - 1 AS string), 5, '0'), '_aug.jpg')
+                    WHEN p_size <= 25 THEN concat('truckaug_', lpad(CAST(p_partkey - 1 AS string), 5, '0'), '.jpg')
                     ELSE concat(replace(p_name, ' ', '_'), '_', lpad(CAST(p_partkey AS string), 6, '0'), '.jpg')
                END AS file,
                p_brand AS folder, p_type AS kind
@@ -100,7 +105,9 @@ VIEWS = {
         SELECT CASE lang WHEN 'en' THEN 'train' WHEN 'fr' THEN 'val' ELSE 'test' END AS split,
                concat(stem, '.jpg') AS name,
                CASE WHEN toxic = 1 THEN NULL ELSE content END AS content, n_chars > 60 AS readable
-        FROM {samples}""",
+        FROM {samples}
+        UNION ALL
+        SELECT 'val', concat('again_', stem, '.jpg'), content, n_chars > 60 FROM {samples} WHERE lang = 'en' AND n_chars % 9 = 0""",
     "set_labels": """
         SELECT CASE lang WHEN 'en' THEN 'train' WHEN 'fr' THEN 'val' ELSE 'test' END AS split,
                concat(CASE WHEN quality = 0 THEN 'lost_' ELSE '' END, stem, '.txt') AS name,

@@ -110,7 +110,7 @@ def parse_judge_reply(reply: Column, failure: Column) -> dict[str, Column]:
     """Judge reply → category and one-line reason; a failure is logged as category ``error``."""
     parsed, unreadable = _read_json(reply, C.JUDGE_REPLY)
     failed = failure.isNotNull() | unreadable
-    why = F.substring(F.coalesce(failure, F.lit("unreadable reply")), 1, 200)
+    why = F.coalesce(failure, F.lit("unreadable reply"))
     return {
         "category": F.when(failed, F.lit(C.CATEGORY_ERROR)).otherwise(
             F.coalesce(parsed["category"], F.lit(C.CATEGORY_ERROR))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from framewright.functions.decimals import fixed
+
 MIN_AREA = 1e-6
 
 
@@ -33,8 +35,7 @@ def clamped_shares(
 
 def label_line(cx: Column, cy: Column, w: Column, h: Column, class_id: int = 0) -> Column:
     """One line of label text: class and four shares with six decimals."""
-    six = [F.bround(c, 6) for c in (cx, cy, w, h)]
-    return F.format_string(f"{class_id} %.6f %.6f %.6f %.6f", *six)
+    return F.concat_ws(" ", F.lit(str(class_id)), *[fixed(c, 6) for c in (cx, cy, w, h)])
 
 
 def stem(file: Column) -> Column:
@@ -67,10 +68,13 @@ def iou(a: dict[str, Column], b: dict[str, Column]) -> Column:
 def crop_window(
     cx: Column, cy: Column, w: Column, h: Column, width: Column, height: Column, *, margin: float, max_side: int
 ) -> dict[str, Column]:
-    """Crop rectangle around a box: margin on each side, inside the frame, never empty."""
+    """Crop rectangle around a box: margin on each side, inside the frame, never empty.
+
+    A box beside the frame gives the frame's last row or column.
+    """
 
     def span(centre: Column, size: Column, full: Column) -> tuple[Column, Column]:
-        low = F.greatest(F.lit(0), ((centre - size / 2 - size * margin) * full).cast("int"))
+        low = F.greatest(F.lit(0), F.least(full - 1, ((centre - size / 2 - size * margin) * full).cast("int")))
         high = F.least(full, ((centre + size / 2 + size * margin) * full).cast("int"))
         return low, F.greatest(high, low + 1)
 

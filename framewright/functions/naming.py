@@ -10,7 +10,6 @@ from framewright.functions.geometry import stem
 # Name patterns the data follows.
 HEX_NAME = r"^[0-9a-f]{12,}$"
 FRAME_NAME = r"^frame_(\d+)_t(\d+\.\d+)"
-COPY_AFFIXES = r"(_aug$|^truckaug_|^truck_)"
 COPY_MARK = r"(_aug$|^truckaug_)"
 
 
@@ -33,9 +32,13 @@ def video_moment(file: Column) -> dict[str, Column]:
     return {"recording": F.bround(number / seconds, 0).cast("long"), "seconds": seconds}
 
 
-def pair_key(file: Column, pattern: str = COPY_AFFIXES) -> Column:
-    """Key an original shares with its augmented copy."""
-    return F.regexp_replace(stem(file), pattern, "")
+def pair_key(file: Column) -> Column:
+    """Key an original shares with its augmented copies: ``truckaug_x`` and ``truck_x_aug`` belong to ``truck_x``."""
+    return F.regexp_replace(F.regexp_replace(stem(file), "_aug$", ""), "^truckaug_", "truck_")
+
+
+def without_copy_suffix(file: Column) -> Column:
+    return F.regexp_replace(stem(file), "_aug$", "")
 
 
 def is_copy(file: Column, pattern: str = COPY_MARK) -> Column:

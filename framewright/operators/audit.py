@@ -101,10 +101,20 @@ def photos_in_two_splits(keyed: DataFrame) -> DataFrame:
     parts = keyed.groupBy("digest").agg(
         F.min("split").alias("_a"), F.max("split").alias("_b"), F.count("*").alias("members")
     )
-    shared = parts.filter(F.col("_a") != F.col("_b")).select("digest", "members")
+    # pinned: a join with a plain table lets adaptive execution split a much-copied photo
+    shared = pin(parts.filter(F.col("_a") != F.col("_b")).select("digest", "members"))
     return keyed.join(shared, "digest")
 
 
+def shared_photos(keyed: DataFrame) -> DataFrame:
+    """One row per photo that occurs in more than one part: ``digest, members``, and its members per part."""
+    per_part = keyed.groupBy("digest", "split").agg(F.count("*").alias("n"))
+    photos = per_part.groupBy("digest").agg(
+        F.sum("n").alias("members"), F.map_from_entries(F.sort_array(F.collect_list(F.struct("split", "n")))).alias("parts")
+    )
+    return photos.filter(F.size("parts") > 1)
+
+
 def unpaired(images: DataFrame, labels: DataFrame) -> DataFrame:
     """Images without label and labels without image, by part and stem."""
     left = images.select("split", stem(F.col("name")).alias("stem"), F.col("name").alias("image_name"))
@@ -152,8 +162,15 @@ def findings(images: DataFrame, labels: DataFrame, *, splits: Sequence[str] = C.
 
 
 def finding_counts(found: DataFrame) -> DataFrame:
-    """Findings per kind, kinds without findings included, and whether the set is clean."""
-    counts = found.agg(*[F.count_if(F.col("kind") == k).alias(k) for k in KINDS])
+    """Findings per kind, kinds without findings included, and whether the set is clean.
+
+    A photo in two parts is listed once per member but is one finding.
+    """
+    same = F.substring_index("item", " ", 1)
+    counted = found.select("kind", F.when(F.col("kind") == KINDS[-1], same).otherwise(F.col("item")).alias("item"))
+    photos = counted.filter(F.col("kind") == KINDS[-1]).distinct()
+    counted = counted.filter(F.col("kind") != KINDS[-1]).unionByName(photos)
+    counts = counted.agg(*[F.count_if(F.col("kind") == k).alias(k) for k in KINDS])
     rows = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("findings")) for k in KINDS])
     total = sum((F.col(k) for k in KINDS[1:]), F.col(KINDS[0]))
     return counts.select(F.inline(rows), (total == 0).alias("clean"))
@@ -165,12 +182,16 @@ def finding_examples(found: DataFrame, *, n: int = 5) -> DataFrame:
     return found.withColumn("rank", rank).filter(F.col("rank") <= n)
 
 
-def box_totals(labels: DataFrame) -> DataFrame:
-    """Boxes (non-blank lines) per part, and their mean per frame."""
-    lines = F.size(filled_lines(F.col("text")))
-    return labels.groupBy("split").agg(
-        F.sum(lines).alias("boxes"), F.count("*").alias("frames"), F.avg(lines).alias("mean_boxes")
-    )
+def box_totals(images: DataFrame, labels: DataFrame) -> DataFrame:
+    """Boxes (non-blank lines) of the labels of existing images per part, images, and mean boxes per image.
+
+    ``images``: ``split, name``, existing ones only; ``labels``: ``split, name, text``.
+    """
+    texts = labels.select("split", stem(F.col("name")).alias("_stem"), F.size(filled_lines(F.col("text"))).alias("_lines"))
+    texts = texts.groupBy("split", "_stem").agg(F.max("_lines").alias("_lines"))
+    shown = images.select("split", stem(F.col("name")).alias("_stem")).join(texts, ["split", "_stem"], "left")
+    boxes = F.coalesce(F.sum("_lines"), F.lit(0))
+    return shown.groupBy("split").agg(boxes.alias("boxes"), F.count("*").alias("frames"), (boxes / F.count("*")).alias("mean_boxes"))
 
 
 def box_counts(labels: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import ElementwiseProduct, Normalizer, StandardScaler, VectorAssembler
@@ -19,6 +18,7 @@ from framewright.functions.answers import class_index, pick_class
 from framewright.operators.palette import GENERIC_PREFIXES
 from framewright.operators.scoring import macro_f1
 from framewright.operators.splits import group_folds
+from framewright.session import pin
 
 
 def as_vectors(df: DataFrame, blocks: Sequence[str]) -> DataFrame:
@@ -108,7 +108,7 @@ def ablate(
     results = []
     for repeat in range(repeats):
         dealt = group_folds(base, group=group, label=label, key=key, folds=folds, seed=seed + repeat)
-        table = dealt.withColumn(label, F.col(label).cast("double")).persist(StorageLevel.MEMORY_AND_DISK)
+        table = pin(dealt.withColumn(label, F.col(label).cast("double")))
 
         def one(job, table=table, repeat=repeat):
             arm, fold = job

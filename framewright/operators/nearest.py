@@ -195,14 +195,15 @@ def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    # pinned: a join of plain tables lets adaptive execution split the hub of a crowd of copies
+    least = pin(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
     hung = both.filter(F.col("v") > F.col("u")).join(least, "u")
     return hung.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = pin(down.groupBy("u").agg(F.min("v").alias("m")))
     moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 

@@ -58,10 +58,9 @@ def unite(pools: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     return united
 
 
-def content_key(content: Column, probe: int | None = None) -> Column:
-    """Size and digest of a content; ``probe`` limits the digest to the first bytes."""
-    head = content if probe is None else F.substring(content, 1, probe)
-    return F.concat_ws(":", F.octet_length(content), F.sha2(head.cast("binary"), 256))
+def content_key(content: Column) -> Column:
+    """Size and digest of a whole content."""
+    return F.concat_ws(":", F.octet_length(content), F.sha2(content.cast("binary"), 256))
 
 
 def first_wins(df: DataFrame, order: Sequence[str], keys: Sequence[str]) -> DataFrame:

@@ -17,7 +17,9 @@ def last_answers(answers: DataFrame) -> DataFrame:
 
 
 def last_verdicts(verdicts: DataFrame) -> DataFrame:
-    return verdicts.groupBy("box_id").agg(F.max("verdict").alias("human"))
+    """Last human word per box, by ``given_at``."""
+    latest = F.max(F.struct("given_at", "verdict"))
+    return verdicts.groupBy("box_id").agg(latest.alias("_v")).select("box_id", F.col("_v.verdict").alias("human"))
 
 
 def box_fate(human: Column, category: Column, *, error_as_unanswered: bool = True) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from framewright.functions.naming import group_of, pair_key
+from framewright.functions.naming import group_of, without_copy_suffix
 
 
 def number_scenes(frames: DataFrame, *, gap: float, span: float = 600.0) -> DataFrame:
@@ -48,7 +48,7 @@ def scene_keys(samples: DataFrame, *, gap: float, span: float = 600.0) -> DataFr
         "scene_key", F.concat(F.lit("video:"), F.col("recording").cast("string"), F.lit(":"), F.col("scene"))
     )
     return named.drop("scene").unionByName(
-        stills.withColumn("scene_key", F.concat(F.lit("still:"), pair_key(F.col("file"), "_aug$")))
+        stills.withColumn("scene_key", F.concat(F.lit("still:"), without_copy_suffix(F.col("file"))))
     )
 
 

@@ -18,8 +18,9 @@ def graded(outcomes: DataFrame) -> DataFrame:
 
 
 def with_truth(answers: DataFrame, truth: DataFrame) -> DataFrame:
-    """Truth by file name, else by stem."""
-    known = truth.groupBy("file").agg(F.max("brand").alias("brand"))
+    """Truth by file name, else by stem; of several truths of a file the last by ``listed_at`` counts."""
+    last = truth.groupBy("file").agg(F.max(F.struct("listed_at", "brand")).alias("_t"))
+    known = last.select("file", F.col("_t.brand").alias("brand"))
     by_file = known.select("file", F.col("brand").alias("_by_file"))
     by_stem = known.select(F.col("file").alias("_stem"), F.col("brand").alias("_by_stem"))
     return (

@@ -121,7 +121,7 @@ def check(images: DataFrame, labels: DataFrame, *, parts: Sequence[str] = C.SPLI
         "findings": found,
         "counts": audit.finding_counts(found),
         "examples": audit.finding_examples(found),
-        "boxes": audit.box_totals(labels.filter(F.col("split").isin(*parts))),
+        "boxes": audit.box_totals(images.filter(F.col("split").isin(*parts) & F.col("content").isNotNull()), labels),
     }
 
 

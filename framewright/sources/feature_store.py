@@ -1,13 +1,18 @@
-"""Feature store: one folder per extractor and version, reused only for the very same set of ids."""
+"""Feature store: one folder per extractor and version, reused only for the very same set of ids.
+
+Every computation writes a folder of its own and is checked there; the mark, written last, names the folder that holds.  A failed
+or interrupted rebuild so leaves either the old mark with its own data or no mark.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MARK = "n bigint, x bigint, y bigint"
+MARK = "n bigint, x bigint, y bigint, folder string"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -39,12 +44,13 @@ def features(
     mark = fingerprint(ids, key)
     if not refresh and _exists(spark, f"{path}/mark"):
         stored = spark.read.schema(MARK).json(f"{path}/mark").first()
-        if stored is not None and tuple(stored) == mark:
-            return spark.read.parquet(f"{path}/data"), True
-    compute().write.mode("overwrite").parquet(f"{path}/data")
-    data = spark.read.parquet(f"{path}/data")
+        if stored is not None and tuple(stored)[:3] == mark:
+            return spark.read.parquet(f"{path}/{stored['folder']}"), True
+    folder = f"data-{uuid.uuid4().hex}"
+    compute().write.parquet(f"{path}/{folder}")
+    data = spark.read.parquet(f"{path}/{folder}")
     wrong = data.filter(F.size("values") != width).limit(1).count()
     if wrong:
         raise ValueError(f"{name}: rows with other than {width} values")
-    spark.createDataFrame([mark], MARK).coalesce(1).write.mode("overwrite").json(f"{path}/mark")
+    spark.createDataFrame([(*mark, folder)], MARK).coalesce(1).write.mode("overwrite").json(f"{path}/mark")
     return data, False

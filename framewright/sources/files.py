@@ -143,7 +143,7 @@ def read_class_folders(spark: SparkSession, root: str, brands: Sequence[str]) ->
         _folder(spark, f"{root}/{brand}")
     images = list_images(spark, root, recursive=True)
     base = root.rstrip("/")
-    inner = F.substring(F.col("path"), len(base) + 2, 1 << 20)
+    inner = F.substr(F.col("path"), F.lit(len(base) + 2))
     parts = F.split(inner, "/")
     source = F.when(F.size(parts) > 2, F.array_join(F.slice(parts, 2, F.size(parts) - 2), "/")).otherwise(F.lit(""))
     return images.select(

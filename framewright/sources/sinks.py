@@ -7,16 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framewright.functions.decimals import fixed
 from framewright.functions.geometry import stem
 
 
-def _fixed(column: str, decimals: int):
-    return F.format_string(f"%.{decimals}f", F.bround(F.col(column).cast("double"), decimals))
-
-
 def formatted(df: DataFrame, decimals: dict[str, int]) -> DataFrame:
     """Numbers as text with a fixed count of decimals."""
-    return df.withColumns({c: _fixed(c, n) for c, n in decimals.items()})
+    return df.withColumns({c: fixed(F.col(c), n) for c, n in decimals.items()})
 
 
 def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
@@ -43,7 +40,7 @@ def write_label_texts(lines: DataFrame, frames: DataFrame, path: str) -> None:
 
 def write_review_list(queue: DataFrame, path: str) -> None:
     """Text lines ``status⇥confidence⇥file`` in review order (``position`` ranks them)."""
-    line = F.concat_ws("\t", "status", _fixed("min_confidence", 2), "file")
+    line = F.concat_ws("\t", "status", fixed(F.col("min_confidence"), 2), "file")
     placed = queue.select("position", line.alias("value")).repartitionByRange("position")
     placed.sortWithinPartitions("position").select("value").write.mode("overwrite").text(path)
 

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from framewright import schemas as C
+from framewright.functions.decimals import fixed
 from framewright.functions import answers as A
 from framewright.functions import geometry as G
 from framewright.functions import naming as N
@@ -45,20 +46,29 @@ def test_video_moment(frame):
 
 
 def test_pair_keys_join_copies_to_originals(frame):
-    df = frame([("truck_00001.jpg",), ("truck_00001_aug.jpg",), ("truckaug_00001.jpg",)], "file string")
+    df = frame([("truck_00001.jpg",), ("truck_00001_aug.jpg",), ("truckaug_00001.jpg",), ("00001.webp",)], "file string")
     keys = {r["k"] for r in df.select(N.pair_key(F.col("file")).alias("k")).collect()}
-    assert keys == {"00001"}
-    assert [r["c"] for r in df.select(N.is_copy(F.col("file")).alias("c")).collect()] == [False, True, True]
+    assert keys == {"truck_00001", "00001"}  # a bare number is another frame
+    assert [r["c"] for r in df.select(N.is_copy(F.col("file")).alias("c")).collect()] == [False, True, True, False]
 
 
 def test_crop_is_never_empty_and_stays_inside(frame):
-    df = frame([(0.0, 0.0, 0.0, 0.0), (0.99, 0.5, 0.2, 0.5)], "cx double, cy double, w double, h double")
+    df = frame([(0.0, 0.0, 0.0, 0.0), (0.99, 0.5, 0.2, 0.5), (1.3, -0.4, 0.1, 0.1)], "cx double, cy double, w double, h double")
     box = G.crop_window(*[F.col(c) for c in ("cx", "cy", "w", "h")], F.lit(100), F.lit(50), margin=0.1, max_side=20)
     for r in df.select(*[v.alias(k) for k, v in box.items()]).collect():
         assert 0 <= r["left"] < r["right"] <= 100 and 0 <= r["top"] < r["bottom"] <= 50
         assert 0 < r["scale"] <= 1
 
 
+def test_decimals_round_the_exact_binary_value(spark):
+    values = [0.12345, 1.00005, 0.43215, 0.5, 0.25, 0.125, 2.5, 0.0, -0.12345, -2.5, 1e-9, 123456.654321]
+    values += [k / 10_000 + 0.00005 for k in range(3000)] + [k / 64 for k in range(200)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    for n in (2, 4, 6):
+        got = [r[0] for r in rows.select(fixed(F.col("v"), n)).collect()]
+        assert [g.replace("-0.0000", "0.0000") for g in got if float(g) or True] == [f"{v:.{n}f}".replace("-0.0000", "0.0000") for v in values]
+
+
 def test_letterbox_centres(frame):
     df = frame([(400, 100)], "w int, h int")
     row = df.select(*[v.alias(k) for k, v in G.letterbox(F.col("w"), F.col("h"), 224).items()]).first()
@@ -106,7 +116,7 @@ def test_replies_with_defaults_and_failures(frame):
     assert got[3]["error"] == "HTTP 500"
     long = frame([(None, "x" * 500), ('{"category":"road_sign","reason":"%s"}' % ("y" * 300), None)], "reply string, failure string")
     judged = long.select(*[v.alias(k) for k, v in A.parse_judge_reply(F.col("reply"), F.col("failure")).items()]).collect()
-    assert judged[0]["category"] == "error" and len(judged[0]["reason"]) == 200
+    assert judged[0]["category"] == "error" and len(judged[0]["reason"]) == 500
     assert judged[1]["category"] == "road_sign" and len(judged[1]["reason"]) == 300
 
 

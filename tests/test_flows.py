@@ -116,6 +116,12 @@ def test_store_reuses_only_the_same_ids(spark, frame, tmp_path):
     assert served == [False, True, False, False, False] and len(calls) == 4
     with pytest.raises(ValueError):
         feature_store.features(one, str(tmp_path), "g", "1", 2, lambda: compute(one))
+    # a rebuild of the wrong width leaves the store as it was
+    feature_store.features(one, str(tmp_path), "h", "1", 1, lambda: compute(one))
+    with pytest.raises(ValueError):
+        feature_store.features(two, str(tmp_path), "h", "1", 2, lambda: compute(two))
+    data, served_ = feature_store.features(one, str(tmp_path), "h", "1", 1, lambda: compute(one))
+    assert served_ and sorted(r["id"] for r in data.collect()) == [1, 2]
 
 
 def test_extractors_check_their_width(spark, frame):

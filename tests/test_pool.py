@@ -107,10 +107,22 @@ def test_split_properties(frame, partitions):
     assert other != part
 
 
+def test_shared_photos_and_box_totals(frame):
+    images = frame([("train", "a.jpg", b"x"), ("val", "b.jpg", b"x"), ("val", "c.jpg", b"x"), ("test", "d.jpg", b"y")], "split string, name string, content binary")
+    photos = audit.shared_photos(audit.digests(images)).collect()
+    assert [(r["members"], r["parts"]) for r in photos] == [(3, {"train": 1, "val": 2})]
+    labels = frame([("train", "a.txt", "0 1 1 1 1\n"), ("train", "orphan.txt", "0 1 1 1 1\n0 2 2 2 2")], "split string, name string, text string")
+    found = audit.findings(images, labels)
+    counts = {r["kind"]: r["findings"] for r in audit.finding_counts(found).collect()}
+    assert counts["same_photo_in_two_splits"] == 1 and found.filter("kind = 'same_photo_in_two_splits'").count() == 3
+    totals = {r["split"]: (r["boxes"], r["frames"], r["mean_boxes"]) for r in audit.box_totals(images, labels).collect()}
+    assert totals == {"train": (1, 1, 1.0), "val": (0, 2, 0.0), "test": (0, 1, 0.0)}
+
+
 def test_copies_follow_their_original(frame):
-    df = frame([("truck_1.jpg", "val"), ("truck_1_aug.jpg", "train"), ("truckaug_1.jpg", "test"), ("lone_aug.jpg", "test")], "file string, split string")
+    df = frame([("1.webp", "train"), ("truck_1.jpg", "val"), ("truck_1_aug.jpg", "train"), ("truckaug_1.jpg", "test"), ("lone_aug.jpg", "test")], "file string, split string")
     got = {r["file"]: r["split"] for r in splits.follow_originals(df).collect()}
-    assert got == {"truck_1.jpg": "val", "truck_1_aug.jpg": "val", "truckaug_1.jpg": "val", "lone_aug.jpg": "test"}
+    assert got == {"1.webp": "train", "truck_1.jpg": "val", "truck_1_aug.jpg": "val", "truckaug_1.jpg": "val", "lone_aug.jpg": "test"}
 
 
 def _scenes(rows, gap):

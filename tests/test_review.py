@@ -19,7 +19,7 @@ def case(frame):
         [("1", "ad_surface", 1), ("2", "ad_surface", 1), ("3", "building", 1), ("4", "road_sign", 1), ("5", "ad_surface", 1), ("6", "ad_surface", 1)],
         "box_id string, category string, answered_at bigint",
     )
-    verdicts = frame([("6", "disputed")], "box_id string, verdict string")
+    verdicts = frame([("6", "keep", 1), ("6", "disputed", 2)], "box_id string, verdict string, given_at bigint")
     return frames, found, answers, verdicts
 
 
@@ -44,7 +44,7 @@ def test_stride_turns_boxless_frames_into_negatives(frame):
 def test_human_word_beats_the_model_and_the_last_answer_counts(frame):
     found = frame([box(1, "a.jpg"), box(2, "a.jpg"), box(3, "a.jpg"), box(4, "a.jpg")], BOX)
     answers = frame([("1", "building", 1), ("2", "building", 1), ("2", "ad_surface", 2), ("4", "error", 1)], "box_id string, category string, answered_at bigint")
-    verdicts = frame([("1", "keep"), ("2", "")], "box_id string, verdict string")
+    verdicts = frame([("1", "drop", 1), ("1", "keep", 2), ("2", "", 1)], "box_id string, verdict string, given_at bigint")
     fate = lambda **kw: {r["box_id"]: r["fate"] for r in review.settle_boxes(found, answers, verdicts, **kw).collect()}
     assert fate() == {"1": "keep", "2": "keep", "3": "disputed", "4": "disputed"}
     assert fate(error_as_unanswered=False)["4"] == "drop"

@@ -57,7 +57,7 @@ def test_arm_summary_pairs_folds(frame):
 
 def test_truth_by_file_or_stem(frame):
     answers = frame([("a.jpg",), ("b.jpg",), ("c.jpg",)], "file string")
-    truth = frame([("a.jpg", "mts"), ("b", "tele2"), ("c.jpg", ""), ("c", "volna")], "file string, brand string")
+    truth = frame([("a.jpg", "volna", 1), ("a.jpg", "mts", 2), ("b", "tele2", 1), ("c.jpg", "", 1), ("c", "volna", 1)], "file string, brand string, listed_at int")
     got = {r["file"]: r["truth"] for r in scoring.with_truth(answers, truth).collect()}
     assert got == {"a.jpg": "mts", "b.jpg": "tele2", "c.jpg": "volna"}
 
@@ -73,7 +73,7 @@ def test_answers_of_a_run_with_failures(frame):
 
         return ask
 
-    truth = frame([("a", "mts"), ("c", "mts")], "file string, brand string")
+    truth = frame([("a", "mts", 1), ("c", "mts", 1)], "file string, brand string, listed_at int")
     rows = classification.answer(frames, truth, make, "content", probe=lambda: True, sessions=2)
     got = {r["file"]: (r["decided"], r["verdict"], r["truth"], r["error"]) for r in rows.collect()}
     assert got == {"a.jpg": ("mts", "confirmed", "mts", ""), "b.jpg": ("unclear", "confirmed", "", "HTTP 500"), "c.jpg": ("unclear", "review", "mts", "")}
