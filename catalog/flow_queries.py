@@ -347,14 +347,16 @@ def st01(d):
     """WITH c AS (SELECT user_id AS recording, ts, sum(cut) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS scene
                   FROM (SELECT *, CASE WHEN coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) >= INTERVAL 6 HOURS, true)
                                        THEN 1 ELSE 0 END AS cut FROM {events}))
-       SELECT recording, epoch_us(min(ts)) AS first_us, epoch_us(max(ts)) AS last_us, count(*) AS frames FROM c GROUP BY recording, scene""",
+       SELECT recording, epoch_us(min(ts)) AS first_us, epoch_us(max(ts)) AS last_us, count(*) AS frames FROM c GROUP BY recording, scene
+       HAVING max(ts) + INTERVAL 6 HOURS <= (SELECT max(ts) FROM {events}) - INTERVAL 10 MINUTES""",
 )
 def st02(d):
     base = scratch_path(d.spark, "scenes")
     # the wall clock of the recording, taken as it stands in whatever zone the session uses
     at = F.expr("timestamp_micros(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(ts AS timestamp_ntz)))")
     frames = stream(d, "events").select(F.col("user_id").alias("recording"), at.alias("at"))
-    live.drain(live.live_scenes(frames, gap_seconds=21600), f"{base}/out", f"{base}/mark").awaitTermination()
+    # closed scenes only: the watermark drops their state, so the open ones at the end aren't written yet
+    live.drain(live.live_scenes(frames, gap_seconds=21600), f"{base}/out", f"{base}/mark", mode="append").awaitTermination()
     table = d.spark.read.parquet(f"{base}/out")
     return table.select("recording", F.unix_micros("first_at").alias("first_us"), F.unix_micros("last_at").alias("last_us"), "frames")
 

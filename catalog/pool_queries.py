@@ -543,7 +543,7 @@ def ag31_matches(d):
              m AS (SELECT step, left_id AS id FROM b, u WHERE iou >= step
                    QUALIFY row_number() OVER (PARTITION BY step, right_id ORDER BY left_conf DESC, left_id DESC) = 1),
              shown AS (SELECT id, step, 'part ' || substr(id, 1, 0) || right(replace(file, '.jpg', ''), 1) AS part,
-                              round_even(confidence, 4) AS level FROM {{scans}}, u WHERE scan = 'O'),
+                              confidence AS level FROM {{scans}}, u WHERE scan = 'O'),
              pts AS (SELECT part, step, level, count(*) AS n, count(m.id) AS tp FROM shown LEFT JOIN m USING (id, step) GROUP BY ALL),
              t AS (SELECT 'part ' || right(replace(file, '.jpg', ''), 1) AS part, count(*) AS truths FROM {{scans}} WHERE scan = 'F' GROUP BY ALL),
              c AS (SELECT *, sum(tp) OVER w AS ctp, sum(n) OVER w AS cn FROM pts JOIN t USING (part)

@@ -14,6 +14,8 @@ from framewright.operators.ranking import ordered_rank
 from framewright.session import pin
 
 SIDES = ("cx", "cy", "w", "h")
+#: Bands per unit of confidence in which precision-recall curves are built.
+CONFIDENCE_BANDS = 4096
 IOU_STEPS = tuple(round(0.5 + 0.05 * k, 2) for k in range(10))
 
 
@@ -156,28 +158,39 @@ def detection_quality(
 ) -> DataFrame:
     """AP@0.5, mean AP, and precision and recall at the best F1, per part.
 
-    Confidences carry four decimals, so the curve is built on at most 10,001
-    levels per part and step; predictions of equal confidence form one point.
+    Predictions of equal confidence form one point of the curve.  Running sums
+    and the envelope are taken within bands of confidence, and once over the
+    few bands, so no task holds a whole curve.
     """
-    level = F.bround("confidence", 4).alias("level")
+    level = F.col("confidence").alias("level")
     hits = matched_detections(predictions, truths, steps=steps).join(predictions.select("id", part, level), "id")
     hits = hits.groupBy(part, "step", "level").agg(F.count("*").alias("tp"))
     shown = predictions.groupBy(part, level).agg(F.count("*").alias("n"))
     shown = shown.withColumn("step", F.explode(F.array(*[F.lit(s) for s in steps])))
     points = shown.join(hits, [part, "step", "level"], "left").fillna(0, subset=["tp"])
     total = truths.groupBy(part).agg(F.count("*").alias("truths"))
-    down = W.partitionBy(part, "step").orderBy(F.desc("level"))
+    key = [part, "step", "_band"]
+    points = points.withColumn("_band", F.floor(F.col("level") * CONFIDENCE_BANDS))
+    bands = W.partitionBy(part, "step").orderBy(F.desc("_band"))
+    before = bands.rowsBetween(W.unboundedPreceding, -1)
+    sums = points.groupBy(*key).agg(F.sum("tp").alias("_t"), F.sum("n").alias("_m"))
+    above = sums.select(*key, *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}0") for c in ("_t", "_m")])
+    down = W.partitionBy(*key).orderBy(F.desc("level"))
     upto = down.rowsBetween(W.unboundedPreceding, 0)
     curve = (
         points.join(total, part)
-        .withColumn("_tp", F.sum("tp").over(upto))
-        .withColumn("_n", F.sum("n").over(upto))
+        .join(above, key)
+        .withColumn("_tp", F.sum("tp").over(upto) + F.col("_t0"))
+        .withColumn("_n", F.sum("n").over(upto) + F.col("_m0"))
         .withColumn("recall", F.col("_tp") / F.col("truths"))
         .withColumn("precision", F.col("_tp") / F.col("_n"))
     )
-    curve = curve.withColumn("_best", F.max("precision").over(down.rowsBetween(0, W.unboundedFollowing)))
-    rise = F.col("recall") - F.coalesce(F.lag("recall").over(down), F.lit(0.0))
-    curve = curve.withColumn("_area", rise * F.col("_best"))
+    peaks = curve.groupBy(*key).agg(F.max("precision").alias("_p"))
+    after = bands.rowsBetween(1, W.unboundedFollowing)
+    below = peaks.select(*key, F.coalesce(F.max("_p").over(after), F.lit(0.0)).alias("_below"))
+    curve = curve.join(below, key)
+    best = F.greatest("_below", F.max("precision").over(down.rowsBetween(0, W.unboundedFollowing)))
+    curve = curve.withColumn("_area", F.col("tp") / F.col("truths") * best)
     f1 = 2 * F.col("_tp") / (F.col("_n") + F.col("truths"))
     per_step = curve.groupBy(part, "step").agg(
         F.sum("_area").alias("ap"), F.max(F.struct(f1.alias("f1"), "level", "precision", "recall")).alias("_peak")

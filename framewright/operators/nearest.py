@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from framewright.functions.chance import shuffle_key
 from framewright.session import pin
 
-MAX_PIVOTS = 1024
+#: Pivots grow with the root of the rows up to this many; beyond it cells are cut into more blocks.
+MAX_PIVOTS = 16_384
 ROWS_PER_TASK = 50_000
 
 
@@ -40,11 +41,13 @@ def _placed(vectors: DataFrame, pivots: np.ndarray, threshold: float) -> DataFra
     """Each vector in every cell where a partner may live.
 
     The home cell belongs to the nearest pivot.  If two vectors lie within
-    radius ``r``, the triangle inequality puts the second no further from the
-    first one's home pivot than its own distance plus ``2r``; so visiting all
-    such cells loses no pair.  ``near`` marks vectors within ``r`` of the pivot.
+    radius ``r``, the plane halfway between the two home pivots lies between
+    them, so neither is further than ``r`` from it; visiting all cells whose
+    plane is so near loses no pair.  ``near`` marks vectors within ``r`` of the
+    pivot.
     """
     radius = math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
+    apart = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (pivots @ pivots.T)))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -53,8 +56,8 @@ def _placed(vectors: DataFrame, pivots: np.ndarray, threshold: float) -> DataFra
             cosine = _unit(batch["vector"]) @ pivots.T
             distance = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * cosine))
             home = distance.argmin(axis=1)
-            reach = distance[np.arange(len(batch)), home] + 2.0 * radius + 1e-9
-            row, cell = np.nonzero(distance <= reach[:, None])
+            own = distance[np.arange(len(batch)), home][:, None]
+            row, cell = np.nonzero(distance**2 - own**2 <= 2.0 * apart[home] * radius + 1e-9)
             yield pd.DataFrame(
                 {
                     "id": batch["id"].to_numpy()[row],

@@ -213,6 +213,20 @@ def test_live_scenes_split_exactly_at_the_gap(spark, frame, tmp_path):
     assert got == [(1, 2), (1, 2), (2, 1)]
 
 
+def test_live_scenes_close_behind_the_watermark(spark, frame, tmp_path):
+    def add(rows):
+        at = F.timestamp_millis((F.col("s") * 1000).cast("long"))
+        frame(rows, "recording int, s double").coalesce(1).select("recording", at.alias("at")).write.mode("append").parquet(f"{tmp_path}/frames")
+        stream = spark.readStream.schema("recording int, at timestamp").parquet(f"{tmp_path}/frames")
+        scenes = live.live_scenes(stream, gap_seconds=5.0, lateness="10 seconds")
+        live.drain(scenes, f"{tmp_path}/out", f"{tmp_path}/mark", mode="append").awaitTermination()
+        return sorted((r["recording"], r["frames"]) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+
+    assert add([(1, 0.0), (1, 4.0), (2, 100.0)]) == [(1, 2)]
+    # a late frame behind the watermark is dropped, an open scene grows
+    assert add([(1, 2.0), (2, 103.0), (3, 300.0)]) == [(1, 2), (2, 2)]
+
+
 def test_scratch_stays_below_the_checkpoint_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     path = scratch_path(spark, "x")
