@@ -164,6 +164,6 @@ def make_client():
               CASE WHEN lang = 'en' THEN 'other' ELSE 'mts' END AS truth FROM a""",
 )
 def answers(d):
-    truth = d.samples.select("file", F.when(F.col("lang") == "en", "other").otherwise("mts").alias("brand"))
+    truth = d.samples.select("file", F.when(F.col("lang") == "en", "other").otherwise("mts").alias("brand"), F.lit(1).alias("listed_at"))
     rows = classification.answer(d.samples.select("file", "content"), truth, make_client, "content", probe=lambda: True)
     return rows.select("file", "brand", "error", "verdict", "truth")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.registry import query
 from framewright import schemas as C
+from framewright.functions import requests
 from framewright.operators import scoring
 
 T = "('beeline', 'megafon', 'mts', 'tele2', 'volna', 'miranda', 'plus7')"
@@ -97,6 +98,41 @@ def ag18(d):
     return scoring.compare_runs(d.run_one_graded, d.run_two_graded, C.TARGETS)
 
 
+@query(
+    "ag18_comparison_totals",
+    f"""SELECT (SELECT count(*) FROM {{run_one_graded}} a JOIN {{run_two_graded}} b USING (file)) AS common,
+               sum(a.hits)::BIGINT AS hits_before, sum(b.hits)::BIGINT AS hits_after,
+               sum(a.false_positives)::BIGINT AS false_before, sum(b.false_positives)::BIGINT AS false_after
+        FROM ({card(COMMON_ONE)}) a JOIN ({card(COMMON_TWO)}) b USING (name)""",
+)
+def ag18_totals(d):
+    return scoring.comparison_totals(d.run_one_graded, d.run_two_graded, C.TARGETS)
+
+
+@query(
+    "ag14_failures",
+    "SELECT count(*) AS answers, count(*) FILTER (n_chars % 11 = 0) AS failed FROM {samples}",
+)
+def ag14_failures(d):
+    error = F.when(F.col("n_chars") % 11 == 0, "timeout").when(F.col("n_chars") % 2 == 0, "")
+    return scoring.failures(d.samples.select("file", error.alias("error")))
+
+
+@query(
+    "ml08_request_bodies",
+    """SELECT file, concat('{{"messages": [{{"role": "user", "content": [{{"type": "image_url", "image_url": {{"url": "data:image/jpeg;base64,',
+              base64(encode(content)), '"}}}}, {{"type": "text", "text": "Whose sign is this?"}}]}}], "temperature": 0.0, "max_tokens": 400, ',
+              '"response_format": {{"type": "json_schema", "json_schema": {{"name": "brand", "schema": {{"type": "object", "properties": ',
+              '{{"brand": {{"type": "string"}}, "basis": {{"type": "string"}}, "evidence": {{"type": "string"}}, "visible_text": {{"type": "string"}}}}, ',
+              '"required": ["brand", "basis", "evidence", "visible_text"], "additionalProperties": false}}, "strict": true}}}}, "model": "small", ',
+              '"chat_template_kwargs": {{"enable_thinking": false}}}}') AS body FROM {samples}""",
+)
+def ml08_bodies(d):
+    schema = requests.answer_schema(requests.BRAND_FIELDS)
+    body = requests.chat_request(F.col("content").cast("binary"), "Whose sign is this?", schema, name="brand", model="small")
+    return d.samples.select("file", body.alias("body"))
+
+
 @query(
     "ag18_changed_decisions",
     """SELECT a.file, a.truth, a.decided AS before, b.decided AS after,

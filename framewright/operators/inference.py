@@ -72,6 +72,10 @@ def extract(df: DataFrame, extractor: Extractor, column: str, *, key: str = "id"
     return df.select(key, udf(column).alias("values"))
 
 
+#: Rows that one task asks a service about.
+CALLS_PER_TASK = 200
+
+
 def detect(
     frames: DataFrame, make_detector: Callable[[], Callable[[list], list[list[Sequence[float]]]]], column: str, *,
     batch: int = 16, min_confidence: float = 0.25,
@@ -103,11 +107,13 @@ def ask_service(
 ) -> DataFrame:
     """Ask a service about every row: ``key, reply, failure, seconds``.
 
-    One client per partition; ``sessions`` bounds how many run at once.  A
-    failed call becomes data and never ends the job.
+    One client per partition.  Partitions hold about ``CALLS_PER_TASK`` rows, so
+    a lost task asks few rows again and many can run at once; how many do is up
+    to the cluster's cores.  ``sessions`` sets their number instead.  A failed
+    call becomes data and never ends the job.
     """
     asked = rows.select(key, column)
-    asked = asked.repartition(sessions) if sessions else asked
+    asked = asked.repartition(sessions or max(1, -(-rows.count() // CALLS_PER_TASK)))
     text = T.StringType()
     schema = T.StructType(
         [rows.schema[key], T.StructField("reply", text), T.StructField("failure", text), T.StructField("seconds", T.DoubleType())]

@@ -38,6 +38,11 @@ def answer_shares(outcomes: DataFrame, column: str = "decided") -> DataFrame:
     return counts.withColumn("share", F.col("answers") / outcomes.agg(F.count("*")).scalar())
 
 
+def failures(outcomes: DataFrame) -> DataFrame:
+    """Answers and how many of them are failed calls (``error`` says why)."""
+    return outcomes.agg(F.count("*").alias("answers"), F.count_if(F.coalesce("error", F.lit("")) != "").alias("failed"))
+
+
 def accuracy(outcomes: DataFrame) -> DataFrame:
     """Right answers after and before the trust check (``decided`` and ``brand``)."""
     return graded(outcomes).agg(
@@ -107,6 +112,14 @@ def run_coverage(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
+def comparison_totals(before: DataFrame, after: DataFrame, targets: Sequence[str]) -> DataFrame:
+    """Right decisions and false positives of both runs over their common files."""
+    sums = compare_runs(before, after, targets).agg(
+        *[F.sum(c).alias(c) for c in ("hits_before", "hits_after", "false_before", "false_after")]
+    )
+    return common_outcomes(before, after).agg(F.count("*").alias("common")).join(F.broadcast(sums))  # one row each
+
+
 def compare_runs(before: DataFrame, after: DataFrame, targets: Sequence[str]) -> DataFrame:
     """Per brand: hits and false positives of both runs on common files, and the shift."""
     both = common_outcomes(before, after)

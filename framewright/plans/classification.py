@@ -96,7 +96,7 @@ def standard_arms(samples: DataFrame, dims: Mapping[str, Sequence[str]]) -> tupl
 
 def answer(
     frames: DataFrame, truth: DataFrame, make_client: Callable, column: str, *, probe: Callable[[], bool] | None = None,
-    limit: int = 0, accept_logo: bool = False, sessions: int = 8,
+    limit: int = 0, accept_logo: bool = False, sessions: int | None = None,
 ) -> DataFrame:
     """Ask the vision model about every frame; trust, decision and truth beside its answer."""
     if probe is not None:
@@ -116,6 +116,7 @@ def score(outcomes: DataFrame) -> dict[str, DataFrame]:
         "answers": scoring.answer_shares(outcomes),
         "bases": scoring.answer_shares(outcomes, "basis"),
         "accuracy": scoring.accuracy(outcomes),
+        "failures": scoring.failures(outcomes),
         "brands": scoring.precision_recall(outcomes, C.TARGETS),
         "scorecard": scoring.scorecard(graded, C.TARGETS),
         "totals": scoring.score_totals(graded, C.TARGETS),
@@ -128,6 +129,7 @@ def compare(before: DataFrame, after: DataFrame) -> dict[str, DataFrame]:
     return {
         "coverage": scoring.run_coverage(old, new),
         "brands": scoring.compare_runs(old, new, C.TARGETS),
+        "totals": scoring.comparison_totals(old, new, C.TARGETS),
         "changes": scoring.changed_decisions(old, new),
     }
 

@@ -142,7 +142,7 @@ def scan(frames: DataFrame, make_detector: Callable, column: str, *, min_confide
     return boxes.named_crops(boxes.number_boxes(ordered, ["_doubt", "cx", "cy", "w", "h"]).drop("_doubt"))
 
 
-def judge(boxes_: DataFrame, answers: DataFrame, make_client: Callable, column: str, *, probe: Callable[[], bool] | None = None, sessions: int = 8) -> DataFrame:
+def judge(boxes_: DataFrame, answers: DataFrame, make_client: Callable, column: str, *, probe: Callable[[], bool] | None = None, sessions: int | None = None) -> DataFrame:
     """Review stage two: ask about the boxes nobody has answered; append the result to the log."""
     if probe is not None:
         require_service(probe, "judge")

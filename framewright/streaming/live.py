@@ -14,7 +14,7 @@ from framewright.operators.review import last_answers, pending_boxes
 
 
 def judge_stream(
-    boxes: DataFrame, answers_path: str, checkpoint: str, make_client: Callable, column: str, *, schema: str, sessions: int = 8
+    boxes: DataFrame, answers_path: str, checkpoint: str, make_client: Callable, column: str, *, schema: str, sessions: int | None = None
 ) -> StreamingQuery:
     """Ask about boxes as they arrive; append each answer once.
 
