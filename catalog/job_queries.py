@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from catalog.pool_queries import SCENE_ROWS, SCENES
 from catalog.registry import query
-from catalog.review_queries import FATES, REPORT
+from catalog.review_queries import FATES, LINE, REPORT, SETTLED
 from catalog.score_queries import card
 from framewright.operators import pool
 from framewright.operators.reports import frame_report
 from framewright.plans import classification, detection
+from framewright.session import scratch_path
 
 
 def sized(n: str = "n") -> str:
@@ -167,3 +168,44 @@ def answers(d):
     truth = d.samples.select("file", F.when(F.col("lang") == "en", "other").otherwise("mts").alias("brand"), F.lit(1).alias("listed_at"))
     rows = classification.answer(d.samples.select("file", "content"), truth, make_client, "content", probe=lambda: True)
     return rows.select("file", "brand", "error", "verdict", "truth")
+
+
+@query(
+    "job_stored_labels",
+    f"""WITH f AS ({FATES}), s AS ({SETTLED})
+        SELECT f.file, s.index, s.line FROM f LEFT JOIN (SELECT file, index, {LINE} AS line FROM s WHERE fate = 'keep') s USING (file)
+        WHERE f.status IN ('clean', 'fixed', 'negative')""",
+)
+def stored_labels(d):
+    return _stored_review(d, "labels")
+
+
+@query(
+    "job_stored_disputed",
+    f"""WITH s AS ({SETTLED})
+        SELECT file, index, {LINE} AS line FROM s WHERE fate <> 'drop' AND file IN (SELECT file FROM s WHERE fate = 'disputed')""",
+)
+def stored_disputed(d):
+    return _stored_review(d, "disputed")
+
+
+def _stored_review(d, part):
+    """The review written as a whole, one part read back."""
+    path = scratch_path(d.spark, "stored-review")
+    detection.store_review(detection.apply_verdicts(d.frames, d.boxes, d.answers, d.verdicts), path)
+    return d.spark.read.parquet(f"{path}/{part}")
+
+
+@query(
+    "job_prelabel_boxes",
+    """SELECT file, 0.25e0 + (CAST(substr(file, 7, 9) AS int) % 7) / 10e0 AS confidence,
+              (least(width, 30.0) + 10) / 2 / width AS cx, (least(height, 45.0) + 20) / 2 / height AS cy
+       FROM {frames}""",
+)
+def prelabel_boxes(d):
+    def make():
+        # stands in for a detector: one box per frame, told from its name
+        return lambda names: [[(10.0, 20.0, 30.0, 45.0, 0.25 + int(n[6:15]) % 7 / 10)] for n in names]
+
+    rows = d.frames.select("file", "width", "height", F.col("file").alias("picture"))
+    return detection.prelabel(rows, make, "picture")["boxes"].select("file", "confidence", "cx", "cy")

@@ -202,6 +202,7 @@ def evaluate(predictions: DataFrame, truths: DataFrame, *, part: str = "split")
 
 
 def store_review(result: dict[str, DataFrame], path: str, *, empty_stride: int = 0) -> None:
-    """Write what :func:`apply_verdicts` settled."""
+    """Write what :func:`apply_verdicts` settled: fates, queue, label lines, and the lines of disputed frames for a human."""
     sinks.write_fates(review.with_notes(result["fates"], empty_stride=empty_stride), result["queue"], path)
     sinks.write_label_texts(result["lines"], result["fates"].filter(~F.col("status").isin(C.FATE_DISPUTED, C.FATE_NO_BOXES)), f"{path}/labels")
+    sinks.write_label_texts(result["disputed"], result["fates"].filter(F.col("status") == C.FATE_DISPUTED), f"{path}/disputed")
