@@ -5,15 +5,19 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from framewright.functions.geometry import clamped_shares, crop_name, iou, shares
+from framewright.operators.nearest import components
 from framewright.operators.ranking import ordered_rank
 from framewright.session import pin
 
 SIDES = ("cx", "cy", "w", "h")
+#: Rounds over all conflicts before chains are settled one by one.
+PEELING_ROUNDS = 4
 #: Bands per unit of confidence in which precision-recall curves are built.
 CONFIDENCE_BANDS = 4096
 IOU_STEPS = tuple(round(0.5 + 0.05 * k, 2) for k in range(10))
@@ -62,10 +66,18 @@ def overlap_pairs(left: DataFrame, right: DataFrame, *, iou_min: float) -> DataF
 
 
 def _beaten(edges: DataFrame) -> DataFrame:
-    """Boxes that lose to an earlier accepted one, given edges ``earlier, later`` of a conflict."""
+    """Boxes that lose to an earlier accepted one, given edges ``earlier, later`` of a conflict.
+
+    A few rounds settle what is shallow, each everywhere at once.  What is left
+    are chains of conflicts, each within one file; they are found as connected
+    components in rounds in the logarithm of their length, and every chain is
+    settled by one pass in order.
+    """
     edges = pin(edges.select("earlier", "later"))
     lost = None
-    while not edges.isEmpty():
+    for _ in range(PEELING_ROUNDS):
+        if edges.isEmpty():
+            return lost
         later = edges.select(F.col("later").alias("earlier"))
         heads = edges.select("earlier").distinct().join(later, "earlier", "left_anti")
         out = pin(edges.join(heads, "earlier", "left_semi").select(F.col("later").alias("id")).distinct())
@@ -73,7 +85,25 @@ def _beaten(edges: DataFrame) -> DataFrame:
         for end in ("earlier", "later"):
             edges = edges.join(out.select(F.col("id").alias(end)), end, "left_anti")
         edges = pin(edges.join(heads, "earlier", "left_anti"))
-    return lost
+    if edges.isEmpty():
+        return lost
+    ends = edges.select(F.col("earlier").alias("u"), F.col("later").alias("v"))
+    chain = components(edges.select(F.col("earlier").alias("id")).distinct(), ends).withColumnRenamed("id", "earlier")
+    kind = edges.schema["later"].dataType.simpleString()
+    rest = edges.join(pin(chain), "earlier").groupBy("group").applyInPandas(_settle_chain, f"id {kind}")
+    return rest if lost is None else lost.unionByName(rest)
+
+
+def _settle_chain(edges: pd.DataFrame) -> pd.DataFrame:
+    """Losers of one chain of conflicts, first come first served."""
+    before: dict = {}
+    for earlier, later in zip(edges["earlier"], edges["later"], strict=True):
+        before.setdefault(later, []).append(earlier)
+    lost: set = set()
+    for box in sorted(before):
+        if any(x not in lost for x in before[box]):
+            lost.add(box)
+    return pd.DataFrame({"id": sorted(lost)})
 
 
 def merge_scans(base: DataFrame, extra: DataFrame, *, iou_min: float = 0.6) -> DataFrame:

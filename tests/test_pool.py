@@ -119,6 +119,15 @@ def test_shared_photos_and_box_totals(frame):
     assert totals == {"train": (1, 1, 1.0), "val": (0, 2, 0.0), "test": (0, 1, 0.0)}
 
 
+def test_long_chains_of_keys_take_few_rounds(frame, monkeypatch):
+    calls = []
+    monkeypatch.setattr(pool, "pin", lambda df, pin=pool.pin: calls.append(1) or pin(df))
+    # row i shares a key with row i - 1 and another with row i + 1
+    rows = [(i, f"a{(i + 1) // 2}", f"b{i // 2}") for i in range(1000)] + [(2000, None, None), (2001, None, "b0")]
+    got = sorted(r["at"] for r in pool.first_wins(frame(rows, "at int, stem string, mark string"), ["at"], ["stem", "mark"]).collect())
+    assert got == [*range(0, 1000, 2), 2000] and len(calls) <= 20
+
+
 def test_copies_follow_their_original(frame):
     df = frame([("1.webp", "train"), ("truck_1.jpg", "val"), ("truck_1_aug.jpg", "train"), ("truckaug_1.jpg", "test"), ("lone_aug.jpg", "test")], "file string, split string")
     got = {r["file"]: r["split"] for r in splits.follow_originals(df).collect()}

@@ -122,6 +122,22 @@ def test_merge_adds_only_new_boxes_and_continues_numbers(frame):
     assert (more["number"], more["index"]) == (2, 1)
 
 
+def test_long_chains_of_overlaps_take_few_rounds(frame, monkeypatch):
+    calls = []
+    monkeypatch.setattr(boxes, "pin", lambda df, pin=boxes.pin: calls.append(1) or pin(df))
+    # each box overlaps the next only
+    rows = [(f"e{i:04d}", "a", 0.1 * i, 0.5, 0.4, 0.4, 0.9) for i in range(300)]
+    kept = sorted(r["id"] for r in boxes.merge_scans(frame(rows[:0], SCAN), frame(rows, SCAN), iou_min=0.55).collect())
+    assert kept == [f"e{i:04d}" for i in range(0, 300, 2)] and len(calls) <= 20
+
+
+def test_quality_tells_confidences_apart_beyond_four_decimals(frame):
+    truth = frame([("t", "a", 0.5, 0.5, 0.2, 0.2, 0.0)], SCAN).withColumn("split", F.lit("test"))
+    rows = [("p1", "a", 0.1, 0.5, 0.2, 0.2, 0.500001), ("p2", "a", 0.5, 0.5, 0.2, 0.2, 0.500002)]
+    row = boxes.detection_quality(frame(rows, SCAN).withColumn("split", F.lit("test")), truth, part="split").first()
+    assert row["ap50"] == 1.0 and row["precision"] == 1.0
+
+
 def test_detection_quality_of_perfect_and_useless_predictions(frame):
     truth = frame([("t1", "a", 0.5, 0.5, 0.2, 0.2, 0.0), ("t2", "b", 0.5, 0.5, 0.2, 0.2, 0.0)], SCAN).withColumn("split", F.lit("test"))
     same = truth.withColumn("id", F.concat(F.lit("p"), "id")).withColumn("confidence", F.lit(0.9))

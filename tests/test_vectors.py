@@ -60,6 +60,18 @@ def test_near_copies_group_and_strangers_stay_alone(frame):
     assert tuple(nearest.group_totals(groups).first()) == (4, 3, 1, 1)
 
 
+def test_few_copies_of_each_vector_are_placed(frame):
+    rng = np.random.default_rng(0)
+    centres = rng.normal(size=(40, 64))
+    rows = [(i, (centres[i % 40] + 0.02 * rng.normal(size=64)).tolist()) for i in range(2000)]
+    spread = nearest._spread(frame(rows, "id int, vector array<double>"), len(rows))
+    _, pivots = nearest._pivots(spread, 0)
+    distance = np.sqrt(np.maximum(0, 2 - 2 * nearest._unit([r[1] for r in rows]) @ pivots.T))
+    by_reach = (distance <= distance.min(axis=1)[:, None] + 2 * np.sqrt(2 - 2 * 0.97)).sum()
+    # crowds that hold a pivot stay with it; only vectors far from every pivot go to several cells
+    assert nearest._placed(spread, pivots, 0.97).count() < 0.95 * by_reach
+
+
 def test_components_of_chains_stars_and_loops(frame):
     rng = random.Random(2)
     pairs = [(i, i + 1) for i in range(30)] + [(100, 100 + i) for i in range(1, 40)] + [(200, 200), (201, 202), (202, 201)]
