@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -49,6 +51,8 @@ FILLERS = ".-_*~'+^"
 LOOKALIKE_COST, FILLER_COST, DOUBLE_COST, RUN_COST = 1.0, 1.0, 4.0, 0.5
 #: Symbols of the character model: 0 for anything between words, a-z, and 32 classes of the bytes above 127.
 SYMBOLS = 59
+#: Signs that are decoded together; longer tokens go piece by piece.
+PIECE = 64
 #: Tokens a worker remembers.
 MEMORY = 400_000
 
@@ -84,9 +88,9 @@ def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def character_model(docs: DataFrame) -> np.ndarray:
     """Log probability of a symbol after two others, over all texts; at most ``SYMBOLS``³ counts reach the driver."""
-    found = docs.select("text").mapInArrow(_trigrams, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
+    found = docs.select("text").mapInArrow(_trigrams, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(SYMBOLS**3)
-    counts[found["code"].to_numpy(np.int64)] = found["n"].to_numpy(float)
+    counts[found["code"].to_numpy()] = found["n"].to_numpy()
     return trigram_model(counts.reshape(SYMBOLS, SYMBOLS, SYMBOLS))
 
 
@@ -137,8 +141,10 @@ def restore(token: str, model: np.ndarray) -> str:
 def token_words(token: str, model: np.ndarray) -> list[str]:
     """Words of a lower-case token, as written and restored."""
     found = _LETTERS.findall(token)
-    if len(token) <= 64 and _HIDDEN.search(token):
-        found += _LETTERS.findall(restore(token.strip(".,;:?\"()[]{}<>#%&"), model))
+    if _HIDDEN.search(token):
+        sign = token.strip(".,;:?\"()[]{}<>#%&")
+        for at in range(0, len(sign), PIECE):
+            found += _LETTERS.findall(restore(sign[at : at + PIECE], model))
     return [w for w in found if len(w) > 2]
 
 
@@ -149,7 +155,7 @@ def tokens_of(text: str) -> set[str]:
     for row in _SPREAD.findall(text):
         joined = row.replace(" ", "")
         if len(set(joined)) > 2:
-            found.update(joined[i : i + 64] for i in range(0, len(joined), 64))
+            found.update(joined[i : i + PIECE] for i in range(0, len(joined), PIECE))
     return found
 
 
@@ -157,25 +163,39 @@ def features(word: str) -> list[str]:
     return [word, *[f"{word[:n]}+" for n in BEGINNINGS if len(word) > n]]
 
 
+def neighbours(text: str) -> set[tuple[str, int]]:
+    """Different tokens of a text, each with a mark of the token before it."""
+    tokens = text.lower().split()
+    found = {(t, zlib.crc32(p.encode()) & 0xFFFF) for p, t in zip(["", *tokens], tokens)}
+    return found | {(t, 0) for t in tokens_of(text)}
+
+
 def _counter(model: np.ndarray) -> Callable:
-    schema = pa.schema([("feature", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])
+    """Texts per feature (neighbour -1), toxic ones also by the token before the word.  Feature ``''`` counts texts."""
+    schema = pa.schema([("feature", pa.string()), ("neighbour", pa.int32()), ("toxic", pa.int64()), ("clean", pa.int64())])
 
-    def flush(held: dict) -> pa.RecordBatch:
-        names = list(held)
-        return pa.record_batch([pa.array(names), pa.array([held[x][0] for x in names]), pa.array([held[x][1] for x in names])], schema=schema)
+    def flush(held: Counter, toxic: bool) -> pa.RecordBatch:
+        names, marks = zip(*held) if held else ((), ())
+        counts, none = pa.array(list(held.values()), pa.int64()), pa.array([0] * len(held), pa.int64())
+        columns = [pa.array(names, pa.string()), pa.array(marks, pa.int32()), *((counts, none) if toxic else (none, counts))]
+        return pa.record_batch(columns, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[int]] = {}
+        held = {True: Counter(), False: Counter()}
         for batch in batches:
             for text, toxic in zip(as_text(batch["text"]), batch["toxic"].to_pylist()):
-                own = {f for t in tokens_of(text) for w in token_words(t, model) for f in features(w)}
-                own.add("")  # counts documents
-                for f in own:
-                    held.setdefault(f, [0, 0])[0 if toxic else 1] += 1
-                if len(held) > MEMORY:
-                    yield flush(held)
-                    held = {}
-        yield flush(held)
+                if toxic:
+                    own = {(f, n) for t, n in neighbours(text) for w in token_words(t, model) for f in features(w)}
+                    own |= {(f, -1) for f, _ in own} | {("", -1), ("", zlib.crc32(text.encode()) & 0x7FFFFFFF)}
+                else:
+                    own = {(f, -1) for t in tokens_of(text) for w in token_words(t, model) for f in features(w)} | {("", -1)}
+                held[bool(toxic)].update(own)
+                for kind, counter in held.items():
+                    if len(counter) > MEMORY:
+                        yield flush(counter, kind)
+                        counter.clear()
+        for kind, counter in held.items():
+            yield flush(counter, kind)
 
     return run
 
@@ -189,8 +209,14 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, *, sample: int
     chosen = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(~held_out(F.col("doc_id")))
     chosen = chosen.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     learned = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")  # `sample` rows at most
-    counts = learned.mapInArrow(_counter(model), "feature string, toxic long, clean long")
-    counts = stored(counts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).filter("toxic > 1 OR feature = ''"), "toxicity-features")
+    counts = learned.mapInArrow(_counter(model), "feature string, neighbour int, toxic long, clean long")
+    counts = counts.groupBy("feature", "neighbour").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    # copies of a text repeat a word beside the same neighbour: they are one piece of evidence
+    texts = F.sum(F.when(F.col("neighbour") == -1, F.col("toxic")).otherwise(0))
+    places = F.count_if((F.col("toxic") > 0) & (F.col("neighbour") > 0))
+    counts = counts.groupBy("feature").agg(F.least(texts, places).alias("toxic"), F.sum("clean").alias("clean"))
+    counts = counts.filter("toxic > 1 OR feature = ''")
+    counts = stored(counts, "toxicity-features")
     total = counts.filter("feature = ''").first()
     toxic, clean = (total["toxic"], total["clean"]) if total else (0, 0)
     prior = math.log((toxic + 0.5) / (clean + 0.5))
@@ -199,8 +225,8 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, *, sample: int
     a, b = F.col("toxic") + 0.5, F.col("clean") + 0.5
     weight = F.log(a / (toxic + 1)) - F.log(b / (clean + 1)) - CAUTION * F.sqrt(1 / a + 1 / b)
     weighed = counts.filter("feature != ''").select("feature", "toxic", weight.alias("weight")).filter(F.col("weight") > LEAST_WEIGHT)
-    best = weighed.orderBy((F.col("toxic") * F.col("weight")).desc(), "feature").limit(keep).toPandas()
-    return prior, dict(zip(best["feature"], best["weight"].astype(float)))
+    best = weighed.orderBy((F.col("toxic") * F.col("weight")).desc(), "feature").limit(keep).toArrow()
+    return prior, dict(zip(best["feature"].to_pylist(), best["weight"].to_pylist()))
 
 
 def evidence(text: str, weights: dict[str, float], model: np.ndarray, memory: dict[str, float]) -> float:
