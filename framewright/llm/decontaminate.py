@@ -96,7 +96,7 @@ def _covered(spans: Column) -> Column:
 
 
 def contamination(docs: DataFrame, items: DataFrame, *, window: int = WINDOW) -> DataFrame:
-    """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``."""
+    """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, text_id`` (SHA-256 of the text)."""
     all_windows = _windows(items, window).withColumn("wid", F.unhex(F.sha2(F.concat_ws(" ", "window"), 256)))
     all_windows = stored(all_windows, "decontaminate-windows")
     windows = all_windows.select("wid", "window").distinct()
@@ -107,7 +107,7 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = WINDOW) ->
     counted = texts.select("doc_id", "text_id", F.size(words(F.col("text"))).cast("long").alias("n_words"))
     nothing = [F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"), F.sha2(F.lit(""), 256).alias("items_sha256")]
     if not sizes:
-        return counted.select("doc_id", "n_words", *nothing, F.lit(False).alias("contaminated"))
+        return counted.select("doc_id", "n_words", *nothing, F.lit(False).alias("contaminated"), "text_id")
 
     tokens = stored(_tokens(windows, sizes), "decontaminate-tokens")
     known = stored(tokens.select("size", "token").distinct(), "decontaminate-known")
@@ -144,10 +144,12 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = WINDOW) ->
         F.coalesce("n_items", F.lit(0)).alias("n_items"),
         F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         F.col("n_hit").isNotNull().alias("contaminated"),
+        "text_id",
     )
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, *, window: int = WINDOW) -> DataFrame:
     """Documents without any word of an item's window, with all their columns."""
-    bad = contamination(docs, items, window=window).filter("contaminated").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    bad = contamination(docs, items, window=window).filter("contaminated").select(F.col("text_id").alias("_text_id")).distinct()
+    own = docs.withColumn("_text_id", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
+    return own.join(stored(bad, "decontaminate-bad"), "_text_id", "left_anti").drop("_text_id")
