@@ -2,7 +2,7 @@
 
 Tier one is a minimal perfect hash over the vocabulary: a pre-token that is a vocabulary entry gets its id with one probe and one
 comparison.  Tier two is for the others: bytes in a linked list, candidate merges in a heap by rank, each merge looking up
-only its two neighbours.  Workers remember the answers for recent pieces, up to ``MEMORY`` of them.
+only its two neighbours.  Workers remember the answers for recent pieces, up to twice ``MEMORY`` of them.
 
 Defined results: null counts as the empty text, which has no ids and decodes to nothing; repeated rows and null ``doc_id`` get
 their own answers; an empty table gives an empty result; other columns are ignored by :func:`encode`.
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
 
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 
 from framewright.llm.common import as_text, spaced
 
-#: Pieces a worker remembers before it starts afresh.
-MEMORY = 400_000
+#: Pieces of a generation of a worker's memory, which has two.
+MEMORY = 800_000
 _MIX, _BITS = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 
@@ -92,71 +93,95 @@ class Codec:
             self.token[rank] = token
         self.decimal = [str(i) for i in range(top)]
         self.pairs: dict[int, int] = {}
+        # two generations each: what is still used moves to the younger one
         self.matches: dict[str, bytes] = {}
+        self.older_matches: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
 
-    def _joined(self, a: int, b: int) -> int:
+    def _learn_pair(self, key: int) -> int:
         """Id of two neighbours as one token, -1 if there is none."""
-        key = a << 32 | b
-        found = self.pairs.get(key)
-        if found is None:
-            if len(self.pairs) > 4 * MEMORY:
-                self.pairs.clear()
-            found = self.pairs[key] = self.table.find(self.token[a] + self.token[b])
+        found = self.pairs[key] = self.table.find(self.token[key >> 32] + self.token[key & 0xFFFFFFFF])
         return found
 
     def merge(self, match: bytes) -> list[int]:
-        """Ids of a pre-token by rank-ordered merges over linked bytes."""
-        ids = [self.single[b] for b in match]
+        """Ids of a pre-token by rank-ordered merges over linked bytes.
+
+        A heap entry is a rank and a place in one number; it is stale if the pair that now starts at the place has another rank.
+        """
+        ids = list(map(self.single.__getitem__, match))
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        joined = self._joined
-        heap = [(rank, i, ids[i], ids[i + 1]) for i in range(n - 1) if (rank := joined(ids[i], ids[i + 1])) >= 0]
+        pairs, learn = self.pairs, self._learn_pair
+        if len(pairs) > 2 * MEMORY:  # never within a merge, which checks its entries against it
+            pairs.clear()
+        heap = []
+        left = ids[0]
+        for i in range(n - 1):
+            right = ids[i + 1]
+            key = left << 32 | right
+            rank = pairs.get(key)
+            if rank is None:
+                rank = learn(key)
+            if rank >= 0:
+                heap.append(rank << 32 | i)
+            left = right
         heapify(heap)
         while heap:
-            rank, i, left, right = heappop(heap)
+            entry = heappop(heap)
+            i = entry & 0xFFFFFFFF
             j = after[i]
-            if ids[i] != left or j >= n or ids[j] != right:
-                continue  # one of the two is gone
+            if j >= n or ids[i] < 0 or pairs.get(ids[i] << 32 | ids[j]) != entry >> 32:
+                continue
+            rank = entry >> 32
             ids[i], ids[j] = rank, -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                if (r := joined(rank, ids[k])) >= 0:
-                    heappush(heap, (r, i, rank, ids[k]))
+                key = rank << 32 | ids[k]
+                found = pairs.get(key)
+                if found is None:
+                    found = learn(key)
+                if found >= 0:
+                    heappush(heap, found << 32 | i)
             h = before[i]
-            if h >= 0 and (r := joined(ids[h], rank)) >= 0:
-                heappush(heap, (r, h, ids[h], rank))
+            if h >= 0:
+                key = ids[h] << 32 | rank
+                found = pairs.get(key)
+                if found is None:
+                    found = learn(key)
+                if found >= 0:
+                    heappush(heap, found << 32 | h)
         return [x for x in ids if x >= 0]
 
     def _match(self, match: str) -> bytes:
-        found = self.matches.get(match)
+        found = self.matches.get(match) or self.older_matches.get(match)
         if found is None:
             data = match.encode()
             whole = self.table.find(data)
-            found = np.array([whole] if whole >= 0 else self.merge(data), "<u4").tobytes()
-            if len(self.matches) > MEMORY:
-                self.matches.clear()
+            found = np.array([whole], "<u4").tobytes() if whole >= 0 else array("I", self.merge(data)).tobytes()
+            if len(self.matches) > MEMORY // 2:
+                self.matches, self.older_matches = {}, self.matches
             self.matches[match] = found
         return found
 
-    def _piece(self, piece: str) -> bytes:
-        found = b"".join(map(self._match, self.pattern.findall(piece)))
-        if len(self.pieces) > MEMORY:
-            self.pieces.clear()
-        self.pieces[piece] = found
-        return found
+    def _learn_piece(self, part: str) -> None:
+        """Ids of a part of a text with the space before it."""
+        found = self.older_pieces.get(part)
+        if found is None:
+            found = b"".join(map(self._match, self.pattern.findall(" " + part)))
+        self.pieces[part] = found
 
     def encode(self, text: str) -> np.ndarray:
         parts = spaced(text)
         if parts is None:
             return np.frombuffer(b"".join(map(self._match, self.pattern.findall(text))), "<u4")
-        known = self.pieces.get
-        out = [self._piece(parts[0])] if parts[0] else []
-        for part in parts[1:]:
-            piece = " " + part
-            out.append(known(piece) or self._piece(piece))
-        return np.frombuffer(b"".join(out), "<u4")
+        rest = parts[1:]
+        if len(self.pieces) > MEMORY:
+            self.pieces, self.older_pieces = {}, self.pieces
+        for part in set(rest).difference(self.pieces):
+            self._learn_piece(part)
+        return np.frombuffer(b"".join([*map(self._match, self.pattern.findall(parts[0])), *map(self.pieces.__getitem__, rest)]), "<u4")
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.token.__getitem__, ids.tolist()))
