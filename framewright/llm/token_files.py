@@ -19,6 +19,7 @@ import os
 import struct
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,8 @@ RANK_BLOCK = 512
 MAGIC, HEADER = b"DAC1", struct.Struct("<4sQI")
 #: Ids of a segment, about (a document is never split), and text bytes of a writing task.
 SEGMENT_IDS, PART_BYTES = 1_000_000, 64_000_000
-#: Pieces that a worker remembers.
-MEMORY = 1_000_000
+#: Pieces of a generation of a worker's memory.
+MEMORY = 800_000
 FILES = "part int, seq int, n long, doc_ids array<long>, ends array<long>, body binary"
 
 
@@ -111,41 +112,45 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(definition)
         size = self.tokenizer.get_vocab_size()
         self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
+        # two generations: what is still used moves to the younger one
         self.memory: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Pieces start with their only space, so many go through the library as one text and are told apart by their first ids."""
-        if len(self.memory) + len(pieces) > MEMORY:
-            self.memory.clear()
-        joined = [p for p in pieces if not p[-1].isspace()]
-        lone = [p for p in pieces if p[-1].isspace()]
+    def _learn(self, parts: list[str]) -> None:
+        """Ids of parts after a space.  A part holds no other space, so many go through the library as one text, and the tokens
+        that open with a space tell them apart."""
+        joined = [p for p in parts if p and not p[-1].isspace()]
+        lone = [p for p in parts if not p or p[-1].isspace()]
         for at in range(0, len(joined), 4000):
             part = joined[at : at + 4000]
-            (ids,) = self._ids(["".join(part)])
+            (ids,) = self._ids([" " + " ".join(part)])
             cuts = np.flatnonzero(self.opens[ids])
             if len(cuts) != len(part):
                 lone += part
                 continue
-            data = ids.tobytes()
-            for piece, a, b in zip(part, cuts.tolist(), [*cuts[1:].tolist(), len(ids)]):
-                self.memory[piece] = data[4 * a : 4 * b]
-        for piece, ids in zip(lone, self._ids(lone)):
-            self.memory[piece] = ids.tobytes()
+            data, cuts = ids.tobytes(), [*(4 * cuts).tolist(), 4 * len(ids)]
+            self.memory.update(zip(part, map(data.__getitem__, map(slice, cuts[:-1], cuts[1:]))))
+        for part, ids in zip(lone, self._ids([" " + p for p in lone])):
+            self.memory[part] = ids.tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
         cut = [spaced(t) for t in texts]
-        wanted = {" " + p for parts in cut if parts for p in parts[1:]}
+        first = [t if parts is None else parts[0] for t, parts in zip(texts, cut)]
+        after = [parts[1:] if parts else () for parts in cut]
+        wanted = set(chain.from_iterable(after))
         if len(self.memory) > MEMORY:
-            self.memory.clear()
-        self._learn([p for p in wanted if p not in self.memory])
+            self.memory, self.older = {}, self.memory
+        wanted = wanted.difference(self.memory)
+        again = [p for p in wanted if p in self.older]
+        self.memory.update(zip(again, map(self.older.__getitem__, again)))
+        self._learn(list(wanted.difference(again)))
         # first pieces lack the space, and texts with other blanks before a space go whole
-        rest = iter(self._ids([t if parts is None else parts[0] for t, parts in zip(texts, cut)]))
-        memory = self.memory
-        return [b"".join([next(rest).tobytes(), *[memory[" " + p] for p in parts[1:]]]) if parts else next(rest).tobytes() for parts in cut]
+        recall = self.memory.__getitem__
+        return [b"".join([ids.tobytes(), *map(recall, parts)]) for ids, parts in zip(self._ids(first), after)]
 
 
 _encoders: dict[int, Encoder] = {}
