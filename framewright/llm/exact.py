@@ -11,7 +11,7 @@ and no list of its rows.  Rows find their group again by SHA-256 and XXH64 of th
 Defined results: null text counts as empty; texts of blanks only are one group; null ``doc_id`` loses every tie and may be the
 kept id only where a group has no other; of rows that tie in length and id the first in the table's order stays; an empty table
 gives an empty result; other columns are ignored by :func:`exact_groups` and passed through by :func:`drop_copies`.  Row
-order comes from the scan, so give a stored table.
+order is that of one scan, in which the rows are numbered and written.
 """
 
 from __future__ import annotations
@@ -111,16 +111,21 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch["doc_id"], batch["place"], pa.array(digests, pa.binary()), pa.array(marks, pa.int64())], schema=_ROW)
 
 
-def _placed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("place"), "text")
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a number ``_place``, written: scans may cut the files anew each time, so rows are numbered only once."""
+    return stored(docs.withColumn("_place", F.monotonically_increasing_id()), "exact-placed")
 
 
 def exact_groups(docs: DataFrame, *, salts: int = 16) -> DataFrame:
     """One row per document: ``doc_id, place, keep_id, keep_place, group_size, kept, text_sha256``.
 
-    ``place`` is the row's number in the scan; it tells rows with equal ids apart.
+    ``place`` is the row's number in one scan; it tells rows with equal ids apart.
     """
-    placed = _placed(docs)
+    return _groups(_numbered(docs.select("doc_id", "text")), salts)
+
+
+def _groups(numbered: DataFrame, salts: int) -> DataFrame:
+    placed = numbered.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_place").alias("place"), "text")
     entries = placed.mapInArrow(_local(salts), ENTRY)
     salted = entries.repartition("digest", "salt").sortWithinPartitions("digest").mapInArrow(_merge, ENTRY)
     merged = salted.repartition("digest").sortWithinPartitions("digest")
@@ -135,6 +140,6 @@ def exact_groups(docs: DataFrame, *, salts: int = 16) -> DataFrame:
 
 def drop_copies(docs: DataFrame, *, salts: int = 16) -> DataFrame:
     """The rows that stay, with all their columns."""
-    places = exact_groups(docs, salts=salts).filter("kept").select(F.col("place").alias("_place"))
-    kept = docs.withColumn("_place", F.monotonically_increasing_id())
-    return kept.join(places, "_place", "left_semi").drop("_place")
+    numbered = _numbered(docs)
+    places = _groups(numbered, salts).filter("kept").select(F.col("place").alias("_place"))
+    return numbered.join(places, "_place", "left_semi").drop("_place")

@@ -67,6 +67,31 @@ def test_drop_copies_keeps_other_columns(odd, corpus):
     assert kept.count() == len({BLANK.sub("", t or "") for _, t in corpus})
 
 
+def test_kept_rows_do_not_depend_on_how_later_scans_are_cut(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i % 50}", i) for i in range(400)], "doc_id long, text string, n long")
+    docs.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").write.parquet(str(tmp_path / "docs"))
+    plain = exact.stored
+    cut = iter(range(1, 100))
+
+    def stored(df, name):  # each time something is written, cores come and go
+        found = plain(df, name)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 900 * next(cut))
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+        return found
+
+    monkeypatch.setattr(exact, "stored", stored)
+    try:
+        read = spark.read.parquet(str(tmp_path / "docs"))
+        spark.conf.set("spark.sql.files.openCostInBytes", 1 << 30)
+        marks = {r["doc_id"]: r["kept"] for r in exact.exact_groups(read).collect()}
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        ids = sorted(r["n"] for r in exact.drop_copies(spark.read.parquet(str(tmp_path / "docs"))).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(i for i, k in marks.items() if k) == ids == list(range(50))
+
+
 def test_exact_of_nothing(empty):
     assert exact.exact_groups(empty).count() == 0
 
