@@ -1,10 +1,11 @@
 """Licence recognition by sentence rules, in DataFrame operations only.
 
-Texts are cut into sentences, the sentences normalised (A-Z in lower case, everything but letters and digits one blank), and
-joined by equality with the known licence sentences.  What is left of a text is its ordered sequence of sentence identifiers.
+Texts are cut at stops into blocks of lines, the lines normalised (A-Z in lower case, everything but letters and digits one blank,
+comment words at their start left out).  A known licence sentence is found where it fills one line or several lines that follow
+each other, so wrapped headers behind comment signs are found too; empty lines end a sentence.  What is left of a text is its ordered sequence of sentence identifiers.
 Licence rules are sequences too; they are tried in order, the more specific first, and each match uses its identifiers up.
 
-The known sentences and rules are a fixed list of this module, so their join is a broadcast of that list.  Texts meet by the
+The known sentences and rules are a fixed list of this module and part of the plan.  Texts meet by the
 SHA-256 of their content.  Defined results: null and empty texts have no sentences; repeated rows get equal answers; identifiers
 that no rule uses are counted as unmatched; an empty table gives an empty result; other columns are ignored.
 """
@@ -17,8 +18,10 @@ from pyspark.sql import functions as F
 from framewright.llm.common import stored
 from framewright.llm.decontaminate import lowered
 
-#: Ends of sentences: stops before blanks or the end, and line ends.
-ENDS = r"[.!?;:]+[\x20\x09-\x0D]+|[.!?;:]+\z|[\n\r]+"
+#: Ends of blocks: stops before blanks or the end.
+ENDS = r"[.!?;:]+[\x20\x09-\x0D]+|[.!?;:]+\z"
+#: Words that start a comment line.
+COMMENT = r"(?<![^\n\r])[\x20\t]*(?:rem|dnl)(?![a-z0-9])"
 
 #: Known licence sentences, normalised, by identifier.
 SENTENCES = {
@@ -74,10 +77,35 @@ RULES = (
     ("GPL-2.0-only", ("gpl-2",)),
     ("all-rights-reserved", ("all-rights",)),
 )
+#: Other wordings of known sentences; ``*`` stands for one to twelve words.
+VARIANTS = (
+    ("apache-grant", "licensed under the apache license version 2 0 the license"),
+    ("bsd-name", "neither the name of * nor the names of its contributors may be used to endorse or promote products derived from this "
+     "software without specific prior written permission"),
+    ("bsd-name", "neither the name of * nor the names of other contributors may be used to endorse or promote products derived from "
+     "this software without specific prior written permission"),
+    ("gpl-2-later", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the "
+     "free software foundation either version 2 of the license or at your option any later version"),
+)
+#: Rules of sentences that only the variants have; they come after the others.
+MORE_RULES = (("GPL-2.0-or-later", ("gpl-free", "gpl-2-later", "gpl-hope")), ("GPL-2.0-or-later", ("gpl-free", "gpl-2-later")))
 
 
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(lowered(sentence), "[^a-z0-9]+", " "))
+def normalised(block: Column) -> Column:
+    """Lines of letters and digits with single blanks between; an empty line stays empty."""
+    lines = F.regexp_replace(F.regexp_replace(lowered(block), COMMENT, " "), r"[^a-z0-9\n\r]+", " ")
+    return F.trim(F.regexp_replace(lines, r" ?(?:\r\n|\n|\r) ?", "\n"))
+
+
+def _pattern(sentence: str) -> str:
+    words = [r"[a-z0-9]+(?:[ \n][a-z0-9]+){0,11}" if w == "*" else w for w in sentence.split(" ")]
+    return r"[ \n]".join(words)
+
+
+def _wordings() -> list[tuple[str, str]]:
+    """Identifier and pattern of each wording, the longest first."""
+    every = sorted([*SENTENCES.items(), *VARIANTS], key=lambda x: -len(x[1]))
+    return [(i, _pattern(s)) for i, s in every]
 
 
 def sequence_of(ids: tuple[str, ...]) -> str:
@@ -86,7 +114,7 @@ def sequence_of(ids: tuple[str, ...]) -> str:
 
 def matched(sequence: Column) -> Column:
     """The sequence with every rule's match replaced by ``[licence]``, in order of the rules."""
-    for licence, ids in RULES:
+    for licence, ids in (*RULES, *MORE_RULES):
         sequence = F.replace(sequence, F.lit(sequence_of(ids)), F.lit(f"[{licence}]"))
     return sequence
 
@@ -94,12 +122,13 @@ def matched(sequence: Column) -> Column:
 def licences(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, n_sentences`` (known ones), ``sequence`` (their identifiers), ``licenses`` (comma-joined, in
     order of the text), ``n_unmatched`` (identifiers that no rule used)."""
-    spark = docs.sparkSession
-    known = spark.createDataFrame([(v, k) for k, v in SENTENCES.items()], "sentence string, id string")
+    wordings = _wordings()
+    known = rf"(?<![^\n])({'|'.join(p for _, p in wordings)})(?![^\n])"
+    named = F.coalesce(*[F.when(F.col("said").rlike(rf"\A(?:{p})\z"), F.lit(i)) for i, p in wordings])
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_id", F.unhex(F.sha2("text", 256)))
-    cut = texts.select("text_id", F.posexplode(F.split("text", ENDS, -1)).alias("pos", "raw"))
-    cut = cut.select("text_id", "pos", normalised(F.col("raw")).alias("sentence"))
-    hits = cut.join(F.broadcast(known), "sentence").select("text_id", "pos", "id").distinct()  # a fixed list
+    cut = texts.select("text_id", F.posexplode(F.split("text", ENDS, -1)).alias("block", "raw"))
+    said = cut.select("text_id", "block", F.posexplode(F.regexp_extract_all(normalised(F.col("raw")), F.lit(known), 1)).alias("line", "said"))
+    hits = said.select("text_id", F.struct("block", "line").alias("pos"), named.alias("id")).distinct()
     by_text = hits.groupBy("text_id").agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("found"))
     tagged = F.transform(F.col("found.id"), lambda i: F.concat(F.lit("<"), i, F.lit(">")))
     by_text = by_text.select("text_id", F.size("found").cast("long").alias("n_sentences"), F.array_join(tagged, "").alias("sequence"))

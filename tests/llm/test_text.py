@@ -217,6 +217,64 @@ def test_licences_by_ordered_sentences(spark, empty):
     assert license_scan.licences(empty).count() == 0
 
 
+def test_wrapped_licence_headers(spark):
+    apache = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+    mit = """MIT License
+
+Copyright (c) 2020 A. Author
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+    bsd = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the Example Project nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+    gpl = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."""
+    expected = ["Apache-2.0", "MIT", "BSD-3-Clause", "GPL-3.0-or-later", "GPL-2.0-or-later"]
+    plain = [apache, mit, bsd, gpl, gpl.replace("version 3", "version 2")]
+    for lead in ("", "# ", " * ", "// ", "dnl ", "REM "):
+        for end in ("\n", "\r\n"):
+            texts = [end.join(lead + x for x in t.split("\n")) for t in plain]
+            docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+            found = license_scan.licences(docs).orderBy("doc_id").collect()
+            assert [(r["licenses"], r["n_unmatched"]) for r in found] == [(e, 0) for e in expected], (lead, end)
+    apart = spark.createDataFrame([(0, "released under\n\nthe MIT License"), (1, "not released under\nthe MIT License")], "doc_id long, text string")
+    assert {r["licenses"] for r in license_scan.licences(apart).collect()} == {""}
+
+
 # language model
 
 
