@@ -1,7 +1,7 @@
 """Toxicity of documents behind a noisy channel.
 
-Writers hide words: letters become digits or signs, words are spaced out or dotted, letters repeat.  Every suspicious token is a
-lattice: each sign may stand for itself, for the letters it resembles, or for nothing, each repeat may be noise.  Viterbi
+Writers hide words: letters become digits or signs, words are spaced out or dotted, letters repeat.  Every token with a look-alike, a filler or a
+repeated sign is a lattice: each sign may stand for itself, for the letters it resembles, or for nothing, each repeat may be noise.  Viterbi
 decoding under a character trigram model, counted over all documents, restores the likeliest letters.  Both the plain and the
 restored words are then scored.
 
@@ -58,8 +58,10 @@ MEMORY = 400_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _SIGNS = re.escape("".join(LOOKALIKES) + FILLERS)
-_HIDDEN = re.compile(rf"[^\W\d_][{_SIGNS}]+[^\W\d_]|[{_SIGNS}][^\W\d_]{{2}}|[^\W\d_]{{2}}[0-9@$!]|([^\W\d_])\1\1")
-_SPREAD = re.compile(r"(?<!\S)(?:\S ){2,}\S(?!\S)")
+#: Any look-alike, filler or repeated sign.
+_HIDDEN = re.compile(rf"[{_SIGNS}]|(.)\1")
+_SPREAD = re.compile(r"(?<!\S)(?:\S\s++){2,}\S(?!\S)")
+_EDGES = ".,;:?\"()[]{}<>#%&"
 
 
 def _symbols() -> np.ndarray:
@@ -138,13 +140,21 @@ def restore(token: str, model: np.ndarray) -> str:
     return max((score + model[a, b, 0], text) for (a, b), (score, text) in paths.items())[1]
 
 
+def likely(word: str, model: np.ndarray) -> bool:
+    """Whether the model finds the letters likelier than letters by chance."""
+    symbols = [0, 0, *_emissions(word), 0]
+    return sum(model[a, b, c] for a, b, c in zip(symbols, symbols[1:], symbols[2:])) > -math.log(SYMBOLS) * (len(symbols) - 2)
+
+
 def token_words(token: str, model: np.ndarray) -> list[str]:
-    """Words of a lower-case token, as written and restored."""
+    """Words of a lower-case token, as written and restored.  A token without letters, such as a number, is a word only where the
+    model finds its letters likely."""
     found = _LETTERS.findall(token)
-    if _HIDDEN.search(token):
-        sign = token.strip(".,;:?\"()[]{}<>#%&")
-        for at in range(0, len(sign), PIECE):
-            found += _LETTERS.findall(restore(sign[at : at + PIECE], model))
+    sign = token.strip(_EDGES)
+    # "!" ends sentences and hides letters: both readings count
+    for shown in {sign, sign.rstrip("!")} if _HIDDEN.search(sign) else ():
+        restored = [w for at in range(0, len(shown), PIECE) for w in _LETTERS.findall(restore(shown[at : at + PIECE], model))]
+        found += restored if _LETTERS.search(token) else [w for w in restored if likely(w, model)]
     return [w for w in found if len(w) > 2]
 
 
@@ -153,7 +163,7 @@ def tokens_of(text: str) -> set[str]:
     text = text.lower()
     found = set(text.split())
     for row in _SPREAD.findall(text):
-        joined = row.replace(" ", "")
+        joined = "".join(row.split())
         if len(set(joined)) > 2:
             found.update(joined[i : i + PIECE] for i in range(0, len(joined), PIECE))
     return found
@@ -182,13 +192,23 @@ def _counter(model: np.ndarray) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = {True: Counter(), False: Counter()}
+        memory: dict[str, list[str]] = {}
+
+        def named(token: str) -> list[str]:
+            found = memory.get(token)
+            if found is None:
+                if len(memory) > MEMORY:
+                    memory.clear()
+                found = memory[token] = [f for w in token_words(token, model) for f in features(w)]
+            return found
+
         for batch in batches:
             for text, toxic in zip(as_text(batch["text"]), batch["toxic"].to_pylist()):
                 if toxic:
-                    own = {(f, n) for t, n in neighbours(text) for w in token_words(t, model) for f in features(w)}
+                    own = {(f, n) for t, n in neighbours(text) for f in named(t)}
                     own |= {(f, -1) for f, _ in own} | {("", -1), ("", zlib.crc32(text.encode()) & 0x7FFFFFFF)}
                 else:
-                    own = {(f, -1) for t in tokens_of(text) for w in token_words(t, model) for f in features(w)} | {("", -1)}
+                    own = {(f, -1) for t in tokens_of(text) for f in named(t)} | {("", -1)}
                 held[bool(toxic)].update(own)
                 for kind, counter in held.items():
                     if len(counter) > MEMORY:

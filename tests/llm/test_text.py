@@ -351,6 +351,20 @@ def test_scores_find_hidden_words(spark, empty):
     assert all(r["score"] <= 0.5 for r in unlabelled)
 
 
+def test_heavily_hidden_tokens_are_restored():
+    counts = np.zeros((toxicity.SYMBOLS,) * 3)
+    for word in ("shit", "ass", "idiot", "liar", "kill", "stupid"):
+        s = [0, 0, *[int(toxicity._SYMBOL[ord(c)]) for c in word], 0]
+        for a, b, c in zip(s, s[1:], s[2:]):
+            counts[a, b, c] += 50
+    model = toxicity.trigram_model(counts)
+    hidden = {"5h17": "shit", "a55": "ass", "a$$": "ass", "4$$": "ass", "1d!07": "idiot", "1!4r": "liar", "k!11": "kill", "sstuppiid": "stupid", "k!11!": "kill"}
+    assert {t for t, w in hidden.items() if w not in toxicity.token_words(t, model)} == set()
+    assert toxicity.token_words("90268", model) == []
+    for text in ("i  d  i  o  t", "i\td\ti\to\tt", "x i\nd \n i o  t y"):
+        assert any("idiot" in t for t in toxicity.tokens_of(text))
+
+
 def test_restoring_letters():
     counts = np.zeros((toxicity.SYMBOLS,) * 3)
     for word in ("idiot", "moron", "loser", "foot"):
