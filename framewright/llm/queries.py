@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 
 from framewright.llm import (
     bpe,
+    conversations,
     decontaminate,
     exact,
     license_scan,
     secret_scan,
+    sharding,
     simhash,
+    spelling,
     substrings,
     suffix_tree,
     token_files,
@@ -212,3 +215,117 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.scores(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repairs(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+#: One row with the 256 remainders of CRC-32, which follow from its polynomial.
+_REMAINDERS_SQL = """
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS remainders"""
+
+
+def _crc_sql(text: str) -> str:
+    """CRC-32 of the UTF-8 of a text of code points below 2,048; ``remainders`` is in scope."""
+    octets = f"""flatten(list_transform(string_split({text}, ''),
+      lambda p: CASE WHEN unicode(p) < 128 THEN [CAST(unicode(p) AS bigint)] ELSE [192 + (unicode(p) >> 6), 128 + (unicode(p) & 63)] END))"""
+    step = "lambda c, o: xor(c >> 8, remainders[xor(c & 255, o) + 1])"
+    return f"xor(list_reduce({octets}, {step}, CAST(4294967295 AS bigint)), 4294967295)"
+
+
+#: A plain forward table over all rows and states, cheapest and least audit first; up to two insertions before each row.
+ORACLES["op11_conversation_repair"] = rf"""
+WITH RECURSIVE rest AS ({_REMAINDERS_SQL}),
+raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               concat(coalesce(CAST(conv_id AS varchar), ' '), ':', coalesce(CAST(turn AS varchar), ' ')) AS place FROM conversations),
+fate AS (SELECT * EXCLUDE (place, remainders), {_crc_sql("place")} % 20 AS f FROM raw, rest),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN f = 1 THEN '' WHEN f = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN f = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM fate WHERE f <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(concat(length(role), ':', role, ':', text)), copy) AS i
+  FROM hurt),
+judged AS (
+  SELECT *, left(role, 1) AS r, regexp_replace(text, '[ 	-]+\z', '') AS t,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed),
+f AS (
+  SELECT conv_id, i, turn, role, text, r, before, CASE WHEN t = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+         WHEN right(t, 1) IN ('.', '!', '?') THEN 'fine' ELSE 'truncated' END AS fault
+  FROM judged),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM f GROUP BY conv_id),
+follow(s, t, line) AS (VALUES (0, 2, 'user:'), (1, 2, 'user:'), (2, 3, 'assistant:'), (3, 2, 'user:')),
+gap(s, t, cost, audit, lines) AS (
+  SELECT s, s, 0, '', '' FROM follow UNION ALL SELECT s, t, 5, 'I', line || chr(10) FROM follow
+  UNION ALL SELECT a.s, b.t, 10, 'II', a.line || chr(10) || b.line || chr(10) FROM follow a JOIN follow b ON a.t = b.s),
+edge(s, t, r, cost, audit, line) AS (
+  SELECT s, s, NULL, 2, 'D', NULL FROM follow UNION ALL SELECT s, t, NULL, 1, 'R', line FROM follow
+  UNION ALL SELECT s, t, left(line, 1), 0, 'K', NULL FROM follow UNION ALL SELECT 0, 1, 's', 0, 'K', NULL),
+step AS (
+  SELECT g.s, e.t, e.r, g.cost + e.cost AS cost, g.audit || e.audit AS audit, e.audit AS kind, g.lines, e.line FROM gap g JOIN edge e ON g.t = e.s),
+path(conv_id, i, s, best) AS (
+  SELECT conv_id, CAST(0 AS bigint), 0, {{'cost': CAST(0 AS bigint), 'audit': '', 'lines': ''}} FROM counts
+  UNION ALL
+  SELECT p.conv_id, f.i, e.t, min({{
+           'cost': p.best.cost + e.cost + CASE WHEN fault = 'truncated' AND kind <> 'D' THEN 5 ELSE 0 END, 'audit': p.best.audit || e.audit,
+           'lines': p.best.lines || e.lines || CASE kind WHEN 'D' THEN '' WHEN 'K' THEN role || ':' || text || chr(10)
+                    ELSE e.line || text || chr(10) END}})
+  FROM path p JOIN f ON p.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = p.i + 1
+    JOIN step e ON e.s = p.s AND (e.r IS NULL OR e.r = f.r) AND (kind = 'D' OR fault IN ('fine', 'truncated'))
+  GROUP BY p.conv_id, f.i, e.t),
+done AS (
+  SELECT p.conv_id, min({{'cost': p.best.cost + g.cost, 'audit': p.best.audit || g.audit, 'lines': p.best.lines || g.lines}}) AS best
+  FROM path p JOIN counts c ON p.conv_id IS NOT DISTINCT FROM c.conv_id AND p.i = c.n JOIN gap g ON g.s = p.s AND g.t IN (0, 3)
+  GROUP BY p.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost, coalesce(best.audit, '') AS audit,
+       sha256(coalesce(left(best.lines, greatest(length(best.lines) - 1, 0)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+  LEFT JOIN done d ON o.conv_id IS NOT DISTINCT FROM d.conv_id
+"""
+
+
+@_query
+def op12_byte_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@_query
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"), lose=31)
+
+
+ORACLES["op13_spelling_groups"] = rf"""
+WITH RECURSIVE rest AS ({_REMAINDERS_SQL}),
+runs AS (SELECT coalesce(CAST(doc_id AS varchar), '') AS doc, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+marked AS (SELECT w, {_crc_sql("concat(doc, ':', w)")} AS h FROM runs, rest WHERE length(w) >= 7),
+words AS (
+  SELECT w, count(*) AS n
+  FROM (SELECT CASE WHEN h % 31 = 0 THEN concat(left(w, h % length(w)), substring(w, h % length(w) + 2)) ELSE w END AS w FROM marked)
+  WHERE length(w) >= 7 GROUP BY w HAVING count(*) >= 2),
+spot AS (SELECT w, n, unnest(range(length(w) + 1)) AS i FROM words),
+cut AS (SELECT w, n, left(w, i) AS a, substring(w, i + 1) AS b FROM spot),
+skip AS (SELECT w, n, left(w, i) AS a, substring(w, i + 2) AS b FROM spot WHERE i < length(w)),
+near AS (
+  SELECT x.w, x.n, y.w AS v, y.n AS m FROM skip x JOIN skip y USING (a, b) WHERE x.w <> y.w
+  UNION SELECT x.w, x.n, y.w, y.n FROM skip x JOIN cut y USING (a, b) UNION SELECT y.w, y.n, x.w, x.n FROM skip x JOIN cut y USING (a, b)),
+best AS (SELECT w, count(*) AS n_near, max(m) AS m, arg_min(v, {{'back': -m, 'v': v}}) AS v FROM near GROUP BY w),
+form AS (SELECT words.w, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN v END AS v, CASE WHEN m >= 10 * n THEN m END AS m
+         FROM words LEFT JOIN best USING (w)),
+walk AS (SELECT w, w AS root, v AS ahead FROM form UNION ALL SELECT walk.w, form.w, form.v FROM walk JOIN form ON walk.ahead = form.w)
+SELECT form.w AS word, v AS form, root, n, n_near, m AS form_n FROM form JOIN walk ON form.w = walk.w AND walk.ahead IS NULL
+"""
