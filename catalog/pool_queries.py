@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog.registry import query
 from framewright.functions import naming as N
 from framewright.operators import audit, boxes, pool, scenes, splits
+from framewright.operators.ranking import ordered_rank
 
 # --- pools ---------------------------------------------------------------
 
@@ -583,3 +584,32 @@ def ag31(d):
 def jn07(d):
     scans = d.scans
     return boxes.merge_scans(scans.filter("scan = 'F'"), scans.filter("scan = 'O'"), iou_min=0.6).select("id")
+
+
+@query(
+    "jn07_merged_scan",
+    """WITH RECURSIVE base AS (SELECT *, row_number() OVER (ORDER BY id) AS number FROM {scans} WHERE scan = 'F'),
+       extra AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY id) AS n FROM {scans} WHERE scan = 'O'),
+       files AS (SELECT DISTINCT file FROM extra),
+       walk AS (SELECT f.file, 0::BIGINT AS n, ''::VARCHAR AS accepted,
+                       coalesce((SELECT list({{'cx': cx, 'cy': cy, 'w': w, 'h': h}}) FROM base b WHERE b.file = f.file), []) AS boxes FROM files f
+                UNION ALL
+                SELECT k.file, e.n, CASE WHEN e.hit THEN '' ELSE e.id END,
+                       CASE WHEN e.hit THEN k.boxes ELSE list_append(k.boxes, {{'cx': e.cx, 'cy': e.cy, 'w': e.w, 'h': e.h}}) END
+                FROM walk k JOIN LATERAL (
+                  SELECT x.*, len(list_filter(k.boxes, lambda b:
+                      greatest(0, least(x.cx + x.w / 2, b.cx + b.w / 2) - greatest(x.cx - x.w / 2, b.cx - b.w / 2))
+                    * greatest(0, least(x.cy + x.h / 2, b.cy + b.h / 2) - greatest(x.cy - x.h / 2, b.cy - b.h / 2))
+                    * 1.6e0 >= 0.6e0 * (x.w * x.h + b.w * b.h))) > 0 AS hit
+                  FROM extra x WHERE x.file = k.file AND x.n = k.n + 1) e ON true),
+       used AS (SELECT file, max(index) + 1 AS used FROM base GROUP BY file),
+       fresh AS (SELECT s.*, row_number() OVER (ORDER BY s.id) + (SELECT max(number) FROM base) AS number,
+                        row_number() OVER (PARTITION BY s.file ORDER BY s.id) - 1 + coalesce(used, 0) AS place
+                 FROM walk JOIN {scans} s ON s.id = walk.accepted LEFT JOIN used ON s.file = used.file)
+       SELECT number, file, index AS place, confidence, false AS added FROM base
+       UNION ALL SELECT number, file, place, confidence, true FROM fresh""",
+)
+def jn07_merged(d):
+    base = ordered_rank(d.scans.filter("scan = 'F'"), ["id"], rank="number").drop("id")
+    merged = boxes.merged_scan(base, d.scans.filter("scan = 'O'"), iou_min=0.6)
+    return merged.select("number", "file", F.col("index").cast("long").alias("place"), "confidence", "added")

@@ -5,19 +5,16 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from framewright.functions.geometry import clamped_shares, crop_name, iou, shares
-from framewright.operators.nearest import components
+from framewright.operators.greedy import beaten
 from framewright.operators.ranking import ordered_rank
 from framewright.session import pin
 
 SIDES = ("cx", "cy", "w", "h")
-#: Rounds over all conflicts before chains are settled one by one.
-PEELING_ROUNDS = 4
 #: Bands per unit of confidence in which precision-recall curves are built.
 CONFIDENCE_BANDS = 4096
 IOU_STEPS = tuple(round(0.5 + 0.05 * k, 2) for k in range(10))
@@ -65,47 +62,6 @@ def overlap_pairs(left: DataFrame, right: DataFrame, *, iou_min: float) -> DataF
     )
 
 
-def _beaten(edges: DataFrame) -> DataFrame:
-    """Boxes that lose to an earlier accepted one, given edges ``earlier, later`` of a conflict.
-
-    A few rounds settle what is shallow, each everywhere at once.  What is left
-    are chains of conflicts, each within one file; they are found as connected
-    components in rounds in the logarithm of their length, and every chain is
-    settled by one pass in order.
-    """
-    edges = pin(edges.select("earlier", "later"))
-    lost = None
-    for _ in range(PEELING_ROUNDS):
-        if edges.isEmpty():
-            return lost
-        later = edges.select(F.col("later").alias("earlier"))
-        heads = edges.select("earlier").distinct().join(later, "earlier", "left_anti")
-        out = pin(edges.join(heads, "earlier", "left_semi").select(F.col("later").alias("id")).distinct())
-        lost = out if lost is None else lost.unionByName(out)
-        for end in ("earlier", "later"):
-            edges = edges.join(out.select(F.col("id").alias(end)), end, "left_anti")
-        edges = pin(edges.join(heads, "earlier", "left_anti"))
-    if edges.isEmpty():
-        return lost
-    ends = edges.select(F.col("earlier").alias("u"), F.col("later").alias("v"))
-    chain = components(edges.select(F.col("earlier").alias("id")).distinct(), ends).withColumnRenamed("id", "earlier")
-    kind = edges.schema["later"].dataType.simpleString()
-    rest = edges.join(pin(chain), "earlier").groupBy("group").applyInPandas(_settle_chain, f"id {kind}")
-    return rest if lost is None else lost.unionByName(rest)
-
-
-def _settle_chain(edges: pd.DataFrame) -> pd.DataFrame:
-    """Losers of one chain of conflicts, first come first served."""
-    before: dict = {}
-    for earlier, later in zip(edges["earlier"], edges["later"], strict=True):
-        before.setdefault(later, []).append(earlier)
-    lost: set = set()
-    for box in sorted(before):
-        if any(x not in lost for x in before[box]):
-            lost.add(box)
-    return pd.DataFrame({"id": sorted(lost)})
-
-
 def merge_scans(base: DataFrame, extra: DataFrame, *, iou_min: float = 0.6) -> DataFrame:
     """Boxes of a second scan that the first one lacks.
 
@@ -119,29 +75,45 @@ def merge_scans(base: DataFrame, extra: DataFrame, *, iou_min: float = 0.6) -> D
     solid = (F.col("w") > 0) & (F.col("h") > 0)
     first = fresh.filter(solid).groupBy("file", *SIDES).agg(F.min("id").alias("id"))
     pairs = overlap_pairs(first, first, iou_min=iou_min).filter(F.col("left_id") < F.col("right_id"))
-    lost = _beaten(pairs.select(F.col("left_id").alias("earlier"), F.col("right_id").alias("later")))
+    lost = beaten(pairs.select(F.col("left_id").alias("earlier"), F.col("right_id").alias("later")))
     winners = first.select("id").unionByName(fresh.filter(~solid).select("id"))
     if lost is not None:
         winners = winners.join(lost, "id", "left_anti")
     return fresh.join(winners, "id", "left_semi")
 
 
+def merged_scan(base: DataFrame, extra: DataFrame, *, iou_min: float = 0.6) -> DataFrame:
+    """The first scan with the new boxes of a second one added, numbers and indexes continued.
+
+    ``base`` has ``number, file, index, cx, cy, w, h, confidence``; ``extra`` has ``id`` (its order) instead of number and index.
+    Base rows stay as they are.  New boxes are numbered on in the order of ``id`` over all files, and in their file from the largest index
+    on; a file that the first scan doesn't know begins at 0.  ``added`` tells them apart.
+    """
+    kept = ["file", *SIDES, "confidence"]
+    fresh = merge_scans(base.withColumn("id", F.col("number")), extra, iou_min=iou_min).select("id", *kept)
+    ranked = ordered_rank(ordered_rank(fresh, ["id"], rank="_on"), ["id"], groups=["file"], rank="_in")
+    top = F.coalesce(base.agg(F.max("number")).scalar(), F.lit(0))
+    used = pin(base.groupBy("file").agg((F.max("index") + 1).alias("_used")))
+    more = ranked.join(used, "file", "left").select(
+        (F.col("_on") + top).alias("number"), (F.coalesce("_used", F.lit(0)) + F.col("_in") - 1).alias("index"), *kept, F.lit(True).alias("added")
+    )
+    return base.select("number", "index", *kept, F.lit(False).alias("added")).unionByName(more)
+
+
 def number_boxes(boxes: DataFrame, order: Sequence[str], *, after: DataFrame | None = None) -> DataFrame:
     """Running ``number`` over (file, order) and ``index`` inside the file.
 
     ``after`` is a numbered table (``file, number, index``) to continue from.
     """
-    ranked = ordered_rank(boxes, ["file", *order], rank="_rank")
-    starts = ranked.groupBy("file").agg(F.min("_rank").alias("_start"))
-    numbered = ranked.join(starts, "file")
-    number, index = F.col("_rank"), F.col("_rank") - F.col("_start")
+    ranked = ordered_rank(boxes, order, groups=["file"], rank="_in", overall="_rank")
+    number, index = F.col("_rank"), F.col("_in") - 1
     if after is not None:
         top = F.coalesce(after.agg(F.max("number")).scalar(), F.lit(0))
-        used = after.groupBy("file").agg((F.max("index") + 1).alias("_used"))
-        numbered = numbered.join(used, "file", "left")
+        # pinned: a join of plain tables lets adaptive execution split a file with very many boxes
+        used = pin(after.groupBy("file").agg((F.max("index") + 1).alias("_used")))
+        ranked = ranked.join(used, "file", "left")
         number, index = number + top, index + F.coalesce("_used", F.lit(0))
-    numbered = numbered.withColumn("number", number).withColumn("index", index)
-    return numbered.drop("_rank", "_start", "_used")
+    return ranked.withColumn("number", number).withColumn("index", index).drop("_rank", "_in", "_used")
 
 
 def boxes_from_detections(detections: DataFrame, *, min_confidence: float = 0.25) -> DataFrame:

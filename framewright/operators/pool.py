@@ -4,22 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from framewright.functions.geometry import stem
-from framewright.operators.nearest import components
+from framewright.operators.greedy import first_numbers
 from framewright.operators.ranking import ordered_rank
 from framewright.operators.review import every_kth
 from framewright.session import pin
 
 
-#: Rounds over all open rows before chains are settled one by one.
-PEELING_ROUNDS = 4
-
-
 def has_boxes(text: Column) -> Column:
     """Any non-blank line; a missing label has none."""
     return F.coalesce(text.rlike(r"\S"), F.lit(False))
@@ -73,64 +67,19 @@ def content_key(content: Column) -> Column:
 def first_wins(df: DataFrame, order: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """Ordered dedupe on several keys at once; a dropped row reserves nothing.
 
-    A row stays iff no earlier *kept* row shares any key with it.  Each round
-    keeps the rows that come first under all their keys and removes whatever
-    shares a key with them.  The minima combine before the shuffle, kept rows
-    are found by joining on the unique order alone, and rows are never gathered
-    per key, so a key shared by a third of the table costs no more than others.
-    What a few rounds leave open are chains of rows linked by alternating keys;
-    they are found as connected components of keys, and each is settled by one
-    pass in order.
+    A row stays iff no earlier *kept* row shares any key with it.  Rows are
+    numbered in their order by a range shuffle and settled in blocks of it
+    (:mod:`framewright.operators.greedy`): no list of rows per key or per chain,
+    so neither a key shared by a third of the table nor a chain of any length
+    lands in one task.  ``order`` must be unique and not null; null keys never
+    meet.
     """
-    open_rows = pin(df.select(F.struct(*order).alias("_at"), *keys))
-    kept = None
-    for _ in range(PEELING_ROUNDS):
-        if open_rows.isEmpty():
-            break
-        firsts = None
-        for key in keys:
-            lead = open_rows.groupBy(key).agg(F.min("_at").alias("_at")).select("_at")
-            firsts = lead if firsts is None else firsts.join(lead, "_at")
-        won = pin(open_rows.join(firsts, "_at", "left_semi"))
-        kept = won.select("_at") if kept is None else kept.unionByName(won.select("_at"))
-        for key in keys:
-            open_rows = open_rows.join(won.select(key), key, "left_anti")
-        open_rows = pin(open_rows)
-    if not open_rows.isEmpty():
-        rest = _settle_chains(open_rows, keys)
-        kept = rest if kept is None else kept.unionByName(rest)
-    if kept is None:
-        return df
+    placed = df.select(F.struct(*order).alias("_at"), *keys).repartitionByRange("_at").sortWithinPartitions("_at")
+    placed = pin(placed.withColumn("_no", F.monotonically_increasing_id()))
+    kept = placed.join(first_numbers(placed, keys), "_no", "left_semi")
     return df.join(kept.select("_at.*"), list(order), "left_semi")
 
 
-def _settle_chains(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows ``_at`` that stay of the chains that linked keys make."""
-    marks = [F.concat(F.lit(f"{i}:"), F.col(k).cast("string")) for i, k in enumerate(keys)]
-    own = rows.withColumn("_marks", F.array_compact(F.array(*marks))).withColumn("_mark", F.try_element_at("_marks", F.lit(1)))
-    links = own.select(F.col("_mark").alias("u"), F.explode("_marks").alias("v")).filter("u != v")
-    chains = components(own.select(F.col("_mark").alias("id")).filter("id IS NOT NULL").distinct(), links)
-    placed = own.join(pin(chains.withColumnRenamed("id", "_mark")), "_mark", "left")
-    free = placed.filter("_mark IS NULL").select("_at")  # null keys never meet
-    fields = rows.schema["_at"].dataType.names
-    listed = placed.filter("_mark IS NOT NULL").select("group", "_marks", *[F.col("_at")[f].alias(f"_o{i}") for i, f in enumerate(fields)])
-    order = [f"_o{i}" for i in range(len(fields))]
-    schema = T.StructType([listed.schema[c] for c in order])
-
-    def settle(chain: pd.DataFrame) -> pd.DataFrame:
-        taken: set = set()
-        stays = []
-        for row in chain.sort_values(order).itertuples(index=False):
-            own_marks = set(row[1])
-            stays.append(not own_marks & taken)
-            if stays[-1]:
-                taken |= own_marks
-        return chain.sort_values(order).loc[stays, order]
-
-    settled = listed.groupBy("group").applyInPandas(settle, schema)
-    return free.unionByName(settled.select(F.struct(*[F.col(c).alias(f) for c, f in zip(order, fields)]).alias("_at")))
-
-
 def thin_negatives(labels: DataFrame, *, stride: int, prefix: str = "") -> DataFrame:
     """Every ``stride``-th empty frame in name order; frames with boxes all stay."""
     named = labels.filter(F.col("stem").startswith(prefix))

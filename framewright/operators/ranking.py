@@ -49,10 +49,13 @@ def shuffled_rank(
 
 
 def ordered_rank(
-    df: DataFrame, order: Sequence[str | Column], *, groups: Sequence[str] = (), rank: str = "rank"
+    df: DataFrame, order: Sequence[str | Column], *, groups: Sequence[str] = (), rank: str = "rank", overall: str | None = None
 ) -> DataFrame:
     """Rank from 1 by a total order, in the whole table or in each group.
 
+    ``overall`` names a second rank, over the whole table ordered by groups and
+    order, which the same range shuffle gives.
+
     A range shuffle sorts the table over many tasks; a group that is too large
     for one range spreads over several.  The placed rows are pinned once, so
     that counting them and numbering them see the same ranges.
@@ -65,6 +68,11 @@ def ordered_rank(
         .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS)))
     )
     placed = pin(placed)
+    if overall:
+        parts = placed.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
+        parts = _offsets(parts, (), "_part").select("_part", "_first", F.col("_offset").alias("_ahead"))
+        placed = placed.join(parts, "_part")  # one row per range
+        placed = placed.withColumn(overall, F.col("_ahead") + F.col("_place") - F.col("_first") + 1).drop("_ahead", "_first")
     by = ["_part", *groups]
     tally = placed.groupBy(*by).agg(F.count("*").alias("_n"), F.min("_place").alias("_start"))
     tally = _offsets(tally, groups, "_part").drop("_n")

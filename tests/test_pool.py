@@ -3,8 +3,9 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from framewright.operators import audit, pool, ranking, scenes, splits
+from framewright.operators import audit, greedy, pool, ranking, scenes, splits
 from framewright.plans import detection
+from framewright.session import shared_folder
 
 
 def test_ranks_do_not_depend_on_partitioning(frame, partitions):
@@ -50,6 +51,39 @@ def test_first_wins_equals_the_loop(frame):
         assert got == _loop(rows)
 
 
+def test_first_wins_in_small_blocks_equals_the_loop(spark, frame):
+    for seed in range(3):
+        rng = random.Random(seed)
+        rows = [(i, f"s{rng.randrange(60)}" if rng.random() < 0.9 else None, "hot" if rng.random() < 0.3 else f"m{rng.randrange(60)}") for i in range(200)]
+        shared_folder(spark)
+        df = frame([(i, i, *row[1:]) for i, row in enumerate(rows)], "at int, _no long, stem string, mark string").checkpoint()
+        got = sorted(r["_no"] for r in greedy.first_numbers(df, ["stem", "mark"], block=16).collect())
+        taken, kept = set(), []
+        for at, stem, mark in rows:
+            own = {(0, stem), (1, mark)} - {(0, None)}
+            if not own & taken:
+                taken |= own
+                kept.append(at)
+        assert got == kept
+
+
+def test_a_chain_of_100_000_rows_on_a_hot_key(spark, monkeypatch):
+    # the last link of the chain holds the key of a third of the table
+    calls = []
+    monkeypatch.setattr(greedy, "pin", lambda df, pin=greedy.pin: calls.append(1) or pin(df))
+    n = 100_000
+    at = F.col("id")
+    link = lambda k: F.concat(F.lit(k), F.when(at < n, F.floor((at + int(k == "a")) / 2)).otherwise(-at).cast("string"))
+    rows = spark.range(n * 3 // 2).select(at.alias("at"), F.when(at >= n - 1, "hot").otherwise(link("a")).alias("stem"), link("b").alias("mark"))
+    shared_folder(spark)
+    placed = rows.withColumn("_no", at).checkpoint()
+    got = greedy.first_numbers(placed, ["stem", "mark"], block=20_000)
+    # rows 0, 2, … of the chain stay; row n - 1 loses, so the first row behind the chain takes the hot key
+    assert got.filter("_no < 100000 AND _no % 2 = 1").count() == 0
+    assert got.filter("_no < 100000").count() == n // 2 and [r[0] for r in got.filter("_no >= 100000").collect()] == [n]
+    assert len(calls) <= 40
+
+
 def test_a_dropped_row_reserves_nothing(frame):
     df = frame([(1, "a", "x"), (2, "a", "y"), (3, "b", "y")], "at int, stem string, mark string")
     assert sorted(r["at"] for r in pool.first_wins(df, ["at"], ["stem", "mark"]).collect()) == [1, 3]
@@ -121,7 +155,7 @@ def test_shared_photos_and_box_totals(frame):
 
 def test_long_chains_of_keys_take_few_rounds(frame, monkeypatch):
     calls = []
-    monkeypatch.setattr(pool, "pin", lambda df, pin=pool.pin: calls.append(1) or pin(df))
+    monkeypatch.setattr(greedy, "pin", lambda df, pin=greedy.pin: calls.append(1) or pin(df))
     # row i shares a key with row i - 1 and another with row i + 1
     rows = [(i, f"a{(i + 1) // 2}", f"b{i // 2}") for i in range(1000)] + [(2000, None, None), (2001, None, "b0")]
     got = sorted(r["at"] for r in pool.first_wins(frame(rows, "at int, stem string, mark string"), ["at"], ["stem", "mark"]).collect())

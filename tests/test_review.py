@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from framewright.operators import boxes, reports, review
+from framewright.operators import boxes, greedy, reports, review
 from framewright.plans import detection
 
 BOX = "box_id string, file string, index int, center_x double, center_y double, width double, height double, confidence double"
@@ -124,13 +124,35 @@ def test_merge_adds_only_new_boxes_and_continues_numbers(frame):
 
 def test_long_chains_of_overlaps_take_few_rounds(frame, monkeypatch):
     calls = []
-    monkeypatch.setattr(boxes, "pin", lambda df, pin=boxes.pin: calls.append(1) or pin(df))
+    monkeypatch.setattr(greedy, "pin", lambda df, pin=greedy.pin: calls.append(1) or pin(df))
     # each box overlaps the next only
     rows = [(f"e{i:04d}", "a", 0.1 * i, 0.5, 0.4, 0.4, 0.9) for i in range(300)]
     kept = sorted(r["id"] for r in boxes.merge_scans(frame(rows[:0], SCAN), frame(rows, SCAN), iou_min=0.55).collect())
     assert kept == [f"e{i:04d}" for i in range(0, 300, 2)] and len(calls) <= 20
 
 
+def test_conflicts_in_small_blocks_equal_the_loop(frame):
+    for seed, (ids, edges) in enumerate([(60, 150), (200, 220), (300, 2000)]):
+        rng = random.Random(seed)
+        pairs = {tuple(sorted(rng.sample(range(ids), 2))) for _ in range(edges)} | {(i, i + 1) for i in range(0, ids - 1, 1 + seed)}
+        lost = set()
+        for later in range(ids):
+            if any(e not in lost for e, at in pairs if at == later):
+                lost.add(later)
+        df = frame([(f"b{a:04d}", f"b{b:04d}") for a, b in pairs], "earlier string, later string")
+        for block in (24, 10_000):
+            assert sorted(r["id"] for r in greedy.beaten(df, block=block).collect()) == sorted(f"b{i:04d}" for i in lost)
+
+
+def test_merged_scan_continues_numbers_and_indexes(frame):
+    base = frame([(1, "a.jpg", 0, 0.5, 0.5, 0.2, 0.2, 0.9), (2, "b.jpg", 3, 0.5, 0.5, 0.2, 0.2, 0.9)], "number int, file string, index int, cx double, cy double, w double, h double, confidence double")
+    extra = frame([("s1", "a.jpg", 0.505, 0.5, 0.2, 0.2, 0.8), ("s2", "c.jpg", 0.1, 0.1, 0.1, 0.1, 0.7), ("s3", "b.jpg", 0.1, 0.1, 0.1, 0.1, 0.6), ("s4", "c.jpg", 0.8, 0.8, 0.1, 0.1, 0.5)], SCAN)
+    got = [(r["number"], r["file"], r["index"], r["added"]) for r in boxes.merged_scan(base, extra).orderBy("number").collect()]
+    assert got == [(1, "a.jpg", 0, False), (2, "b.jpg", 3, False), (3, "c.jpg", 0, True), (4, "b.jpg", 4, True), (5, "c.jpg", 1, True)]
+    alone = boxes.merged_scan(base.limit(0), extra).orderBy("number").collect()
+    assert [(r["number"], r["index"]) for r in alone] == [(1, 0), (2, 0), (3, 0), (4, 1)]
+
+
 def test_quality_tells_confidences_apart_beyond_four_decimals(frame):
     truth = frame([("t", "a", 0.5, 0.5, 0.2, 0.2, 0.0)], SCAN).withColumn("split", F.lit("test"))
     rows = [("p1", "a", 0.1, 0.5, 0.2, 0.2, 0.500001), ("p2", "a", 0.5, 0.5, 0.2, 0.2, 0.500002)]
