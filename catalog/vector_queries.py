@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from catalog.registry import query
 from framewright.functions import colour as K
-from framewright.operators import nearest, palette
+from framewright.operators import nearest, palette, resample
 
 COSINE = 0.40
 N = palette.NAMES
@@ -253,24 +253,101 @@ def flt08(d):
     return palette.generic_features(long).withColumn("value", F.round("value", 6))
 
 
-@query("ag26_colour_features")
+BALANCED = """
+    SELECT p.img, x, y, width, height, floor(greatest(0, least(255, (r + 1e0) * ((lr + lg + lb) / 3) / lr))::FLOAT)::INT AS r,
+           floor(greatest(0, least(255, (g + 1e0) * ((lr + lg + lb) / 3) / lg))::FLOAT)::INT AS g,
+           floor(greatest(0, least(255, (b + 1e0) * ((lr + lg + lb) / 3) / lb))::FLOAT)::INT AS b
+    FROM {pixels} p JOIN (SELECT img, pow(avg(pow(r + 1e0, 6)), 1e0 / 6) AS lr, pow(avg(pow(g + 1e0, 6)), 1e0 / 6) AS lg,
+                                 pow(avg(pow(b + 1e0, 6)), 1e0 / 6) AS lb FROM {pixels} GROUP BY img) i USING (img)"""
+STRETCHED = """
+    SELECT plain.* REPLACE (CASE WHEN hi - lo < 1 THEN L ELSE greatest(0, least(100, (L - lo) / (hi - lo) * 90 + 5)) END AS L)
+    FROM plain JOIN (SELECT img, quantile_cont(L, 0.02) AS lo, quantile_cont(L, 0.98) AS hi FROM plain GROUP BY img) USING (img)"""
+
+
+def _features_sql() -> str:
+    """All colour features, from the same pieces as the single measurements, over balanced and stretched points."""
+    over = lambda text: text.replace(POINTS, "stretched")
+    brands = " UNION ALL ".join(_brand_sql(b) for b in K.PROTOTYPES)
+    measures = [f"max({m}) FILTER (brand = '{b}') AS {b}_{m}" for b in K.PROTOTYPES for m in palette.BRAND_MEASURES]
+    beside = {g: ", ".join(f"max(adjacency) FILTER (brand = '{b}') AS {b}_adjacency_{g}" for b in K.PAIRS) for g in ("coarse", "fine")}
+    shown = ", ".join(f"round({n}::FLOAT::DOUBLE, 4) AS {n}" for n in palette.feature_names())
+    return f"""
+      WITH balanced AS MATERIALIZED ({BALANCED}), plain AS MATERIALIZED ({POINTS.replace("{pixels}", "balanced")}),
+           stretched AS MATERIALIZED ({STRETCHED}), s AS MATERIALIZED ({over(SHARES)}), k AS MATERIALIZED ({over(cells_sql(4))}),
+           stats AS (SELECT img, avg((sqrt(a * a + b * b) < 12)::INT) AS achromatic, median(L) / 100 AS lightness_median,
+                            stddev_pop(L) / 100 AS lightness_spread, avg(sqrt(a * a + b * b)) / 100 AS chroma FROM plain GROUP BY img),
+           colour AS (SELECT img, (sqrt(var_pop(r - g) + var_pop(0.5e0 * (r + g) - b)) + 0.3e0 * sqrt(pow(avg(r - g), 2) + pow(avg(0.5e0 * (r + g) - b), 2)))
+                                  / 100 AS colorfulness FROM {{pixels}} GROUP BY img),
+           entropy AS (SELECT img, -({' + '.join(f'share_{n} * ln(share_{n} + 1e-9)' for n in N)}) / {math.log(len(N))!r}e0 AS palette_entropy FROM s),
+           brands AS (SELECT img, {', '.join(measures)} FROM ({brands}) GROUP BY img),
+           near AS (SELECT img, {beside["coarse"]} FROM ({over(adjacency_sql(4))}) GROUP BY img),
+           nearer AS (SELECT img, {beside["fine"]} FROM ({over(adjacency_sql(8))}) GROUP BY img)
+      SELECT img, {len(palette.feature_names())} AS dims, {shown}
+      FROM s JOIN stats USING (img) JOIN colour USING (img) JOIN entropy USING (img) JOIN brands USING (img) JOIN near USING (img) JOIN nearer USING (img)"""
+
+
+@query("ag26_colour_features", _features_sql())
 def colour_features(d):
     named = palette.colour_features(d.pixels)
     return named.select("img", F.size("values").alias("dims"), *[F.round(F.col("values")[i].cast("double"), 4).alias(n) for i, n in enumerate(palette.feature_names())])
 
 
+def resampled_sql(source: str, new_width: str, new_height: str, channels: str) -> str:
+    """Area means: every pixel meets the target cells it overlaps, by the length they share on both axes."""
+    means = ", ".join(f"round_even(sum(wx * wy * {c}) / max(w * h), 0)::INT AS {c}" for c in channels)
+    return f"""
+      SELECT img, tx AS x, ty AS y, max(nw) AS width, max(nh) AS height, {means}
+      FROM (SELECT *, least((x + 1) * nw, (tx + 1) * w) - greatest(x * nw, tx * w) AS wx, least((y + 1) * nh, (ty + 1) * h) - greatest(y * nh, ty * h) AS wy
+            FROM (SELECT *, unnest(range(y * nh // h, ((y + 1) * nh - 1) // h + 1)) AS ty
+                  FROM (SELECT *, unnest(range(x * nw // w, ((x + 1) * nw - 1) // w + 1)) AS tx
+                        FROM (SELECT * EXCLUDE (width, height), width::BIGINT AS w, height::BIGINT AS h, ({new_width})::BIGINT AS nw,
+                                     ({new_height})::BIGINT AS nh FROM {source}))))
+      GROUP BY img, tx, ty"""
+
+
+_FIT = "greatest(1, round_even({} * least(1e0, 160e0 / greatest(width, height)), 0))"
+
+
 @query(
-    "prj20_shortcut_features",
-    """WITH p AS (SELECT img, x, y, width, height, round(0.299e0 * r + 0.587e0 * g + 0.114e0 * b, 0) AS v FROM {pixels}),
-            l AS (SELECT img, v, coalesce(lag(v) OVER rx, lead(v) OVER rx) AS p1, coalesce(lead(v) OVER rx, lag(v) OVER rx) AS p2,
-                         coalesce(lag(v) OVER ry, lead(v) OVER ry) AS p3, coalesce(lead(v) OVER ry, lag(v) OVER ry) AS p4 FROM p
-                  WINDOW rx AS (PARTITION BY img, y ORDER BY x), ry AS (PARTITION BY img, x ORDER BY y))
-       SELECT img, round(log10(8)::FLOAT::DOUBLE, 4) AS log_width, round(log10(64)::FLOAT::DOUBLE, 4) AS log_area,
-              round(log10(var_pop(p1 + p2 + p3 + p4 - 4 * v) + 1e-6)::FLOAT::DOUBLE, 4) AS sharpness FROM l GROUP BY img""",
+    "ag26_resampled_pixels",
+    f"""SELECT img, y, max(width) AS width, max(height) AS height, count(*) AS cells, sum(r)::BIGINT AS r, sum(g * (x + 1))::BIGINT AS g, sum(b * b)::BIGINT AS b
+        FROM ({resampled_sql("{pictures}", _FIT.format("width"), _FIT.format("height"), "rgb")}) GROUP BY img, y""",
 )
+def resampled(d):
+    """Sums of every row of the resampled pictures."""
+    rows = resample.shrunk(d.pictures, palette.WORK_SIDE).groupBy("img", F.col("y").cast("long").alias("y"))
+    return rows.agg(
+        F.max("width").cast("long").alias("width"), F.max("height").cast("long").alias("height"), F.count("*").alias("cells"),
+        F.sum("r").alias("r"), F.sum(F.col("g") * (F.col("x") + 1)).alias("g"), F.sum(F.col("b") * F.col("b")).alias("b"),
+    )
+
+
+def shortcut_sql(source: str) -> str:
+    grey = f"(SELECT img, x, y, width, height, round(0.299e0 * r + 0.587e0 * g + 0.114e0 * b, 0)::INT AS v FROM {source})"
+    return f"""
+      WITH p AS MATERIALIZED ({resampled_sql(grey, "128", "128", "v")}),
+           l AS (SELECT img, v, coalesce(lag(v) OVER rx, lead(v) OVER rx) AS p1, coalesce(lead(v) OVER rx, lag(v) OVER rx) AS p2,
+                        coalesce(lag(v) OVER ry, lead(v) OVER ry) AS p3, coalesce(lead(v) OVER ry, lag(v) OVER ry) AS p4 FROM p
+                 WINDOW rx AS (PARTITION BY img, y ORDER BY x), ry AS (PARTITION BY img, x ORDER BY y)),
+           sizes AS (SELECT img, max(width) AS w, max(height) AS h FROM {source} GROUP BY img)
+      SELECT img, round(log10(w)::FLOAT::DOUBLE, 4) AS log_width, round(log10(h)::FLOAT::DOUBLE, 4) AS log_height, round((w / h)::FLOAT::DOUBLE, 4) AS aspect,
+             round(log10(w * h)::FLOAT::DOUBLE, 4) AS log_area, round(log10(var_pop(p1 + p2 + p3 + p4 - 4 * v) + 1e-6)::FLOAT::DOUBLE, 4) AS sharpness
+      FROM l JOIN sizes USING (img) GROUP BY img, w, h"""
+
+
+def _shortcuts(pixels):
+    values = [F.round(F.col("values")[i].cast("double"), 4).alias(n) for i, n in enumerate(palette.SHORTCUTS)]
+    return palette.shortcut_features(pixels).select("img", *values)
+
+
+@query("prj20_shortcut_features", shortcut_sql("{pixels}"))
 def shortcut(d):
-    values = {n: F.round(F.col("values")[i].cast("double"), 4) for i, n in enumerate(palette.SHORTCUTS)}
-    return palette.shortcut_features(d.pixels).select("img", *[values[n].alias(n) for n in ("log_width", "log_area", "sharpness")])
+    return _shortcuts(d.pixels)
+
+
+@query("prj20_shortcuts_of_pictures", shortcut_sql("{pictures}"))
+def shortcut_of_pictures(d):
+    return _shortcuts(d.pictures)
 
 
 HEAD = {"beeline": [0.5, -0.25, 0.125, 0.75], "megafon": [-0.5, 0.5, -0.125, 0.25], "tele2": [-1.0, -1.0, -1.0, -1.0]}

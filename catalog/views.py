@@ -144,6 +144,13 @@ VIEWS = {
                CAST(greatest(0, least(255, floor(110 + 700e0 * embedding[(p + 21) % 64 + 1]))) AS int) AS g,
                CAST(greatest(0, least(255, floor(110 + 700e0 * embedding[(p + 42) % 64 + 1]))) AS int) AS b
         FROM (SELECT vec_id, embedding, unnest(range(64)) AS p FROM {embeddings})""",
+    # every longer document read as a picture of 192 columns, a character a pixel
+    "pictures": """
+        SELECT img, CAST(p % 192 AS int) AS x, CAST(p // 192 AS int) AS y, 192 AS width, CAST(height AS int) AS height,
+               CAST(code % 256 AS int) AS r, CAST((code * 7 + p) % 256 AS int) AS g, CAST((code * 3 + p * 5) % 256 AS int) AS b
+        FROM (SELECT img, height, unnest(range(len(signs))) AS p, unicode(unnest(signs)) AS code
+              FROM (SELECT doc_id AS img, length(text) // 192 AS height, string_split(text, '') AS signs FROM {documents} WHERE length(text) >= 384))
+        WHERE p < height * 192""",
     "claims": """
         SELECT doc_id, lang AS brand,
                CASE source WHEN 'src0' THEN 'colors_only' WHEN 'src1' THEN 'logo_only' WHEN 'src2' THEN 'logo_only'
@@ -153,6 +160,12 @@ VIEWS = {
 }
 
 SPARK_VIEWS = {
+    "pictures": """
+        SELECT img, CAST(p % 192 AS int) AS x, CAST(p div 192 AS int) AS y, 192 AS width, CAST(height AS int) AS height,
+               CAST(code % 256 AS int) AS r, CAST((code * 7 + p) % 256 AS int) AS g, CAST((code * 3 + p * 5) % 256 AS int) AS b
+        FROM (SELECT img, height, p, CAST(ascii(sign) AS bigint) AS code
+              FROM (SELECT doc_id AS img, length(text) div 192 AS height, posexplode(split(text, '')) AS (p, sign) FROM {documents} WHERE length(text) >= 384))
+        WHERE p < height * 192""",
     "pixels": """
         SELECT vec_id AS img, CAST(p % 8 AS int) AS x, CAST((p - p % 8) / 8 AS int) AS y, 8 AS width, 8 AS height,
                CAST(greatest(0, least(255, floor(110 + 700e0 * embedding[p]))) AS int) AS r,

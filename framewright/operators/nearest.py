@@ -14,9 +14,11 @@ from pyspark.sql import types as T
 from framewright.functions.chance import shuffle_key
 from framewright.session import pin
 
-#: Pivots grow with the root of the rows up to this many; beyond it cells are cut into more blocks.
-MAX_PIVOTS = 16_384
+#: Pivots grow with the root of the rows, up to this many bytes; beyond it cells are cut into more blocks.
+PIVOT_BYTES = 8_000_000
 ROWS_PER_TASK = 50_000
+#: Vectors of a batch that are placed at once.
+PLACED_AT_ONCE = 512
 
 
 def _unit(vectors) -> np.ndarray:
@@ -30,43 +32,93 @@ def _spread(vectors: DataFrame, rows: int) -> DataFrame:
     return pin(vectors.repartition(tasks, "id"))
 
 
-def _pivots(vectors: DataFrame, seed: int) -> tuple[list, np.ndarray]:
-    """A bounded random set of vectors: at most ``MAX_PIVOTS`` rows reach the driver."""
-    wanted = min(MAX_PIVOTS, max(8, math.isqrt(vectors.count())))
-    rows = vectors.orderBy(shuffle_key(seed, "id"), "id").limit(wanted).collect()
-    return [r["id"] for r in rows], _unit([r["vector"] for r in rows])
+class PivotTree:
+    """Pivots in two levels: about the root of them on top, the others below the top pivot nearest to them.
 
-
-def _placed(vectors: DataFrame, pivots: np.ndarray, threshold: float) -> DataFrame:
-    """Each vector in every cell where a partner may live.
-
-    The home cell belongs to the nearest pivot.  If two vectors lie within
-    radius ``r``, the plane halfway between the two home pivots lies between
-    them, so neither is further than ``r`` from it; visiting all cells whose
-    plane is so near loses no pair.  ``near`` marks vectors within ``r`` of the
-    pivot.
+    A task gets the pivots as they came, in single precision where the vectors are, and nothing that grows with their square.  A top
+    pivot knows its reach, the largest distance to a pivot below it, so rows look below only where a pivot can matter to them.
     """
+
+    def __init__(self, vectors: np.ndarray, radius: float):
+        unit = _unit(vectors)
+        tops = unit[: max(1, math.isqrt(len(unit)))]
+        below = (unit @ tops.T).argmax(axis=1)
+        used, below = np.unique(below, return_inverse=True)  # a top pivot that equals another has none below
+        self.radius = radius
+        #: Places of the pivots in the order of their cells, and where the cells of each top pivot begin.
+        self.order = np.argsort(below, kind="stable")
+        self.starts = np.searchsorted(below[self.order], np.arange(len(used) + 1))
+        self.tops = vectors[used]
+        self.vectors = vectors[self.order]
+        self.reach = np.array([_apart(tops[[t]], unit[below == i]).max() for i, t in enumerate(used)])
+
+    def place(self, unit: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """``row, cell, whether it is the row's home, distance to the cell's pivot``, one top pivot at a time.
+
+        The home cell belongs to the nearest pivot.  If two vectors lie within the radius, the plane halfway between their home pivots lies
+        between them, so neither is further than the radius from it; visiting all cells whose plane is so near loses no pair.  Such
+        a pivot is at most twice the radius further than the home pivot, which with the reach bounds the tops to look below.
+        """
+        pivots, slack = _unit(self.vectors), 2.0 * self.radius + 1e-6
+        to_top = _apart(unit, _unit(self.tops))
+        first = to_top.argmin(axis=1)
+        best, home = np.full(len(unit), np.inf), np.zeros(len(unit), dtype=np.int64)
+        looked = []
+
+        def look(top: int, rows: np.ndarray) -> None:
+            if not len(rows):
+                return
+            away = _apart(unit[rows], pivots[self.starts[top] : self.starts[top + 1]])
+            near = away.argmin(axis=1)
+            shorter = away[np.arange(len(rows)), near]
+            better = shorter < best[rows]
+            best[rows[better]], home[rows[better]] = shorter[better], self.starts[top] + near[better]
+            looked.append((top, rows, away))
+
+        for top in range(len(self.tops)):
+            look(top, np.nonzero(first == top)[0])
+        bound = best + slack  # the home is no further than the nearest pivot below the nearest top
+        for top in range(len(self.tops)):
+            look(top, np.nonzero((first != top) & (to_top[:, top] - self.reach[top] <= bound))[0])
+        for top, rows, away in looked:
+            begin = self.starts[top]
+            planes = _apart(pivots[home[rows]], pivots[begin : self.starts[top + 1]])
+            at, cell = np.nonzero(away**2 - (best[rows] ** 2)[:, None] <= 2.0 * planes * self.radius + 1e-9)
+            yield rows[at], begin + cell, home[rows[at]] == begin + cell, away[at, cell]
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances between unit vectors."""
+    return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (a @ b.T)))
+
+
+def _pivots(vectors: DataFrame, rows: int, threshold: float, seed: int) -> tuple[list, PivotTree]:
+    """A random set of vectors of bounded size: their ids by cell, and the tree over them."""
+    sample = vectors.limit(1).collect()
+    single = isinstance(vectors.schema["vector"].dataType.elementType, T.FloatType)
+    kind = np.float32 if single else np.float64
+    width = max(1, len(sample[0]["vector"])) if sample else 1
+    wanted = min(PIVOT_BYTES // (width * np.dtype(kind).itemsize), max(8, math.isqrt(rows)))
+    chosen = vectors.orderBy(shuffle_key(seed, "id"), "id").limit(wanted).collect()
+    if not chosen:
+        return [], PivotTree(np.zeros((1, width), dtype=kind), 0.0)
+    tree = PivotTree(np.array([r["vector"] for r in chosen], dtype=kind), math.sqrt(max(0.0, 2.0 - 2.0 * threshold)))
+    return [chosen[i]["id"] for i in tree.order], tree
+
+
+def _placed(vectors: DataFrame, tree: PivotTree, threshold: float) -> DataFrame:
+    """Each vector in every cell where a partner may live; ``near`` marks vectors within the radius of the cell's pivot."""
     radius = math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
-    apart = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (pivots @ pivots.T)))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if batch.empty:
-                continue
-            cosine = _unit(batch["vector"]) @ pivots.T
-            distance = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * cosine))
-            home = distance.argmin(axis=1)
-            own = distance[np.arange(len(batch)), home][:, None]
-            row, cell = np.nonzero(distance**2 - own**2 <= 2.0 * apart[home] * radius + 1e-9)
-            yield pd.DataFrame(
-                {
-                    "id": batch["id"].to_numpy()[row],
-                    "vector": batch["vector"].to_numpy()[row],
-                    "cell": cell,
-                    "home": home[row] == cell,
-                    "near": cosine[row, cell] >= threshold,
-                }
-            )
+            ids, own = batch["id"].to_numpy(), batch["vector"].to_numpy()
+            for begin in range(0, len(batch), PLACED_AT_ONCE):
+                some = own[begin : begin + PLACED_AT_ONCE]
+                for row, cell, home, away in tree.place(_unit(some)):
+                    yield pd.DataFrame(
+                        {"id": ids[begin + row], "vector": some[row], "cell": cell.astype(np.int32), "home": home, "near": away <= radius}
+                    )
 
     schema = T.StructType(
         [*vectors.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("home", T.BooleanType()), T.StructField("near", T.BooleanType())]
@@ -96,7 +148,7 @@ def _blocks(placed: DataFrame, families: tuple[tuple[str, str], ...], block: int
     sizes = placed.groupBy("cell").agg(
         *[F.ceil(F.count_if(test) / F.lit(block)).cast("int").alias(f"_{name}") for name, test in roles.items()]
     )
-    sized = placed.join(F.broadcast(sizes), "cell")  # one row per pivot: at most MAX_PIVOTS
+    sized = placed.join(F.broadcast(sizes), "cell")  # one row per pivot, whose bytes are bounded
     own = F.abs(F.xxhash64("id"))
     entries = []
     for number, (left, right) in enumerate(families):
@@ -151,9 +203,10 @@ def _forest(a: np.ndarray, b: np.ndarray, hit: np.ndarray) -> pd.DataFrame:
 
 def similar_pairs(vectors: DataFrame, *, threshold: float = 0.97, block: int = 2048, seed: int = 0) -> DataFrame:
     """All pairs ``id_a < id_b`` of vectors (``id, vector``) with cosine of at least ``threshold``; exact."""
-    spread = _spread(vectors.select("id", "vector"), vectors.count())
-    _, matrix = _pivots(spread, seed)
-    placed = _placed(spread, matrix, threshold)
+    rows = vectors.count()
+    spread = _spread(vectors.select("id", "vector"), rows)
+    _, tree = _pivots(spread, rows, threshold, seed)
+    placed = _placed(spread, tree, threshold)
     return _compare(_blocks(placed, (("home_far", "any"), ("home_near", "any")), block), threshold, forest=False)
 
 
@@ -167,11 +220,13 @@ def duplicate_groups(vectors: DataFrame, *, threshold: float = 0.97, block: int
     vectors = vectors.select("id", "vector")
     firsts = vectors.groupBy("vector").agg(F.min("id").alias("id"))
     copies = vectors.join(firsts.withColumnRenamed("id", "first"), "vector").filter(F.col("id") != F.col("first"))
-    distinct = _spread(firsts.select("id", "vector"), vectors.count())
-    names, matrix = _pivots(distinct, seed)
-    placed = _placed(distinct, matrix, threshold)
-    pivot = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("cell") + 1)
-    stars = placed.filter("near").select(F.col("id").alias("u"), pivot.alias("v"))
+    rows = vectors.count()
+    distinct = _spread(firsts.select("id", "vector"), rows)
+    names, tree = _pivots(distinct, rows, threshold, seed)
+    placed = _placed(distinct, tree, threshold)
+    schema = T.StructType([T.StructField("cell", T.IntegerType()), T.StructField("v", vectors.schema["id"].dataType)])
+    pivots = vectors.sparkSession.createDataFrame(list(enumerate(names)), schema)
+    stars = placed.filter("near").join(pivots, "cell").select(F.col("id").alias("u"), "v")
     blocks = _blocks(placed, (("home_far", "any"), ("home_near", "far")), block)
     links = _compare(blocks, threshold, forest=True).select(F.col("id_a").alias("u"), F.col("id_b").alias("v"))
     same = copies.select(F.col("id").alias("u"), F.col("first").alias("v"))

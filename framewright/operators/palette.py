@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from framewright.functions import colour as K
 from framewright.functions.colour import lab
 from framewright.functions.geometry import size_features
+from framewright.operators.resample import resampled_sharpness, shrunk
 from framewright.session import pin
 
 NAMES = tuple(K.ANCHORS)
@@ -201,7 +202,7 @@ def sharpness(grey: DataFrame) -> DataFrame:
 def white_balance(pixels: DataFrame, *, power: int = BALANCE_POWER, whole: bool = False) -> DataFrame:
     """Even out the colour of the light: channels scaled to a common power mean, clipped to 0–255.
 
-    ``whole`` cuts the result to whole numbers, as an 8-bit image holds them.
+    ``whole`` cuts the result, in single precision, to whole numbers, as an 8-bit image holds them.
     """
     channels = ("r", "g", "b")
     light = pixels.groupBy("img").agg(
@@ -213,7 +214,7 @@ def white_balance(pixels: DataFrame, *, power: int = BALANCE_POWER, whole: bool
         F.greatest(F.lit(0.0), F.least(F.lit(255.0), (F.col(c) + 1.0) * mean / F.col(f"_{c}"))).alias(c) for c in channels
     ]
     balanced = pixels.join(light, "img").select(*keep, *scaled)
-    return balanced.withColumns({c: F.floor(c).cast("int") for c in channels}) if whole else balanced
+    return balanced.withColumns({c: F.floor(F.col(c).cast("float")).cast("int") for c in channels}) if whole else balanced
 
 
 def stretch_lightness(points: DataFrame) -> DataFrame:
@@ -225,9 +226,11 @@ def stretch_lightness(points: DataFrame) -> DataFrame:
     return joined.withColumn("L", F.when(high - low < 1.0, F.col("L")).otherwise(wide)).drop("_p")
 
 
+# Names of the features, and the sides pictures are brought to before measuring.
 STATISTICS = ("achromatic", "lightness_median", "lightness_spread", "chroma", "colorfulness", "palette_entropy")
 BRAND_MEASURES = ("coverage", "coverage_peak", "balance", "similarity", "score")
 SHORTCUTS = ("log_width", "log_height", "aspect", "log_area", "sharpness")
+WORK_SIDE, SHARP_SIDE = 160, 128
 
 
 def feature_names() -> tuple[str, ...]:
@@ -251,19 +254,20 @@ def _sideways(long: DataFrame, brands, measures: dict[str, str]) -> DataFrame:
     return long.groupBy("img").agg(*picks)
 
 
-def colour_features(pixels: DataFrame) -> DataFrame:
+def colour_features(pixels: DataFrame, *, side: int = WORK_SIDE) -> DataFrame:
     """All colour features of every image: ``img, values`` in the order of :func:`feature_names`.
 
-    Pixels are weighed once; every further table has a few rows per image, and
-    all of them meet on ``img``.
+    Pixels are read once: the pass that resamples them to ``side`` also sums up what colourfulness needs of the full picture.
+    Every further table has a few rows per image, and all of them meet on ``img``.
     """
-    plain = to_lab(white_balance(pixels, whole=True))
+    small = pin(shrunk(pixels, side, whole=_opponents()))
+    plain = pin(to_lab(white_balance(small, whole=True)))
     fine = pin(cell_sums(membership(stretch_lightness(plain))))
     coarse = coarser(fine)
     shares = shares_and_peaks(coarse)
     tables = [
         image_statistics(plain),
-        colourfulness(pixels),
+        _colourfulness_of_sums(small),
         palette_entropy(shares),
         _sideways(brand_metrics(coarse), K.PROTOTYPES, {m: m for m in BRAND_MEASURES}),
         _sideways(adjacency(coarse, grid=K.COARSE_GRID), K.PAIRS, {"adjacency": "adjacency_coarse"}),
@@ -274,13 +278,28 @@ def colour_features(pixels: DataFrame) -> DataFrame:
     return shares.select("img", F.array(*[F.col(n).cast("float") for n in feature_names()]).alias("values"))
 
 
+def _opponents() -> dict[str, Column]:
+    """Sums of the opponent channels and their squares; twice the yellow-blue one, so that all are whole."""
+    r, g, b = (F.col(c).cast("long") for c in ("r", "g", "b"))
+    rg, yb = r - g, r + g - 2 * b
+    return {"_n": F.lit(1).cast("long"), "_rg": rg, "_rg2": rg * rg, "_yb": yb, "_yb2": yb * yb}
+
+
+def _colourfulness_of_sums(small: DataFrame) -> DataFrame:
+    """:func:`colourfulness` of full pictures from the sums that :func:`_opponents` names."""
+    total = small.groupBy("img").agg(*[F.sum(c).cast("double").alias(c) for c in ("_n", "_rg", "_rg2", "_yb", "_yb2")])
+    rg, yb = F.col("_rg") / F.col("_n"), F.col("_yb") / F.col("_n") / 2
+    spread = F.sqrt((F.col("_rg2") / F.col("_n") - rg * rg) + (F.col("_yb2") / F.col("_n") / 4 - yb * yb))
+    mean = F.sqrt(rg * rg + yb * yb)
+    return total.select("img", ((spread + 0.3 * mean) / 100.0).alias("colorfulness"))
+
+
 def shortcut_features(pixels: DataFrame) -> DataFrame:
-    """What gives away the source of a picture: size, aspect and sharpness, in the order of ``SHORTCUTS``."""
-    grey = F.round(0.299 * F.col("r") + 0.587 * F.col("g") + 0.114 * F.col("b"), 0).alias("v")
-    sharp = sharpness(pixels.select("img", "x", "y", grey))
-    sizes = pixels.groupBy("img").agg(F.max("width").alias("width"), F.max("height").alias("height"))
+    """What gives away the source of a picture: size, aspect and sharpness at 128 × 128, in the order of ``SHORTCUTS``."""
+    grey = F.round(0.299 * F.col("r") + 0.587 * F.col("g") + 0.114 * F.col("b"), 0).cast("int").alias("v")
+    sharp = resampled_sharpness(pixels.select("img", "x", "y", "width", "height", grey), side=SHARP_SIDE)
     parts = size_features(F.col("width"), F.col("height"))
-    named = sizes.select("img", *[v.alias(k) for k, v in parts.items()]).join(sharp, "img")
+    named = sharp.select("img", *[v.alias(k) for k, v in parts.items()], "sharpness")
     return named.select("img", F.array(*[F.col(n).cast("float") for n in SHORTCUTS]).alias("values"))
 
 

@@ -1,4 +1,5 @@
 import math
+import pickle
 import random
 from collections import defaultdict
 
@@ -65,11 +66,38 @@ def test_few_copies_of_each_vector_are_placed(frame):
     centres = rng.normal(size=(40, 64))
     rows = [(i, (centres[i % 40] + 0.02 * rng.normal(size=64)).tolist()) for i in range(2000)]
     spread = nearest._spread(frame(rows, "id int, vector array<double>"), len(rows))
-    _, pivots = nearest._pivots(spread, 0)
-    distance = np.sqrt(np.maximum(0, 2 - 2 * nearest._unit([r[1] for r in rows]) @ pivots.T))
+    _, tree = nearest._pivots(spread, len(rows), 0.97, 0)
+    distance = np.sqrt(np.maximum(0, 2 - 2 * nearest._unit([r[1] for r in rows]) @ nearest._unit(tree.vectors).T))
     by_reach = (distance <= distance.min(axis=1)[:, None] + 2 * np.sqrt(2 - 2 * 0.97)).sum()
     # crowds that hold a pivot stay with it; only vectors far from every pivot go to several cells
-    assert nearest._placed(spread, pivots, 0.97).count() < 0.95 * by_reach
+    assert nearest._placed(spread, tree, 0.97).count() < 0.95 * by_reach
+
+
+def test_the_pivot_tree_meets_every_pair_once():
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(400, 12))
+    unit = nearest._unit(np.vstack([base, base[:200] + rng.normal(scale=0.1, size=(200, 12)), base[:3], base[:3]]))
+    for pivots, threshold in [(1, 0.9), (2, 0.9), (40, 0.97), (90, 0.6), (200, 0.9)]:
+        tree = nearest.PivotTree(np.vstack([unit[:pivots], unit[:2]]), math.sqrt(2 - 2 * threshold))
+        homes, visits = {}, defaultdict(set)
+        for rows, cells, home, _ in tree.place(unit):
+            for row, cell, own in zip(rows.tolist(), cells.tolist(), home.tolist()):
+                visits[cell].add(row)
+                if own:
+                    assert row not in homes
+                    homes[row] = cell
+        assert len(homes) == len(unit)
+        i, j = np.nonzero(np.triu(unit @ unit.T >= threshold, 1))
+        assert all(b in visits[homes[a]] and a in visits[homes[b]] for a, b in zip(i.tolist(), j.tolist()))
+
+
+@pytest.mark.parametrize("width", [64, 768])
+def test_what_a_task_gets_stays_small_at_ten_million_vectors(width):
+    wanted = min(nearest.PIVOT_BYTES // (width * 4), math.isqrt(10_000_000))
+    tree = nearest.PivotTree(np.random.default_rng(0).normal(size=(wanted, width)).astype(np.float32), 0.2)
+    assert len(pickle.dumps(tree)) < 10_000_000
+    for rows in (10**9, 10**12):
+        assert min(nearest.PIVOT_BYTES // (width * 4), math.isqrt(rows)) * width * 4 <= nearest.PIVOT_BYTES
 
 
 def test_components_of_chains_stars_and_loops(frame):
