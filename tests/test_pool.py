@@ -76,7 +76,7 @@ def test_a_chain_of_100_000_rows_on_a_hot_key(spark, monkeypatch):
     link = lambda k: F.concat(F.lit(k), F.when(at < n, F.floor((at + int(k == "a")) / 2)).otherwise(-at).cast("string"))
     rows = spark.range(n * 3 // 2).select(at.alias("at"), F.when(at >= n - 1, "hot").otherwise(link("a")).alias("stem"), link("b").alias("mark"))
     shared_folder(spark)
-    placed = rows.withColumn("_no", at).checkpoint()
+    placed = rows.withColumn("_no", F.col("at")).checkpoint()
     got = greedy.first_numbers(placed, ["stem", "mark"], block=20_000)
     # rows 0, 2, … of the chain stay; row n - 1 loses, so the first row behind the chain takes the hot key
     assert got.filter("_no < 100000 AND _no % 2 = 1").count() == 0
