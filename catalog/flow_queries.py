@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from catalog.pool_queries import SPLIT, split
 from catalog.registry import query
 from catalog.review_queries import FATES, LINE, QUEUE, REPORT, fates
+from catalog.vector_queries import GROUPS
 from framewright import schemas as C
 from framewright.functions.answers import parse_judge_reply
-from framewright.operators import heads, inference, nearest, palette, reports, review, scoring
+from framewright.operators import heads, inference, many_heads, nearest, palette, reports, review, scoring
+from framewright.plans import classification
 from framewright.session import scratch_path
 from framewright.sources import feature_store, files, sinks
 from framewright.streaming import live
@@ -303,12 +305,63 @@ def snk11(d):
     return d.spark.read.option("header", True).schema(fields).csv(path)
 
 
+#: Names of the colour dimensions: some know brands, the others don't.
+COLOUR_DIMS = tuple(f"share_{i}" for i in range(10)) + tuple(f"brand_{i}" for i in range(6))
+
+
+def ablation_arms(d):
+    """Samples with groups of near duplicates, and the six arms of an ablation."""
+    near = nearest.duplicate_groups(d.embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector")), threshold=0.45)
+    rows = samples(d).withColumn("shortcut", F.slice("color", 13, 4))
+    dims = {"visual": [f"v{i}" for i in range(48)], "color": COLOUR_DIMS, "shortcut": ["log_width", "log_height", "aspect", "sharpness"]}
+    return classification.standard_arms(rows.join(near, "id"), dims)
+
+
 @query("ml05_ablation")
 def ml05(d):
-    grouped = samples(d).join(nearest.duplicate_groups(d.embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector")), threshold=0.45), "id")
-    arms = {"visual": {"visual": 48}, "color": {"color": 16}, "both": WIDTHS}
-    guesses = heads.ablate(grouped, arms, folds=3, repeats=1, max_iter=50)
-    return scoring.arm_summary(heads.fold_scores(guesses), "visual")
+    rows, arms = ablation_arms(d)
+    return scoring.arm_summary(heads.fold_scores(heads.ablate(rows, arms, weights={"color": 0.5})), "visual")
+
+
+@query(
+    "ml05_stationary_heads",
+    f"""WITH RECURSIVE g AS MATERIALIZED ({GROUPS.replace(">= 0.4", ">= 0.45")}), s AS (SELECT vec_id AS id, label % 4 AS label, "group" FROM {{embeddings}} JOIN g ON g.id = vec_id),
+        v AS (SELECT "group", label, count(*) AS n FROM s GROUP BY ALL),
+        m AS (SELECT "group", arg_max(label, (n, -label)) AS class, sum(n) AS size FROM v GROUP BY "group"),
+        k AS (SELECT r AS repeat, "group", (row_number() OVER (PARTITION BY r, class ORDER BY size DESC, md5(concat(r, ':', "group")), "group") - 1) % 5 AS fold
+              FROM m, range(5) t(r)),
+        f AS (SELECT repeat, fold, count(*) AS held FROM s JOIN k USING ("group") GROUP BY ALL)
+        SELECT arm, repeat::INT AS repeat, fold::INT AS fold, (SELECT count(*) FROM s) - held AS rows, held AS guessed, true AS stationary, true AS same_f1
+        FROM f, unnest(['visual', 'color', 'visual+color', 'color, no brands', 'visual+color, no brands', 'shortcut']) a(arm)""",
+)
+def ml05_stationary(d):
+    """Every head of the grid: rows it learned from and guessed, whether it stands still, and whether its score follows from stored guesses."""
+    rows, arms = ablation_arms(d)
+    table = heads.dealt(rows, sorted({b for arm in arms.values() for b in arm}))
+    fitted = heads.fitted_heads(table, arms, weights={"color": 0.5})
+    path = scratch_path(d.spark, "guesses")
+    many_heads.guesses(table, fitted, key="id").write.parquet(path)
+    said = d.spark.read.parquet(path)
+    by = ["arm", "repeat", "fold"]
+    again = said.groupBy(*by, "truth", "guess").agg(F.count("*").alias("n")).groupBy(*by).agg(F.collect_list(F.struct("truth", "guess", "n")).alias("cells"))
+
+    def f1(cells):
+        classes = F.array_distinct(F.flatten(F.transform(cells, lambda x: F.array(x["truth"], x["guess"]))))
+        total = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a + x["n"])
+
+        def one(name):
+            hits = total(F.filter(cells, lambda x: (x["truth"] == name) & (x["guess"] == name)))
+            ends = total(F.filter(cells, lambda x: x["truth"] == name)) + total(F.filter(cells, lambda x: x["guess"] == name))
+            return 2.0 * hits / ends
+
+        scores = F.transform(classes, one)
+        return F.aggregate(scores, F.lit(0.0), lambda a, x: a + x) / F.size(scores)
+
+    again = again.select(*by, f1(F.col("cells")).alias("_again"), F.aggregate("cells", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("guessed"))
+    stands = many_heads.stationarity(table, fitted).join(heads.fold_scores(said), by).join(again, by)
+    return stands.select(
+        *by, "rows", "guessed", (F.col("slope") <= 1e-5).alias("stationary"), (F.abs(F.col("f1") - F.col("_again")) < 1e-9).alias("same_f1")
+    )
 
 
 @query("ml09_explanations")
@@ -316,7 +369,10 @@ def ml09(d):
     rows = samples(d)
     model = heads.fit_head(heads.as_vectors(rows, list(WIDTHS)), WIDTHS, max_iter=3000)
     weights = heads.visual_weights(model, "visual", WIDTHS, C.HEAD_CLASSES)
-    cells = rows.select(F.col("id").alias("img"), F.lit(0).alias("cell"), F.transform("visual", lambda v: v.cast("double")).alias("features"))
+    # a grid of 4 x 4 cells: the mean of their maps is the block the head reads
+    shift = lambda v, i: v.cast("double") * (F.pmod(F.col("cell") * 7 + i * 3, F.lit(16)) / 7.5)
+    spots = rows.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(15))))
+    cells = spots.select(F.col("id").alias("img"), "cell", F.transform("visual", shift).alias("features"))
     guesses = heads.predict(rows, model, list(WIDTHS), key="id").withColumnRenamed("id", "img")
     colours = rows.select(F.col("id").alias("img"), F.col("color").alias("values"))
     return heads.explanation(guesses, palette.attribution(cells, weights), colours, [f"c{i}" for i in range(16)]).select(

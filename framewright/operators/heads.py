@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 
 from framewright import schemas as C
 from framewright.functions.answers import class_index, pick_class
+from framewright.operators import many_heads
 from framewright.operators.palette import GENERIC_PREFIXES
 from framewright.operators.scoring import macro_f1
 from framewright.operators.splits import group_folds
@@ -92,39 +92,37 @@ def generic_only(df: DataFrame, block: str, dims: Sequence[str]) -> DataFrame:
     return df.withColumn(block, F.array(*[F.element_at(block, i) for i in places]))
 
 
+def dealt(
+    samples: DataFrame, blocks: Sequence[str], *, label: str = "label", group: str = "group", key: str = "id", folds: int = 5, repeats: int = 5, seed: int = 0
+) -> DataFrame:
+    """Samples with ``folds``: the fold of the row's group in every repeat; pinned."""
+    base = samples.select(key, label, group, *blocks)
+    table = base.withColumn("folds", F.array().cast("array<int>"))
+    for repeat in range(repeats):
+        fold = group_folds(base.select(key, label, group), group=group, label=label, key=key, folds=folds, seed=seed + repeat)
+        table = table.join(fold.select(key, "fold"), key).withColumn("folds", F.array_append("folds", F.col("fold"))).drop("fold")
+    return pin(table.withColumn(label, F.col(label).cast("int")))
+
+
 def ablate(
     samples: DataFrame, arms: Mapping[str, Mapping[str, int]], *, label: str = "label", group: str = "group", key: str = "id",
     folds: int = 5, repeats: int = 5, seed: int = 0, weights: Mapping[str, float] | None = None, c: float = 1.0,
-    max_iter: int = 3000, parallel: int = 4,
+    max_iter: int = 3000,
 ) -> DataFrame:
     """Predictions ``arm, repeat, fold, key, truth, guess`` of repeated grouped cross-validation.
 
-    ``arms`` name the blocks they use and their widths.  The scaler is fitted
-    inside each fold.  Folds come once per repeat; every fit is a Spark job on
-    the same stored table, a few at a time.
+    ``arms`` name the blocks they use and their widths.  The scaler is fitted inside each fold.  The heads of all arms, repeats and folds are
+    fitted together (:mod:`framewright.operators.many_heads`), a pass over one pinned table per step.
     """
     blocks = sorted({b for arm in arms.values() for b in arm})
-    base = as_vectors(samples.select(key, label, group, *blocks), blocks)
-    results = []
-    for repeat in range(repeats):
-        dealt = group_folds(base, group=group, label=label, key=key, folds=folds, seed=seed + repeat)
-        table = pin(dealt.withColumn(label, F.col(label).cast("double")))
-
-        def one(job, table=table, repeat=repeat):
-            arm, fold = job
-            train, test = table.filter(F.col("fold") != fold), table.filter(F.col("fold") == fold)
-            model = fit_head(train, arms[arm], label=label, weights=weights, c=c, max_iter=max_iter)
-            return model.transform(test).select(
-                F.lit(arm).alias("arm"), F.lit(repeat).alias("repeat"), F.lit(fold).alias("fold"), key,
-                F.col(label).alias("truth"), F.col("prediction").alias("guess"),
-            )
-
-        with ThreadPoolExecutor(parallel) as pool:
-            results += list(pool.map(one, [(arm, fold) for arm in arms for fold in range(folds)]))
-    out = results[0]
-    for part in results[1:]:
-        out = out.unionByName(part)
-    return out
+    table = dealt(samples, blocks, label=label, group=group, key=key, folds=folds, repeats=repeats, seed=seed)
+    return many_heads.guesses(table, fitted_heads(table, arms, label=label, folds=folds, repeats=repeats, weights=weights, c=c, max_iter=max_iter), key=key, label=label)
+
+
+def fitted_heads(table: DataFrame, arms: Mapping[str, Mapping[str, int]], *, label: str = "label", folds: int = 5, repeats: int = 5, **options) -> many_heads.Fitted:
+    """All heads of a :func:`dealt` table."""
+    classes = (table.agg(F.max(label)).first()[0] or 0) + 1
+    return many_heads.fit(table, arms, classes=classes, folds=folds, repeats=repeats, label=label, **options)
 
 
 def fold_scores(predictions: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from framewright import schemas as C
-from framewright.operators import heads, inference
+from framewright.operators import heads, inference, many_heads
 from framewright.session import scratch_path
 from framewright.sources import feature_store, files, sinks
 from framewright.streaming import live
@@ -181,6 +181,31 @@ def test_ablation_tells_signal_from_noise(frame):
     assert scores["visual"] > 0.9 > 0.6 > scores["color"]
 
 
+def test_heads_fitted_together_equal_heads_fitted_alone(frame):
+    rows, arms = _blobs(frame), {"visual": {"visual": 6}, "both": {"visual": 6, "color": 3}}
+    table = heads.dealt(rows, ["visual", "color"], folds=3, repeats=2)
+    fitted = heads.fitted_heads(table, arms, folds=3, repeats=2, weights={"color": 0.5})
+    assert fitted.slopes.max() <= 1e-5
+    got = {(r["arm"], r["repeat"], r["fold"], r["id"]): r["guess"] for r in many_heads.guesses(table, fitted, key="id").collect()}
+    assert len(got) == 2 * 2 * 120
+    for arm, repeat, fold in [("visual", 0, 1), ("both", 1, 2)]:
+        held = F.col("folds")[repeat] == fold
+        vectors = heads.as_vectors(table.withColumn("label", F.col("label").cast("double")), ["visual", "color"])
+        model = heads.fit_head(vectors.filter(~held), arms[arm], weights={"color": 0.5})
+        for r in model.transform(vectors.filter(held)).select("id", "prediction").collect():
+            assert got[arm, repeat, fold, r["id"]] == r["prediction"]
+        at = next(i for i, h in enumerate(fitted.grid.heads) if (h.arm, h.repeat, h.fold) == (arm, repeat, fold))
+        own = fitted.weights[fitted.grid.part(at)].reshape(4, -1)
+        alone = model.stages[-1].coefficientMatrix.toArray()
+        assert np.abs((own[:, :-1] - own[:, :-1].mean(axis=0)) - (alone - alone.mean(axis=0))).max() < 0.02
+
+
+def test_sums_of_many_tasks_meet_in_two_levels(spark):
+    rows = spark.range(0, 1000, 1, 40)
+    total = many_heads.summed(rows, lambda r: np.array([r["v"].sum(), len(r["v"])], dtype=float), lambda b: {"v": b["id"].to_numpy()})
+    assert total.tolist() == [499500.0, 1000.0]
+
+
 def test_judge_stream_resumes(spark, frame, tmp_path):
     frame([(f"b{i}", f"t{i}") for i in range(6)], "box_id string, text string").write.parquet(f"{tmp_path}/boxes")
     schema = "box_id string, category string, reason string, seconds double, answered_at bigint"
