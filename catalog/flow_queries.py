@@ -13,8 +13,8 @@ from framewright import schemas as C
 from framewright.functions.answers import parse_judge_reply
 from framewright.operators import heads, inference, many_heads, nearest, palette, reports, review, scoring
 from framewright.plans import classification
-from framewright.session import scratch_path
-from framewright.sources import feature_store, files, sinks
+from framewright.session import pin, scratch_path
+from framewright.sources import feature_store, files, sinks, tree
 from framewright.streaming import live
 
 # --- files ---------------------------------------------------------------
@@ -280,6 +280,80 @@ def ml02(d):
     return model.transform(rows).select("id", "label", "prediction")
 
 
+@query(
+    "ml02_balanced_weights",
+    """SELECT label % 4 AS label, count(*) AS n, round((SELECT count(*) FROM {embeddings}) / (4e0 * count(*)), 6) AS weight, true AS still
+       FROM {embeddings} GROUP BY label % 4""",
+)
+def ml02_weights(d):
+    """Class weights, and whether the fitted head is a minimum: its slope, from features and probabilities, is close to zero."""
+    from pyspark.ml.functions import vector_to_array
+
+    rows = heads.as_vectors(samples(d), list(WIDTHS))
+    model = heads.fit_head(rows, WIDTHS, weights={"color": 0.5}, max_iter=3000)
+    weighted, total, classes = heads.balanced(rows, "label")
+    scored = model.transform(weighted).select("label", "weight", vector_to_array("probability").alias("p"), vector_to_array("features").alias("x"))
+    table = model.stages[-1].coefficientMatrix.toArray()
+    own = d.spark.createDataFrame([(k, j, float(w)) for k, row in enumerate(table) for j, w in enumerate(row)], "class int, dim int, w double")
+    spread = scored.select("label", "weight", "x", F.posexplode("p").alias("class", "p"))
+    spread = spread.withColumn("pull", F.col("weight") * (F.col("p") - (F.col("label") == F.col("class")).cast("double")))
+    slopes = spread.select("class", "pull", F.posexplode("x").alias("dim", "x")).groupBy("class", "dim").agg(F.sum(F.col("pull") * F.col("x")).alias("g"))
+    worst = slopes.join(own, ["class", "dim"]).agg(F.max(F.abs(F.col("g") / total + F.col("w") / total)).alias("worst"))
+    counts = weighted.groupBy("label").agg(F.count("*").alias("n"), F.round(F.max("weight"), 6).alias("weight"))
+    return counts.select(F.col("label").cast("long").alias("label"), "n", "weight", (worst.scalar() < 1e-3).alias("still"))
+
+
+@query("ml03_reloaded_head", "SELECT vec_id AS id, true AS same FROM {embeddings}")
+def ml03_reloaded(d):
+    """A head read back from its folder says what the head in memory says."""
+    from pyspark.ml import PipelineModel
+
+    path = scratch_path(d.spark, "head")
+    model = heads.train_and_save(samples(d), WIDTHS, path, classes=C.HEAD_CLASSES, max_iter=3000)
+    here = heads.predict(samples(d), model, list(WIDTHS), key="id", floor=0.3).select("id", "brand", "confidence")
+    there = heads.predict(samples(d), PipelineModel.load(f"{path}/model"), list(WIDTHS), key="id", floor=0.3)
+    same = (F.col("here.brand") == F.col("there.brand")) & (F.col("here.confidence") == F.col("there.confidence"))
+    return here.alias("here").join(there.alias("there"), "id").select("id", same.alias("same"))
+
+
+@query("ml04_prediction_rules", "SELECT vec_id AS id, true AS proper, true AS named FROM {embeddings}")
+def ml04_rules(d):
+    """Every prediction: probabilities of all classes sum to one, the class is their first maximum, or unsure below the floor."""
+    said = ml04(d)
+    shares = F.array(*[F.col(f"p_{c}") for c in C.HEAD_CLASSES if f"p_{c}" in said.columns])
+    names = F.array(*[F.lit(c) for c in C.HEAD_CLASSES])
+    best = F.array_max(shares)
+    total = F.aggregate(F.filter(shares, lambda p: p.isNotNull()), F.lit(0.0), lambda a, p: a + p)
+    brand = F.when(best < 0.3, F.lit(C.UNSURE)).otherwise(F.element_at(names, F.array_position(shares, best).cast("int")))
+    return said.select("id", ((F.abs(total - 1.0) < 1e-9) & (F.col("confidence") == best)).alias("proper"), (F.col("brand") == brand).alias("named"))
+
+
+@query("snk11_stored_predictions", "SELECT vec_id AS id, true AS same, true AS four_decimals FROM {embeddings}")
+def snk11_stored(d):
+    """Written predictions against those of the head: the class is kept, shares are kept to four decimals."""
+    path = scratch_path(d.spark, "predictions")
+    shares = ["confidence", *[f"p_{c}" for c in C.HEAD_CLASSES]]
+    here = pin(ml04(d))
+    sinks.write_predictions(here, path, shares[1:])
+    texts = d.spark.read.option("header", True).csv(path)
+    close = [F.abs(F.col(f"there.{c}").cast("double") - F.col(f"here.{c}")) <= 0.5e-4 + 1e-12 for c in shares]
+    short = [F.col(f"there.{c}").rlike(r"^\d\.\d{4}$") for c in shares]
+    every = lambda tests: F.array_min(F.array(*[F.coalesce(t, F.lit(True)) for t in tests]))
+    both = here.alias("here").join(texts.withColumn("id", F.col("id").cast("long")).alias("there"), "id")
+    return both.select("id", ((F.col("here.brand") == F.col("there.brand")) & every(close)).alias("same"), every(short).alias("four_decimals"))
+
+
+@query("src05_annotation_export", "SELECT stem, max(label_text) AS text, true AS handmade FROM {samples} WHERE label_text IS NOT NULL GROUP BY stem")
+def src05(d):
+    """Labels and images written as the members of an export, one file each, then read back as pairs; empty labels stay."""
+    path = scratch_path(d.spark, "export")
+    named = d.samples.filter("label_text IS NOT NULL").groupBy("stem").agg(F.max("label_text").alias("text"))
+    member = lambda folder, suffix: F.concat(F.lit(f"{folder}/"), "stem", F.lit(suffix)).alias("member")
+    tree.write_members(named.select(member("data/labels", ".txt"), F.col("text").cast("binary").alias("content")), path)
+    tree.write_members(named.select(member("data/images", ".jpg"), F.col("stem").cast("binary").alias("content")), path)
+    return files.read_annotation_export(d.spark, path).select("stem", "text", "handmade")
+
+
 @query("ml03_train_and_reload")
 def ml03(d):
     from pyspark.ml import PipelineModel

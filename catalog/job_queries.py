@@ -12,6 +12,7 @@ from framewright.operators import pool
 from framewright.operators.reports import frame_report
 from framewright.plans import classification, detection
 from framewright.session import scratch_path
+from framewright.sources import files, sinks
 
 
 def sized(n: str = "n") -> str:
@@ -142,6 +143,30 @@ def probe(d):
     return classification.probe(rows, hard=("src1", "src2"), street_source="src3", street=10)
 
 
+@query(
+    "snk12_written_probe",
+    """WITH c AS (SELECT concat(source, '__', file) AS file, brand, source FROM (
+         SELECT file, source, CASE WHEN lang = 'en' THEN 'other' ELSE 'mts' END AS brand,
+                row_number() OVER (PARTITION BY CASE WHEN lang = 'en' AND source NOT IN ('src1', 'src2', 'src3') THEN '_rest' ELSE source END
+                                   ORDER BY md5(concat('0:', file)), file) AS r FROM {samples})
+       WHERE source IN ('src1', 'src2') OR (source = 'src3' AND r <= 10) OR (source NOT IN ('src1', 'src2', 'src3') AND brand = 'other' AND r <= 150))
+       SELECT file AS original, brand, source, true AS blinded FROM c""",
+)
+def written_probe(d):
+    """The probe and its blinding, written and read back: labels meet the key on the original name; no blinded name tells it."""
+    folder = scratch_path(d.spark, "probe")
+    sinks.write_probe(probe(d), folder)
+    labels = files.read_table(d.spark, f"{folder}/labels", "file string, brand string, source string")
+    names = labels.withColumn("quality", F.lit("good"))
+    key = sinks.write_blinded(classification.blind(names, [("probe", names)]), f"{folder}/blind")
+    back = files.read_table(d.spark, key, "file string, brand string, source string, quality string, original string")
+    shown = files.read_table(d.spark, f"{folder}/blind/files", "file string")
+    told = F.col("file").contains(F.regexp_replace("original", r"\.[^.]*$", ""))
+    return back.join(shown, "file").join(labels.select(F.col("file").alias("original")), "original").select(
+        "original", "brand", "source", (~told & (F.col("quality") == "good")).alias("blinded")
+    )
+
+
 def make_client():
     """A stand-in vision model: claims what the text's first letter suggests, reads the whole text."""
     import json

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from framewright import schemas as C
 from framewright.functions.geometry import stem
+from framewright.sources import tree
 
 # Fixed value: image suffixes in any case.
 IMAGE_GLOB = "*.{[jJ][pP][gG],[jJ][pP][eE][gG],[pP][nN][gG],[wW][eE][bB][pP]}"
@@ -116,9 +117,13 @@ def read_label_files(spark: SparkSession, folder: str, *, recursive: bool = True
     """Label files as ``path, stem, text``, sub-folders included.
 
     An empty file says "nothing here" and must stay a row.  The DataFrame file
-    readers skip files of length zero, so this one reads whole text files, in
-    many splits and without leaving the JVM.
+    readers skip files of length zero, so the tasks list and read the tree
+    (:mod:`framewright.sources.tree`).  In stores that only Spark's own readers
+    know, whole text files are read by patterns of every depth.
     """
+    if tree.reachable(_folder(spark, folder)):
+        found = tree.read_tree(spark, folder, (".txt",), recursive=recursive)
+        return found.select("path", stem(F.col("path")).alias("stem"), F.col("content").cast("string").alias("text"))
     globs = _label_globs(spark, _folder(spark, folder), recursive)
     if not globs:
         return spark.createDataFrame([], "path string, stem string, text string")

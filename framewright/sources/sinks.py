@@ -76,3 +76,16 @@ def write_bundles(queue: DataFrame, lines: DataFrame, path: str, *, class_name:
 
 def write_predictions(predictions: DataFrame, path: str, probabilities: Sequence[str]) -> None:
     write_csv(formatted(predictions, dict.fromkeys(("confidence", *probabilities), 4)), path)
+
+
+def write_probe(probe: DataFrame, folder: str) -> None:
+    """Labels of a probe set beside its frames: ``labels`` with ``file, brand, source``."""
+    write_csv(probe.select("file", "brand", "source"), f"{folder.rstrip('/')}/labels")
+
+
+def write_blinded(blinded: DataFrame, folder: str) -> str:
+    """Names that go to the judges in ``folder``, and the key that leads back beside it, not in it; returns the key's path."""
+    base = folder.rstrip("/")
+    write_csv(blinded.select("file").sort("file"), f"{base}/files")
+    write_csv(blinded.select("file", "brand", "source", "quality", "original"), f"{base}_key")
+    return f"{base}_key"

@@ -11,6 +11,7 @@ from framewright import schemas as C
 from framewright.operators import heads, inference, many_heads
 from framewright.session import scratch_path
 from framewright.sources import feature_store, files, sinks
+from framewright.sources import tree as trees
 from framewright.streaming import live
 
 
@@ -140,6 +141,24 @@ def test_extractors_check_their_width(spark, frame):
         registry.get("nothing")
 
 
+def test_a_tree_is_listed_by_many_tasks(spark, tmp_path):
+    for i in range(3000):
+        (tmp_path / f"f{i:05d}.txt").write_text("" if i % 3 else f"0 {i}")
+    for deep in ("a", "a/b/c", "a/b/c/d", "e/f"):
+        (tmp_path / deep).mkdir(parents=True, exist_ok=True)
+        (tmp_path / deep / "x.TXT").write_text(deep)
+        (tmp_path / deep / "x.jpg").write_text("no label")
+    found = trees.read_tree(spark, f"file://{tmp_path}", (".txt",), shares=6)
+    assert found.count() == 3004 and found.select("path").distinct().count() == 3004
+    per_task = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(per_task) == 6 and max(per_task) < 800
+    assert trees.read_tree(spark, str(tmp_path), (".txt",), recursive=False, contents=False).agg(F.count("*"), F.count("content")).first() == (3000, 0)
+    texts = {r["path"]: r["text"] for r in files.read_label_files(spark, str(tmp_path)).collect()}
+    assert texts[f"{tmp_path}/a/b/c/d/x.TXT"] == "a/b/c/d" and texts[f"{tmp_path}/f00001.txt"] == "" and len(texts) == 3004
+    trees.write_members(spark.createDataFrame([("p/q.txt", bytearray(b"1")), ("r.txt", None)], "member string, content binary"), f"{tmp_path}/out")
+    assert (tmp_path / "out/p/q.txt").read_text() == "1" and (tmp_path / "out/r.txt").read_text() == ""
+
+
 def _blobs(frame, n=120):
     rng = np.random.default_rng(1)
     rows = []
