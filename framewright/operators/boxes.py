@@ -20,8 +20,8 @@ CONFIDENCE_BANDS = 4096
 IOU_STEPS = tuple(round(0.5 + 0.05 * k, 2) for k in range(10))
 
 
-def overlap_pairs(left: DataFrame, right: DataFrame, *, iou_min: float) -> DataFrame:
-    """Pairs of boxes of one file with IoU of at least ``iou_min``: ``left_id, right_id, file, iou``.
+def overlap_pairs(left: DataFrame, right: DataFrame, *, iou_min: float, keep: Sequence[str] = ()) -> DataFrame:
+    """Pairs of boxes of one file with IoU of at least ``iou_min``: ``left_id, right_id, file, iou``, and the left sides in ``keep``.
 
     Boxes that overlap so much have widths within a factor ``1/iou_min`` and
     centres closer than ``(1 - iou_min)`` of the larger width.  So every right
@@ -56,7 +56,7 @@ def overlap_pairs(left: DataFrame, right: DataFrame, *, iou_min: float) -> DataF
         a.join(b, same)
         .select(
             F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"), F.col("a.file").alias("file"),
-            measure.alias("iou"),
+            measure.alias("iou"), *[F.col(f"a.{c}").alias(c) for c in keep],
         )
         .filter(F.col("iou") >= iou_min)
     )
@@ -69,17 +69,18 @@ def merge_scans(base: DataFrame, extra: DataFrame, *, iou_min: float = 0.6) -> D
     extra box accepted before it (order: ``id``).  Both need
     ``id, file, cx, cy, w, h``.
     """
-    taken = overlap_pairs(extra, base, iou_min=iou_min).select(F.col("left_id").alias("id")).distinct()
-    fresh = pin(extra.join(taken, "id", "left_anti"))
-    # exact twins conflict with each other and share all other conflicts: only the first can win
     solid = (F.col("w") > 0) & (F.col("h") > 0)
-    first = fresh.filter(solid).groupBy("file", *SIDES).agg(F.min("id").alias("id"))
-    pairs = overlap_pairs(first, first, iou_min=iou_min).filter(F.col("left_id") < F.col("right_id"))
+    # exact twins share all conflicts and conflict with each other: only the first can win, and each place of the first scan counts once
+    first = pin(extra.filter(solid).groupBy("file", *SIDES).agg(F.min("id").alias("id")))
+    places = base.groupBy("file", *SIDES).agg(F.min("id").alias("id"))
+    taken = overlap_pairs(first, places, iou_min=iou_min).select(F.col("left_id").alias("id")).distinct()
+    fresh = pin(first.join(taken, "id", "left_anti"))
+    pairs = overlap_pairs(fresh, fresh, iou_min=iou_min).filter(F.col("left_id") < F.col("right_id"))
     lost = beaten(pairs.select(F.col("left_id").alias("earlier"), F.col("right_id").alias("later")))
-    winners = first.select("id").unionByName(fresh.filter(~solid).select("id"))
+    winners = fresh.select("id").unionByName(extra.filter(~solid).select("id"))
     if lost is not None:
         winners = winners.join(lost, "id", "left_anti")
-    return fresh.join(winners, "id", "left_semi")
+    return extra.join(winners, "id", "left_semi")
 
 
 def merged_scan(base: DataFrame, extra: DataFrame, *, iou_min: float = 0.6) -> DataFrame:
@@ -137,22 +138,26 @@ def named_crops(boxes: DataFrame) -> DataFrame:
     )
 
 
-def matched_detections(predictions: DataFrame, truths: DataFrame, *, steps: Sequence[float] = IOU_STEPS) -> DataFrame:
-    """Hits per IoU step: ``step, id``.
+def matched_detections(
+    predictions: DataFrame, truths: DataFrame, *, steps: Sequence[float] = IOU_STEPS, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Hits per IoU step: ``step, id`` and what ``carry`` names of the predictions.
 
     A prediction claims the truth it overlaps most; a truth honours its most
     confident claim.  Both sides need ``id, file, cx, cy, w, h``; predictions
-    also ``confidence``.
+    also ``confidence``.  Boxes in exactly the same place are compared once: a
+    crowd of twins costs a row per member, not one per pair.
     """
-    pairs = overlap_pairs(predictions, truths, iou_min=min(steps))
-    best = pairs.groupBy(F.col("left_id").alias("id")).agg(F.max(F.struct("iou", "right_id")).alias("_b"))
-    claims = best.join(predictions.select("id", "confidence"), "id")
+    spots = predictions.groupBy("file", *SIDES).agg(F.min("id").alias("id"))
+    places = truths.groupBy("file", *SIDES).agg(F.max("id").alias("id"))
+    pairs = overlap_pairs(spots, places, iou_min=min(steps), keep=SIDES)
+    best = pin(pairs.groupBy("file", *SIDES).agg(F.max(F.struct("iou", "right_id")).alias("_b")))
+    carried = [c for c in carry if c != "confidence"]
+    claims = predictions.select("id", "file", *SIDES, "confidence", *carried).join(best, ["file", *SIDES])
     levels = F.explode(F.array(*[F.lit(s) for s in steps]))
     claims = claims.withColumn("step", levels).filter(F.col("_b.iou") >= F.col("step"))
-    winner = claims.groupBy("step", F.col("_b.right_id").alias("truth_id")).agg(
-        F.max(F.struct("confidence", "id")).alias("_w")
-    )
-    return winner.select("step", F.col("_w.id").alias("id"))
+    winner = claims.groupBy("step", F.col("_b.right_id").alias("truth_id")).agg(F.max(F.struct("confidence", "id", *carried)).alias("_w"))
+    return winner.select("step", "_w.id", *[F.col(f"_w.{c}") for c in carry])
 
 
 def detection_quality(
@@ -165,8 +170,8 @@ def detection_quality(
     few bands, so no task holds a whole curve.
     """
     level = F.col("confidence").alias("level")
-    hits = matched_detections(predictions, truths, steps=steps).join(predictions.select("id", part, level), "id")
-    hits = hits.groupBy(part, "step", "level").agg(F.count("*").alias("tp"))
+    hits = matched_detections(predictions, truths, steps=steps, carry=[part, "confidence"])
+    hits = hits.groupBy(part, "step", level).agg(F.count("*").alias("tp"))
     shown = predictions.groupBy(part, level).agg(F.count("*").alias("n"))
     shown = shown.withColumn("step", F.explode(F.array(*[F.lit(s) for s in steps])))
     points = shown.join(hits, [part, "step", "level"], "left").fillna(0, subset=["tp"])

@@ -85,6 +85,20 @@ def test_one_full_file_compares_neighbours_only(spark):
     assert pairs.count() < 3000 * 20
 
 
+def test_a_crowd_of_equal_boxes_is_compared_once(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(boxes, "overlap_pairs", lambda a, b, pairs=boxes.overlap_pairs, **k: sizes.append((a.count(), b.count())) or pairs(a, b, **k))
+    crowd = spark.range(100_000).select(
+        F.format_string("e%06d", "id").alias("id"), F.lit("a").alias("file"), F.lit(0.5).alias("cx"), F.lit(0.5).alias("cy"),
+        F.lit(0.2).alias("w"), F.lit(0.2).alias("h"), (F.col("id") / 1e5).alias("confidence"),
+    )
+    assert [r["id"] for r in boxes.merge_scans(crowd.limit(0), crowd).collect()] == ["e000000"]
+    assert boxes.merge_scans(crowd, crowd).count() == 0
+    hits = boxes.matched_detections(crowd, crowd, steps=(0.5,)).collect()
+    assert [r["id"] for r in hits] == ["e099999"]
+    assert max(a for pair in sizes for a in pair) <= 1
+
+
 def test_scenes_of_one_long_recording_are_cut_in_spans(spark):
     frames = spark.range(50_000).select(F.lit(1).alias("recording"), (F.col("id") / 10.0).alias("seconds"), F.col("id").cast("string").alias("file"))
     out = scenes.number_scenes(frames, gap=60.0)
