@@ -469,7 +469,7 @@ def st01(d):
     schema = "box_id string, category string, reason string, seconds double, answered_at bigint"
     for turn in ("first", "again"):  # the second run finds everything answered
         live.judge_stream(rows, f"{base}/answers", f"{base}/{turn}", make_client, "text", schema=schema).awaitTermination()
-    return d.spark.read.schema(schema).parquet(f"{base}/answers").select("box_id", "category", "reason")
+    return live.read_answers(d.spark, f"{base}/answers", schema).select("box_id", "category", "reason")
 
 
 @query(

@@ -3,6 +3,7 @@ import struct
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -242,11 +243,64 @@ def test_judge_stream_resumes(spark, frame, tmp_path):
         live.judge_stream(boxes(), f"{tmp_path}/answers", f"{tmp_path}/{mark}", make, "text", schema=schema).awaitTermination()
     frame([("b9", "t9")], "box_id string, text string").write.mode("append").parquet(f"{tmp_path}/boxes")
     live.judge_stream(boxes(), f"{tmp_path}/answers", f"{tmp_path}/two", make, "text", schema=schema).awaitTermination()
-    rows = spark.read.schema(schema).parquet(f"{tmp_path}/answers").collect()
+    rows = live.read_answers(spark, f"{tmp_path}/answers", schema).collect()
     assert sorted(r["box_id"] for r in rows) == ["b0", "b1", "b2", "b3", "b4", "b5", "b9"]
     assert {r["box_id"]: r["category"] for r in rows}["b5"] == "error"
 
 
+def test_batches_read_no_answers(spark, frame, tmp_path):
+    schema = "box_id string, category string, reason string, seconds double, answered_at bigint"
+    asked = []
+    make = lambda: lambda text: '{"category": "other", "reason": "ok"}'
+    for turn in range(3):  # every turn has one new box, one repeated inside the batch, and all older ones again
+        rows = [(f"b{i}", f"t{i}") for i in range(turn + 2)] + [(f"b{turn + 1}", "again"), (None, "nobody")]
+        frame(rows, "box_id string, text string").write.mode("append").parquet(f"{tmp_path}/boxes")
+        boxes = spark.readStream.schema("box_id string, text string").parquet(f"{tmp_path}/boxes")
+        query = live.judge_stream(boxes, f"{tmp_path}/answers", f"{tmp_path}/mark", make, "text", schema=schema)
+        query.awaitTermination()
+        sources = [s for p in query.recentProgress for s in p["sources"]]
+        assert len({s["description"] for s in sources}) == 1 and "boxes" in sources[0]["description"]
+        asked.append(live.read_answers(spark, f"{tmp_path}/answers", schema).count())
+    assert asked == [2, 3, 4]
+    again = live.read_answers(spark, f"{tmp_path}/answers", schema)
+    assert again.count() == again.select("box_id").distinct().count() == 4
+
+
+def test_a_key_passes_once_until_its_timer(monkeypatch):
+    class Cell:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def update(self, value):
+            self.value = value
+
+        def clear(self):
+            self.value = None
+
+    class Handle:
+        def __init__(self):
+            self.timers = []
+
+        def getValueState(self, name, schema):
+            return Cell()
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    class Clock:
+        def getCurrentProcessingTimeInMs(self):
+            return 1000
+
+    handle, sight = Handle(), live.FirstSight(["box_id", "text"], 500)
+    sight.init(handle)
+    rows = pd.DataFrame({"box_id": ["b", "b"], "text": ["one", "two"]})
+    ask = lambda: [r for part in sight.handleInputRows(("b",), iter([rows.head(0), rows]), Clock()) for r in part["text"]]
+    assert ask() == ["one"] and ask() == [] and handle.timers == [1500]
+    assert list(sight.handleExpiredTimer(("b",), Clock(), None)) == [] and ask() == ["one"]
+
+
 def test_live_scenes_split_exactly_at_the_gap(spark, frame, tmp_path):
     rows = [(1, 0.0), (1, 4.999), (1, 9.999), (1, 11.0), (2, 0.0)]
     at = F.timestamp_millis((F.col("s") * 1000).cast("long"))
