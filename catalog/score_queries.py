@@ -120,12 +120,12 @@ def ag14_failures(d):
 
 @query(
     "ml08_request_bodies",
-    """SELECT file, concat('{{"messages": [{{"role": "user", "content": [{{"type": "image_url", "image_url": {{"url": "data:image/jpeg;base64,',
-              base64(encode(content)), '"}}}}, {{"type": "text", "text": "Whose sign is this?"}}]}}], "temperature": 0.0, "max_tokens": 400, ',
-              '"response_format": {{"type": "json_schema", "json_schema": {{"name": "brand", "schema": {{"type": "object", "properties": ',
-              '{{"brand": {{"type": "string"}}, "basis": {{"type": "string"}}, "evidence": {{"type": "string"}}, "visible_text": {{"type": "string"}}}}, ',
-              '"required": ["brand", "basis", "evidence", "visible_text"], "additionalProperties": false}}, "strict": true}}}}, "model": "small", ',
-              '"chat_template_kwargs": {{"enable_thinking": false}}}}') AS body FROM {samples}""",
+    """SELECT file, concat('{{"model":"small","messages":[{{"role":"user","content":[{{"type":"image_url","image_url":{{"url":"data:image/jpeg;base64,',
+              base64(encode(content)), '"}}}},{{"type":"text","text":"Whose sign is this?"}}]}}],',
+              '"response_format":{{"type":"json_schema","json_schema":{{"name":"brand","schema":{{"type":"object","properties":',
+              '{{"brand":{{"type":"string"}},"basis":{{"type":"string"}},"evidence":{{"type":"string"}},"visible_text":{{"type":"string"}}}},',
+              '"required":["brand","basis","evidence","visible_text"],"additionalProperties":false}},"strict":true}}}},',
+              '"temperature":0.0,"max_tokens":400,"chat_template_kwargs":{{"enable_thinking":false}}}}') AS body FROM {samples}""",
 )
 def ml08_bodies(d):
     schema = requests.answer_schema(requests.BRAND_FIELDS)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framewright import schemas as C
+from framewright.session import pin
 
 
 @dataclass(frozen=True)
@@ -112,8 +113,8 @@ def ask_service(
     to the cluster's cores.  ``sessions`` sets their number instead.  A failed
     call becomes data and never ends the job.
     """
-    asked = rows.select(key, column)
-    asked = asked.repartition(sessions or max(1, -(-rows.count() // CALLS_PER_TASK)))
+    asked = pin(rows.select(key, column))  # counted, then asked: what gives the rows runs once
+    asked = asked.repartition(sessions or max(1, -(-asked.count() // CALLS_PER_TASK)))
     text = T.StringType()
     schema = T.StructType(
         [rows.schema[key], T.StructField("reply", text), T.StructField("failure", text), T.StructField("seconds", T.DoubleType())]
