@@ -117,7 +117,7 @@ class Encoder:
         self.older: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, parts: list[str]) -> None:
         """Ids of parts after a space.  A part holds no other space, so many go through the library as one text, and the tokens
