@@ -1,8 +1,8 @@
 """Exact deduplication in three merges, each of which compares whole contents.
 
-1. **Local**: the rows of one Arrow batch with equal contents become one entry.  However hot a text, a batch sends it once.
-2. **Salted**: entries meet by digest and salt.  Entries that already stand for several rows are spread over ``salts`` groups, so
-   a text that a third of all rows share isn't gathered by one task.
+1. **Local**: the rows of one task with equal contents become one entry, as far as ``LOCAL_BYTES`` reach.
+2. **Salted**: entries meet by digest and salt.  All are spread over ``salts`` groups by the place of their row, so a text that a third
+   of all rows share, or one that every task holds once, isn't gathered by one task.
 3. **Global**: the winners of the salts meet by digest.
 
 A merge sorts its entries by digest and compares the contents of neighbours, so a task holds one digest's different contents
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 from framewright.llm.common import BLANKS, as_bytes, stored
 
+#: Contents that a task holds before it sends them on, and what an entry takes besides its content.
+LOCAL_BYTES, ENTRY_BYTES = 32_000_000, 200
 ENTRY = "digest binary, salt int, content binary, n long, id long, place long, rows long"
 _ENTRY = pa.schema(
     [("digest", pa.binary()), ("salt", pa.int32()), ("content", pa.binary()), ("n", pa.int64()), ("id", pa.int64()),
@@ -51,25 +53,33 @@ def _lengths(column) -> list[int]:
 
 
 def _local(salts: int):
+    def entries(best: dict[bytes, list]) -> pa.RecordBatch:
+        columns = {name: [] for name in _ENTRY.names}
+        for content, (n, doc_id, place, rows) in best.items():
+            # every entry is salted: a text may be alone in each task and still be in very many of them
+            for name, value in zip(_ENTRY.names, (hashlib.sha256(content).digest(), place % salts, content, n, doc_id, place, rows)):
+                columns[name].append(value)
+        return pa.record_batch(columns, schema=_ENTRY)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[bytes, list] = {}
+        size = 0
         for batch in batches:
-            best: dict[bytes, list] = {}
             ids, places = batch["doc_id"].to_pylist(), batch["place"].to_pylist()
             for doc_id, place, n, text in zip(ids, places, _lengths(batch["text"]), as_bytes(batch["text"])):
                 content = normalised(text)
                 held = best.get(content)
                 if held is None:
                     best[content] = [n, doc_id, place, 1]
+                    size += len(content) + ENTRY_BYTES
                 else:
                     held[3] += 1
                     if _rank(n, doc_id, place) < _rank(*held[:3]):
                         held[:3] = n, doc_id, place
-            columns = {name: [] for name in _ENTRY.names}
-            for content, (n, doc_id, place, rows) in best.items():
-                salt = place % salts if rows > 1 else 0
-                for name, value in zip(_ENTRY.names, (hashlib.sha256(content).digest(), salt, content, n, doc_id, place, rows)):
-                    columns[name].append(value)
-            yield pa.record_batch(columns, schema=_ENTRY)
+            if size > LOCAL_BYTES:
+                yield entries(best)
+                best, size = {}, 0
+        yield entries(best)
 
     return run
 
