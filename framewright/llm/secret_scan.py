@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -27,7 +28,11 @@ from framewright.llm.common import as_text
 
 @dataclass(frozen=True)
 class Rule:
-    """A kind of secret.  ``hints``: lower-case strings of which a text must hold one; ``group`` must have ``least`` characters."""
+    """A kind of secret.  ``hints``: lower-case strings of which a text must hold one; ``group`` must have ``least`` characters.
+
+    With ``opens`` the pattern is what follows a run of ``run`` characters, in which the match begins at the first ``opens`` that has
+    ``least`` more of them behind it.  So a run is looked at once, however often ``opens`` is in it.
+    """
 
     kind: str
     pattern: str
@@ -35,6 +40,8 @@ class Rule:
     flags: int = 0
     group: int = 0
     least: int = 0
+    opens: str = ""
+    run: str = ""
 
 
 BASE = (
@@ -47,7 +54,7 @@ BASE = (
 )
 MORE = (
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", ("-----begin",)),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", ("eyj",)),
+    Rule("jwt", r"\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", ("eyj",), 0, 0, 8, "eyJ", string.ascii_letters + string.digits + "_-"),
     Rule("forge", r"gh[opsu]_[A-Za-z0-9]{36,}", ("gho_", "ghp_", "ghs_", "ghu_")),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}", ("xox",)),
 )
@@ -67,12 +74,30 @@ def spans(text: str, rules: tuple[Rule, ...] = RULES) -> list[tuple[int, int, in
     for number, rule in enumerate(rules):
         if rule.hints and not any(h in lower for h in rule.hints):
             continue
+        if rule.opens:
+            found += [(a, number, b) for a, b in _after_runs(rule, text)]
+            continue
         for match in re.finditer(rule.pattern, text, rule.flags):
             if len(match[rule.group]) >= rule.least:
                 found.append((match.start(), number, match.end()))
     return sorted(found)
 
 
+def _after_runs(rule: Rule, text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost matches, one after another, of a rule that opens inside a run."""
+    pattern, at, free = re.compile(rule.pattern, rule.flags), 0, 0
+    while (match := pattern.search(text, at)) is not None:
+        run = match.start()
+        while run > free and text[run - 1] in rule.run:
+            run -= 1
+        start = text.find(rule.opens, run, max(run, match.start() - rule.least))
+        if start < 0:
+            at = match.start() + 1
+        else:
+            at = free = match.end()
+            yield start, free
+
+
 def _scanner(rules: tuple[Rule, ...], version: str) -> Callable:
     span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32())])
     schema = pa.schema([("blob", pa.binary()), ("rule_version", pa.string()), ("spans", pa.list_(span))])
