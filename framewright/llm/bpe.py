@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from framewright.llm.common import as_text, spaced
 
-#: Pieces of a generation of a worker's memory, which has two.
-MEMORY = 800_000
+#: Bytes of a generation of a worker's memory of pieces and of matches, of which there are two each, with what an entry takes besides its
+#: text; and pairs of tokens that it knows.
+MEMORY, MATCH_MEMORY, ENTRY_BYTES, PAIRS = 80_000_000, 24_000_000, 200, 400_000
 _MIX, _BITS = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 
@@ -98,6 +99,7 @@ class Codec:
         self.older_matches: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         self.older_pieces: dict[str, bytes] = {}
+        self.match_bytes = self.piece_bytes = 0
 
     def _learn_pair(self, key: int) -> int:
         """Id of two neighbours as one token, -1 if there is none."""
@@ -113,7 +115,7 @@ class Codec:
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         pairs, learn = self.pairs, self._learn_pair
-        if len(pairs) > 2 * MEMORY:  # never within a merge, which checks its entries against it
+        if len(pairs) > PAIRS:  # never within a merge, which checks its entries against it
             pairs.clear()
         heap = []
         left = ids[0]
@@ -160,8 +162,9 @@ class Codec:
             data = match.encode()
             whole = self.table.find(data)
             found = np.array([whole], "<u4").tobytes() if whole >= 0 else array("I", self.merge(data)).tobytes()
-            if len(self.matches) > MEMORY // 2:
-                self.matches, self.older_matches = {}, self.matches
+            self.match_bytes += len(match) + len(found) + ENTRY_BYTES
+            if self.match_bytes > MATCH_MEMORY:
+                self.matches, self.older_matches, self.match_bytes = {}, self.matches, 0
             self.matches[match] = found
         return found
 
@@ -171,14 +174,15 @@ class Codec:
         if found is None:
             found = b"".join(map(self._match, self.pattern.findall(" " + part)))
         self.pieces[part] = found
+        self.piece_bytes += len(part) + len(found) + ENTRY_BYTES
 
     def encode(self, text: str) -> np.ndarray:
         parts = spaced(text)
         if parts is None:
             return np.frombuffer(b"".join(map(self._match, self.pattern.findall(text))), "<u4")
         rest = parts[1:]
-        if len(self.pieces) > MEMORY:
-            self.pieces, self.older_pieces = {}, self.pieces
+        if self.piece_bytes > MEMORY:
+            self.pieces, self.older_pieces, self.piece_bytes = {}, self.pieces, 0
         for part in set(rest).difference(self.pieces):
             self._learn_piece(part)
         return np.frombuffer(b"".join([*map(self._match, self.pattern.findall(parts[0])), *map(self.pieces.__getitem__, rest)]), "<u4")
