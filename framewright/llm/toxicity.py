@@ -51,15 +51,16 @@ FILLERS = ".-_*~'+^"
 LOOKALIKE_COST, FILLER_COST, DOUBLE_COST, RUN_COST = 1.0, 1.0, 4.0, 0.5
 #: Symbols of the character model: 0 for anything between words, a-z, and 32 classes of the bytes above 127.
 SYMBOLS = 59
-#: Signs that are decoded together; longer tokens go piece by piece.
-PIECE = 64
-#: Tokens a worker remembers.
-MEMORY = 400_000
+#: Bytes of a generation of a worker's memory of tokens, of which there are two, and what an entry takes besides its text.
+MEMORY, ENTRY_BYTES = 16_000_000, 150
+#: Counts that a task holds before it sends them on.
+COUNTS = 100_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _SIGNS = re.escape("".join(LOOKALIKES) + FILLERS)
-#: Any look-alike, filler or repeated sign.
-_HIDDEN = re.compile(rf"[{_SIGNS}]|(.)\1")
+#: Any look-alike, filler or repeated sign, or a sign of another kind between two letters.
+_HIDDEN = re.compile(rf"[{_SIGNS}]|(.)\1|[^\W\d_][^\w\s](?=[^\W\d_])")
+_DOUBLED, _RUN = re.compile(r"(.)\1", re.DOTALL), re.compile(r"(.)\1+", re.DOTALL)
 _SPREAD = re.compile(r"(?<!\S)(?:\S\s++){2,}\S(?!\S)")
 _EDGES = ".,;:?\"()[]{}<>#%&"
 
@@ -111,10 +112,23 @@ def _emissions(letter: str) -> tuple[int, ...]:
 
 
 def restore(token: str, model: np.ndarray) -> str:
-    """Likeliest letters behind a token."""
-    paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    run = 0
-    for i, sign in enumerate(token):
+    """Likeliest letters behind a token.
+
+    Only what lies between the first sign that can be read in several ways and the last one is decoded; letters before it are the same on all
+    paths, and once the paths have met again behind it, so are those that follow.
+    """
+    loose = [i for i, sign in enumerate(token) if not sign.isalpha() or sign in LOOKALIKES or (i and token[i - 1] == sign)]
+    if not loose:
+        return token
+    known = [0, 0, *_emissions(token[: loose[0]])]
+    # a path is its score and a chain of (chain before, letter)
+    paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(known[-2], known[-1]): (0.0, None)}
+    run, rest = 1, ""
+    for i in range(loose[0], len(token)):
+        if i > loose[-1] and len(paths) == 1:
+            rest = token[i:]
+            break
+        sign = token[i]
         run = run + 1 if i and token[i - 1] == sign else 1
         long_run = run > 2 or (run == 2 and token[i + 1 : i + 2] == sign)
         choices: list[tuple[str, float]] = []
@@ -126,8 +140,8 @@ def restore(token: str, model: np.ndarray) -> str:
             choices.append(("", FILLER_COST))
         if run > 1 and sign not in FILLERS:
             choices.append(("", RUN_COST if long_run else DOUBLE_COST))
-        following: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, text) in paths.items():
+        following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (score, chain) in paths.items():
             for letter, cost in choices:
                 x, y, total = a, b, score - cost
                 for symbol in _emissions(letter):
@@ -135,9 +149,14 @@ def restore(token: str, model: np.ndarray) -> str:
                     x, y = y, symbol
                 held = following.get((x, y))
                 if held is None or total > held[0]:
-                    following[x, y] = total, text + letter
+                    following[x, y] = total, (chain, letter) if letter else chain
         paths = following
-    return max((score + model[a, b, 0], text) for (a, b), (score, text) in paths.items())[1]
+    chain = max(((score + model[a, b, 0], chain) for (a, b), (score, chain) in paths.items()), key=lambda x: x[0])[1]
+    letters = []
+    while chain is not None:
+        chain, letter = chain
+        letters.append(letter)
+    return token[: loose[0]] + "".join(reversed(letters)) + rest
 
 
 def likely(word: str, model: np.ndarray) -> bool:
@@ -153,7 +172,7 @@ def token_words(token: str, model: np.ndarray) -> list[str]:
     sign = token.strip(_EDGES)
     # "!" ends sentences and hides letters: both readings count
     for shown in {sign, sign.rstrip("!")} if _HIDDEN.search(sign) else ():
-        restored = [w for at in range(0, len(shown), PIECE) for w in _LETTERS.findall(restore(shown[at : at + PIECE], model))]
+        restored = _LETTERS.findall(restore(shown, model))
         found += restored if _LETTERS.search(token) else [w for w in restored if likely(w, model)]
     return [w for w in found if len(w) > 2]
 
@@ -161,11 +180,13 @@ def token_words(token: str, model: np.ndarray) -> list[str]:
 def tokens_of(text: str) -> set[str]:
     """Different lower-case tokens; letters that stand alone in a row also as one token."""
     text = text.lower()
-    found = set(text.split())
-    for row in _SPREAD.findall(text):
+    tokens = text.split()
+    found = set(tokens)
+    lone = list(map(len, tokens)).count(1) > 2  # only then letters can stand alone in a row
+    for row in _SPREAD.findall(text) if lone else ():
         joined = "".join(row.split())
         if len(set(joined)) > 2:
-            found.update(joined[i : i + PIECE] for i in range(0, len(joined), PIECE))
+            found.add(joined)
     return found
 
 
@@ -180,6 +201,25 @@ def neighbours(text: str) -> set[tuple[str, int]]:
     return found | {(t, 0) for t in tokens_of(text)}
 
 
+class Recent:
+    """What a worker found out about tokens: two generations, each bounded by bytes; what is still used moves to the younger one."""
+
+    def __init__(self, find: Callable) -> None:
+        self.find, self.young, self.old, self.size = find, {}, {}, 0
+
+    def __call__(self, token: str):
+        found = self.young.get(token)
+        if found is None:
+            found = self.old.get(token)
+            if found is None:
+                found = self.find(token)
+            if self.size > MEMORY:
+                self.young, self.old, self.size = {}, self.young, 0
+            self.young[token] = found
+            self.size += len(token) + ENTRY_BYTES + (sum(map(len, found)) + 60 * len(found) if isinstance(found, list) else 0)
+        return found
+
+
 def _counter(model: np.ndarray) -> Callable:
     """Texts per feature (neighbour -1), toxic ones also by the token before the word.  Feature ``''`` counts texts."""
     schema = pa.schema([("feature", pa.string()), ("neighbour", pa.int32()), ("toxic", pa.int64()), ("clean", pa.int64())])
@@ -192,16 +232,7 @@ def _counter(model: np.ndarray) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = {True: Counter(), False: Counter()}
-        memory: dict[str, list[str]] = {}
-
-        def named(token: str) -> list[str]:
-            found = memory.get(token)
-            if found is None:
-                if len(memory) > MEMORY:
-                    memory.clear()
-                found = memory[token] = [f for w in token_words(token, model) for f in features(w)]
-            return found
-
+        named = Recent(lambda token: [f for w in token_words(token, model) for f in features(w)])
         for batch in batches:
             for text, toxic in zip(as_text(batch["text"]), batch["toxic"].to_pylist()):
                 if toxic:
@@ -211,7 +242,7 @@ def _counter(model: np.ndarray) -> Callable:
                     own = {(f, -1) for t in tokens_of(text) for f in named(t)} | {("", -1)}
                 held[bool(toxic)].update(own)
                 for kind, counter in held.items():
-                    if len(counter) > MEMORY:
+                    if len(counter) > COUNTS:
                         yield flush(counter, kind)
                         counter.clear()
         for kind, counter in held.items():
@@ -249,19 +280,40 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, *, sample: int
     return prior, dict(zip(best["feature"].to_pylist(), best["weight"].to_pylist()))
 
 
-def evidence(text: str, weights: dict[str, float], model: np.ndarray, memory: dict[str, float]) -> float:
+def _squeezed(word: str) -> str:
+    """The word with every run of a sign as one sign."""
+    return _RUN.sub(r"\1", word) if _DOUBLED.search(word) else word
+
+
+def weigher(weights: dict[str, float], model: np.ndarray) -> Callable[[str], float]:
+    """Weight of a token: that of its strongest feature.
+
+    Decoding drops repeats from a token of letters and nothing else, so its words and their beginnings, squeezed, begin as the squeezed token
+    does.  Where no weighed feature begins like that the weight is 0, and nothing needs decoding.
+    """
+    squeezed = {_squeezed(feature.rstrip("+")) for feature in weights}
+    openings = {s[:3] for s in squeezed}  # whole where a feature has fewer signs
+    first = {s[:1] for s in squeezed}
+    slow = Recent(lambda token: max((weights.get(f, 0.0) for w in token_words(token, model) for f in features(w)), default=0.0))
+
+    def weigh(token: str) -> float:
+        sign = token.strip(_EDGES)
+        if sign.isalpha():
+            if sign[0] not in first:
+                return 0.0
+            start = _squeezed(sign)[:3]
+            if start not in openings and start[:2] not in openings and start[:1] not in openings:
+                return 0.0
+        return slow(token)
+
+    return weigh
+
+
+def evidence(text: str, weight_of: Callable[[str], float]) -> float:
     """The strongest words of a text: the first counts fully, the second half, the third a third and so on.  Long texts hold
     more words that are there by chance, so they need more."""
-    found, tokens = [], tokens_of(text)
-    for token in tokens:
-        weight = memory.get(token)
-        if weight is None:
-            weight = max((weights.get(f, 0.0) for w in token_words(token, model) for f in features(w)), default=0.0)
-            if len(memory) > MEMORY:
-                memory.clear()
-            memory[token] = weight
-        if weight:
-            found.append(weight)
+    tokens = tokens_of(text)
+    found = [weight for weight in map(weight_of, tokens) if weight]
     found.sort(reverse=True)
     return sum(w / i for i, w in enumerate(found[:STRONGEST], 1)) - LENGTH_COST * max(0.0, math.log(max(1, len(tokens)) / TYPICAL))
 
@@ -271,9 +323,9 @@ def _scorer(shared) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prior, weights, model = shared.value
-        memory: dict[str, float] = {}
+        weight_of = weigher(weights, model)
         for batch in batches:
-            scores = [1 / (1 + math.exp(-prior - evidence(t, weights, model, memory))) for t in as_text(batch["text"])]
+            scores = [1 / (1 + math.exp(-prior - evidence(t, weight_of))) for t in as_text(batch["text"])]
             yield pa.record_batch([batch["doc_id"], batch["place"], pa.array(scores, pa.float64())], schema=schema)
 
     return run
@@ -281,15 +333,21 @@ def _scorer(shared) -> Callable:
 
 def scores(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD, sample: int = SAMPLE, keep: int = FEATURES) -> DataFrame:
     """One row per document: ``doc_id, place, held_out, score, predicted``; ``place`` is the row's number in the scan."""
+    return _scores(docs.withColumn("_place", F.monotonically_increasing_id()), labels, threshold, sample, keep)
+
+
+def _scores(docs: DataFrame, labels: DataFrame, threshold: float, sample: int = SAMPLE, keep: int = FEATURES) -> DataFrame:
     model = character_model(docs)
     prior, weights = learn(docs, labels, model, sample=sample, keep=keep)
     shared = docs.sparkSession.sparkContext.broadcast((prior, weights, model))
-    placed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("place"), "text")
+    placed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_place").alias("place"), "text")
     found = placed.mapInArrow(_scorer(shared), "doc_id long, place long, score double")
     return found.select("doc_id", "place", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     """Documents that the scorer doesn't reject, with all their columns."""
-    places = scores(docs, labels, threshold=threshold).filter("predicted = 1").select(F.col("place").alias("_place"))
-    return docs.withColumn("_place", F.monotonically_increasing_id()).join(places, "_place", "left_anti").drop("_place")
+    # rows are numbered once and written: another scan may cut the files otherwise
+    numbered = stored(docs.withColumn("_place", F.monotonically_increasing_id()), "toxicity-placed")
+    places = _scores(numbered, labels, threshold).filter("predicted = 1").select(F.col("place").alias("_place"))
+    return numbered.join(places, "_place", "left_anti").drop("_place")
