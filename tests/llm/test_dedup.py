@@ -41,6 +41,17 @@ def test_exact_groups_match_brute_force(spark, docs, corpus, rows_of):
         assert rows_of(exact_rows(exact.exact_groups(docs.coalesce(1), salts=salts))) == rows_of(expected)
 
 
+def test_a_text_that_every_task_holds_once_is_salted(spark, docs):
+    table = spark.createDataFrame([(1, "same text")], "doc_id long, text string").toArrow()
+    salts = set()
+    for task in range(40):
+        placed = table.append_column("place", [[(task << 33) + task]]).combine_chunks()
+        entries = [e for b in exact._local(8)(iter(placed.to_batches())) for e in b.to_pylist()]
+        assert len(entries) == 1
+        salts.add(entries[0]["salt"])
+    assert salts == set(range(8))
+
+
 def test_contents_are_compared_when_digests_collide(spark, docs, corpus, rows_of, monkeypatch):
     class Weak:
         def __init__(self, data):

@@ -2,6 +2,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -373,3 +374,75 @@ def test_restoring_letters():
             counts[a, b, c] += 50
     model = toxicity.trigram_model(counts)
     assert [toxicity.restore(t, model) for t in ("1d10t", "m.o.r.o.n", "looooser", "foot", "|d|0+")] == ["idiot", "moron", "loser", "foot", "idiot"]
+
+
+def test_decoding_equals_all_readings():
+    rng = np.random.default_rng(5)
+    model = np.log(rng.dirichlet(np.ones(toxicity.SYMBOLS) * 0.2, (toxicity.SYMBOLS, toxicity.SYMBOLS)) + 1e-9)
+
+    def readings(token):
+        """Every text that a token may stand for, with the cost of reading it so."""
+        found, run = [("", 0.0)], 0
+        for i, sign in enumerate(token):
+            run = run + 1 if i and token[i - 1] == sign else 1
+            long_run = run > 2 or (run == 2 and token[i + 1 : i + 2] == sign)
+            choices = [(c, toxicity.LOOKALIKE_COST) for c in toxicity.LOOKALIKES.get(sign, "")] or ([(sign, 0.0)] if sign.isalpha() else [])
+            if sign in toxicity.FILLERS or not choices:
+                choices.append(("", toxicity.FILLER_COST))
+            if run > 1 and sign not in toxicity.FILLERS:
+                choices.append(("", toxicity.RUN_COST if long_run else toxicity.DOUBLE_COST))
+            found = [(text + letter, cost + more) for text, cost in found for letter, more in choices]
+        return found
+
+    def score(text, cost):
+        s = [0, 0, *[int(toxicity._SYMBOL[b]) for b in text.encode()], 0]
+        return sum(model[a, b, c] for a, b, c in zip(s, s[1:], s[2:])) - cost
+
+    signs = "abil01$.-5é!"
+    for _ in range(400):
+        token = "".join(rng.choice(list(signs), rng.integers(1, 7)))
+        best = max(score(*r) for r in readings(token))
+        said = toxicity.restore(token, model)
+        assert max(score(text, cost) for text, cost in readings(token) if text == said) == pytest.approx(best)
+
+
+def test_weights_without_decoding_equal_weights_with_it():
+    rng = np.random.default_rng(6)
+    model = np.log(rng.dirichlet(np.ones(toxicity.SYMBOLS), (toxicity.SYMBOLS, toxicity.SYMBOLS)))
+    weights = {"loser": 2.0, "idio+": 3.0, "aab": 1.0, "ooze": 1.5, "bb": 1.0}
+    weigh = toxicity.weigher(weights, model)
+    pieces = ["lo", "ser", "looser", "idio", "ts", "aa", "b", "ooze", "1d1ot", ".", "s", "x", "loser"]
+    for _ in range(2000):
+        token = "".join(rng.choice(pieces, rng.integers(1, 4)))
+        every = [weights.get(f, 0.0) for w in toxicity.token_words(token, model) for f in toxicity.features(w)]
+        assert weigh(token) == max(every, default=0.0)
+
+
+def test_words_hidden_far_inside_long_tokens():
+    counts = np.zeros((toxicity.SYMBOLS,) * 3)
+    for word in ("idiot", "axe"):
+        s = [0, 0, *[int(toxicity._SYMBOL[ord(c)]) for c in word], 0]
+        for a, b, c in zip(s, s[1:], s[2:]):
+            counts[a, b, c] += 50
+    model = toxicity.trigram_model(counts)
+    assert "idiot" in toxicity.token_words("x_" * 0 + "i,d,i,o,t", model)
+    assert any(t.endswith("idiot") and len(t) == 66 for t in toxicity.tokens_of(" ".join("abcdefghij" * 6 + "a" + "idiot")))
+    assert toxicity.restore("a" + "b" * 2000 + "1d10t", model).endswith("idiot")
+
+
+def test_secret_rules_take_linear_time():
+    for piece in ("eyJ", "AKIA", "token", "0123456789abcdef0123456", "gho_", "xoxb-", "-----BEGIN A ", "eyJ.", "eyJaaaaaaaa."):
+        started = time.perf_counter()
+        secret_scan.spans(piece * (2_000_000 // len(piece)))
+        assert time.perf_counter() - started < 5, piece
+
+
+def test_runs_are_matched_as_by_one_pattern():
+    rng = random.Random(7)
+    plain = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+    number = next(i for i, r in enumerate(secret_scan.RULES) if r.kind == "jwt")
+    pieces = ["eyJ", "eyJabcdefgh", "abcdefgh", ".", ".", "..", " ", "x", "eyJabcdefgh.eyJabcdefgh.abcdefgh", "é"]
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 14)))
+        found = [(a, b) for a, n, b in secret_scan.spans(text) if n == number]
+        assert found == [m.span() for m in plain.finditer(text)], text
