@@ -52,15 +52,20 @@ def crop_name(file: Column, index: Column) -> Column:
     return F.concat(stem(file), F.lit("__"), index.cast("string"), F.lit(".jpg"))
 
 
-def iou(a: dict[str, Column], b: dict[str, Column]) -> Column:
-    """Intersection over union of two centre/size boxes; 0 when the union is empty."""
+def intersection(a: dict[str, Column], b: dict[str, Column]) -> Column:
+    """Area that two centre/size boxes share."""
 
     def overlap(centre: str, size: str) -> Column:
         low = F.greatest(a[centre] - a[size] / 2, b[centre] - b[size] / 2)
         high = F.least(a[centre] + a[size] / 2, b[centre] + b[size] / 2)
         return F.greatest(F.lit(0.0), high - low)
 
-    inter = overlap("cx", "w") * overlap("cy", "h")
+    return overlap("cx", "w") * overlap("cy", "h")
+
+
+def iou(a: dict[str, Column], b: dict[str, Column]) -> Column:
+    """Intersection over union of two centre/size boxes; 0 when the union is empty."""
+    inter = intersection(a, b)
     union = a["w"] * a["h"] + b["w"] * b["h"] - inter
     return F.when(union != 0.0, inter / union).otherwise(F.lit(0.0))
 

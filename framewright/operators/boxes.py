@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from framewright.functions.geometry import clamped_shares, crop_name, iou, shares
+from framewright.functions.geometry import clamped_shares, crop_name, intersection, iou, shares
 from framewright.operators.greedy import beaten
 from framewright.operators.ranking import ordered_rank
 from framewright.session import pin
@@ -20,9 +20,11 @@ CONFIDENCE_BANDS = 4096
 IOU_STEPS = tuple(round(0.5 + 0.05 * k, 2) for k in range(10))
 
 
-def overlap_pairs(left: DataFrame, right: DataFrame, *, iou_min: float, keep: Sequence[str] = ()) -> DataFrame:
+def overlap_pairs(left: DataFrame, right: DataFrame, *, iou_min: float, keep: Sequence[str] = (), by_area: bool = False) -> DataFrame:
     """Pairs of boxes of one file with IoU of at least ``iou_min``: ``left_id, right_id, file, iou``, and the left sides in ``keep``.
 
+    ``by_area`` compares areas instead of their rounded quotient: shared * (1 + ``iou_min``) with ``iou_min`` * (both).
+
     Boxes that overlap so much have widths within a factor ``1/iou_min`` and
     centres closer than ``(1 - iou_min)`` of the larger width.  So every right
     box sits in one band (width class, cell), and a left box looks into the
@@ -51,14 +53,18 @@ def overlap_pairs(left: DataFrame, right: DataFrame, *, iou_min: float, keep: Se
     # one side grew about fivefold, which size estimates do not see: it must not be broadcast
     a, b = probes.alias("a").hint("merge"), home.alias("b")
     same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("file", "_class", "_cell")]
-    measure = iou({s: F.col(f"a.{s}") for s in SIDES}, {s: F.col(f"b.{s}") for s in SIDES})
+    mine, other = ({s: F.col(f"{side}.{s}") for s in SIDES} for side in "ab")
+    measure, enough = iou(mine, other), F.col("iou") >= iou_min
+    if by_area:
+        enough = intersection(mine, other) * (1.0 + iou_min) >= F.lit(iou_min) * (mine["w"] * mine["h"] + other["w"] * other["h"])
+    met = a.join(b, same)
     return (
-        a.join(b, same)
+        (met.filter(enough) if by_area else met)
         .select(
             F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"), F.col("a.file").alias("file"),
             measure.alias("iou"), *[F.col(f"a.{c}").alias(c) for c in keep],
         )
-        .filter(F.col("iou") >= iou_min)
+        .filter(F.lit(True) if by_area else enough)
     )
 
 
@@ -73,9 +79,9 @@ def merge_scans(base: DataFrame, extra: DataFrame, *, iou_min: float = 0.6) -> D
     # exact twins share all conflicts and conflict with each other: only the first can win, and each place of the first scan counts once
     first = pin(extra.filter(solid).groupBy("file", *SIDES).agg(F.min("id").alias("id")))
     places = base.groupBy("file", *SIDES).agg(F.min("id").alias("id"))
-    taken = overlap_pairs(first, places, iou_min=iou_min).select(F.col("left_id").alias("id")).distinct()
+    taken = overlap_pairs(first, places, iou_min=iou_min, by_area=True).select(F.col("left_id").alias("id")).distinct()
     fresh = pin(first.join(taken, "id", "left_anti"))
-    pairs = overlap_pairs(fresh, fresh, iou_min=iou_min).filter(F.col("left_id") < F.col("right_id"))
+    pairs = overlap_pairs(fresh, fresh, iou_min=iou_min, by_area=True).filter(F.col("left_id") < F.col("right_id"))
     lost = beaten(pairs.select(F.col("left_id").alias("earlier"), F.col("right_id").alias("later")))
     winners = fresh.select("id").unionByName(extra.filter(~solid).select("id"))
     if lost is not None:

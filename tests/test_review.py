@@ -144,6 +144,15 @@ def test_conflicts_in_small_blocks_equal_the_loop(frame):
             assert sorted(r["id"] for r in greedy.beaten(df, block=block).collect()) == sorted(f"b{i:04d}" for i in lost)
 
 
+def test_merge_compares_areas_at_the_threshold(frame):
+    def box(name, p, s, q):  # as the scans of the catalog have them
+        return name, "a.jpg", 0.15 + p % 71 / 101, 0.2 + s % 59 / 103, 0.05 + q / 180, 0.07 + p % 13 / 47, 0.9
+
+    for p, s, wide, slim, enough in [(0, 0, 11, 3, True), (461, 57, 36, 18, True)]:
+        got = boxes.merge_scans(frame([box("f", p, s, wide)], SCAN), frame([box("o", p, s, slim)], SCAN)).collect()
+        assert len(got) == (0 if enough else 1)
+
+
 def test_merged_scan_continues_numbers_and_indexes(frame):
     base = frame([(1, "a.jpg", 0, 0.5, 0.5, 0.2, 0.2, 0.9), (2, "b.jpg", 3, 0.5, 0.5, 0.2, 0.2, 0.9)], "number int, file string, index int, cx double, cy double, w double, h double, confidence double")
     extra = frame([("s1", "a.jpg", 0.505, 0.5, 0.2, 0.2, 0.8), ("s2", "c.jpg", 0.1, 0.1, 0.1, 0.1, 0.7), ("s3", "b.jpg", 0.1, 0.1, 0.1, 0.1, 0.6), ("s4", "c.jpg", 0.8, 0.8, 0.1, 0.1, 0.5)], SCAN)
