@@ -25,8 +25,9 @@ OPEN, KEPT, LOST = 0, 1, 2
 
 
 def _blocks(df: DataFrame, rows: int, block: int, *order: str) -> DataFrame:
+    """Blocks of the order, cut between values of its first column: rows that share one are judged together, as they stream by."""
     parts = -(-rows // block)
-    cut = df.repartitionByRange(parts, *order) if parts > 1 else df.coalesce(1)
+    cut = df.repartitionByRange(parts, order[0]) if parts > 1 else df.coalesce(1)
     return cut.sortWithinPartitions(*order)
 
 

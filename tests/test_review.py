@@ -144,6 +144,14 @@ def test_conflicts_in_small_blocks_equal_the_loop(frame):
             assert sorted(r["id"] for r in greedy.beaten(df, block=block).collect()) == sorted(f"b{i:04d}" for i in lost)
 
 
+def test_conflicts_of_one_row_are_not_cut_in_two(frame):
+    # b loses to a, x to c alone, so y stays; a block that ends between (b, x) and (c, x) must not take x for a winner
+    links = [(f"{i:03d}{a}", f"{i:03d}{b}") for i in range(60) for a, b in ("ab", "bx", "cx", "xy")]
+    df = frame(links, "earlier string, later string")
+    for block in (5, 7):
+        assert sorted(r["id"] for r in greedy.beaten(df, block=block).collect()) == sorted(f"{i:03d}{k}" for i in range(60) for k in "bx")
+
+
 def test_merge_compares_areas_at_the_threshold(frame):
     def box(name, p, s, q):  # as the scans of the catalog have them
         return name, "a.jpg", 0.15 + p % 71 / 101, 0.2 + s % 59 / 103, 0.05 + q / 180, 0.07 + p % 13 / 47, 0.9
