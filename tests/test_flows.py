@@ -337,3 +337,18 @@ def test_every_query_is_registered_with_a_callable(spark):
     queries, checks = entry.queries(), entry.oracle_sql()
     assert set(checks) <= set(queries) and len(queries) > 120
     assert entry.entry(spark).count() > 0
+
+
+def test_streams_read_tables_of_one_file_and_of_many(spark, tmp_path):
+    from catalog.flow_queries import stream
+    from catalog.registry import Data
+
+    (tmp_path / "many").mkdir()
+    spark.range(40).repartition(3).write.parquet(str(tmp_path / "many" / "events.parquet"))
+    (tmp_path / "one").mkdir()
+    spark.range(40).toPandas().to_parquet(tmp_path / "one" / "events.parquet")
+    spark.range(5).toPandas().to_parquet(tmp_path / "one" / "orders.parquet")
+    for layout in ("one", "many"):
+        query = stream(Data(spark, str(tmp_path / layout)), "events").writeStream.format("memory").queryName(layout).trigger(availableNow=True).start()
+        query.awaitTermination()
+        assert spark.table(layout).count() == 40
