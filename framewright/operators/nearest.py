@@ -19,6 +19,8 @@ PIVOT_BYTES = 8_000_000
 ROWS_PER_TASK = 50_000
 #: Vectors of a batch that are placed at once.
 PLACED_AT_ONCE = 512
+#: Where pivots prune nothing, slices of the rows meet: bytes of one in double precision, and how many there are at least for the cores' sake.
+SLICE_BYTES, LEAST_SLICES = 32_000_000, 12
 
 
 def _unit(vectors) -> np.ndarray:
@@ -126,6 +128,68 @@ def _placed(vectors: DataFrame, tree: PivotTree, threshold: float) -> DataFrame:
     return pin(vectors.mapInPandas(place, schema))
 
 
+def _slices(tree: PivotTree, rows: int, block: int) -> int:
+    """How many slices of the rows to compare with each other, 0 where cells of pivots send fewer copies of a vector.
+
+    Judged by the cells that the pivots themselves, a random set, would be sent to.
+    """
+    sample = _unit(tree.vectors[:: max(1, len(tree.vectors) // PLACED_AT_ONCE)])
+    visits = sum(len(row) for row, *_ in tree.place(sample)) / len(sample)
+    slices = max(-(-rows * tree.vectors.shape[1] * 8 // SLICE_BYTES), min(LEAST_SLICES, -(-rows // block)), 1)
+    return slices if slices <= visits * (1.0 + rows / (len(tree.vectors) * block)) else 0
+
+
+def _compare_slices(vectors: DataFrame, slices: int, threshold: float, block: int, *, forest: bool) -> DataFrame:
+    """All pairs, every two slices in one task, a tile of ``block`` × ``block`` at a time; each vector goes to ``slices`` tasks."""
+    kind = vectors.schema["id"].dataType
+    out = T.StructType([T.StructField("id_a", kind), T.StructField("id_b", kind), T.StructField("cosine", T.DoubleType())])
+    own = F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int").alias("own")
+    dealt = vectors.select("id", "vector", own, F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("_k"))
+    dealt = dealt.select("id", "vector", "own", F.least("own", "_k").alias("i"), F.greatest("own", "_k").alias("j"))
+
+    def compare(both: pd.DataFrame) -> pd.DataFrame:
+        found = [pd.DataFrame({"id_a": [], "id_b": [], "cosine": []})]
+        left, right = both[both["own"] == both["i"]], both[both["own"] == both["j"]]
+        if left.empty or right.empty:
+            return found[0]
+        (a, u), (b, v) = ((side["id"].to_numpy(), _unit(side["vector"])) for side in (left, right))
+        same = both["i"].iloc[0] == both["j"].iloc[0]
+        for x in range(0, len(a), block):
+            for y in range(x if same else 0, len(b), block):
+                one, two = a[x : x + block], b[y : y + block]
+                cosine = u[x : x + block] @ v[y : y + block].T
+                hit = cosine >= threshold
+                hit &= one[:, None] < two[None, :] if same and x == y else one[:, None] != two[None, :]
+                if forest:
+                    found.append(_forest(one, two, hit))
+                else:
+                    i, j = np.nonzero(hit)
+                    found.append(pd.DataFrame({"id_a": np.minimum(one[i], two[j]), "id_b": np.maximum(one[i], two[j]), "cosine": cosine[i, j]}))
+        pairs = pd.concat([f for f in found if len(f)] or found[:1], ignore_index=True)
+        return _joined(pairs) if forest and len(pairs) else pairs
+
+    return dealt.groupBy("i", "j").applyInPandas(compare, out)
+
+
+def _joined(links: pd.DataFrame) -> pd.DataFrame:
+    """Links that connect what the links connect, one per id."""
+    ids, ends = np.unique(np.concatenate([links["id_a"], links["id_b"]]), return_inverse=True)
+    one, two = ends[: len(links)], ends[len(links) :]
+    root = np.arange(len(ids))
+    while True:
+        low = np.minimum(root[one], root[two])
+        lower = root.copy()
+        for end in (one, two):
+            np.minimum.at(lower, end, low)
+            np.minimum.at(lower, root[end], low)
+        lower = lower[lower]
+        if (lower == root).all():
+            break
+        root = lower
+    away = root != np.arange(len(ids))
+    return pd.DataFrame({"id_a": ids[away], "id_b": ids[root[away]], "cosine": np.nan})
+
+
 def _address(family: int, side: str, own: Column):
     """Where one copy of a row goes: its own chunk on its side, chunk ``k`` on the other."""
 
@@ -205,7 +269,9 @@ def similar_pairs(vectors: DataFrame, *, threshold: float = 0.97, block: int = 2
     """All pairs ``id_a < id_b`` of vectors (``id, vector``) with cosine of at least ``threshold``; exact."""
     rows = vectors.count()
     spread = _spread(vectors.select("id", "vector"), rows)
-    _, tree = _pivots(spread, rows, threshold, seed)
+    names, tree = _pivots(spread, rows, threshold, seed)
+    if names and (slices := _slices(tree, rows, block)):
+        return _compare_slices(spread, slices, threshold, block, forest=False)
     placed = _placed(spread, tree, threshold)
     return _compare(_blocks(placed, (("home_far", "any"), ("home_near", "any")), block), threshold, forest=False)
 
@@ -223,13 +289,16 @@ def duplicate_groups(vectors: DataFrame, *, threshold: float = 0.97, block: int
     rows = vectors.count()
     distinct = _spread(firsts.select("id", "vector"), rows)
     names, tree = _pivots(distinct, rows, threshold, seed)
+    same = copies.select(F.col("id").alias("u"), F.col("first").alias("v"))
+    if names and (slices := _slices(tree, rows, block)):
+        links = _compare_slices(distinct, slices, threshold, block, forest=True).select(F.col("id_a").alias("u"), F.col("id_b").alias("v"))
+        return components(vectors.select("id"), links.unionByName(same))
     placed = _placed(distinct, tree, threshold)
     schema = T.StructType([T.StructField("cell", T.IntegerType()), T.StructField("v", vectors.schema["id"].dataType)])
     pivots = vectors.sparkSession.createDataFrame(list(enumerate(names)), schema)
     stars = placed.filter("near").join(pivots, "cell").select(F.col("id").alias("u"), "v")
     blocks = _blocks(placed, (("home_far", "any"), ("home_near", "far")), block)
     links = _compare(blocks, threshold, forest=True).select(F.col("id_a").alias("u"), F.col("id_b").alias("v"))
-    same = copies.select(F.col("id").alias("u"), F.col("first").alias("v"))
     return components(vectors.select("id"), links.unionByName(stars).unionByName(same))
 
 

@@ -61,6 +61,26 @@ def test_near_copies_group_and_strangers_stay_alone(frame):
     assert tuple(nearest.group_totals(groups).first()) == (4, 3, 1, 1)
 
 
+def test_vectors_without_structure_meet_in_few_slices(frame, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = [(f"v{i:03d}", v.tolist()) for i, v in enumerate(rng.normal(size=(400, 24)).astype(np.float32))]
+    df, want = frame(rows, "id string, vector array<float>"), {(rows[i][0], rows[j][0]) for i, j in _pairs(rows, 0.4)}
+    monkeypatch.setattr(nearest, "_placed", None)  # no pivot prunes anything here: a copy for every cell would be sent
+    got = [(r["id_a"], r["id_b"]) for r in nearest.similar_pairs(df, threshold=0.4, block=40).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    names = _groups(len(rows), _pairs(rows, 0.4))
+    groups = {r["id"]: r["group"] for r in nearest.duplicate_groups(df, threshold=0.4, block=40).collect()}
+    assert groups == {rows[i][0]: rows[g][0] for i, g in names.items()}
+
+
+def test_slices_are_few_and_cells_are_kept_where_they_prune():
+    rng = np.random.default_rng(4)
+    stranger = nearest.PivotTree(rng.normal(size=(700, 64)).astype(np.float32), math.sqrt(1.2))
+    assert [nearest._slices(stranger, n, 2048) for n in (2_000, 50_000, 490_000)] == [1, 12, 12]
+    crowds = rng.normal(size=(700, 64)).astype(np.float32)
+    assert nearest._slices(nearest.PivotTree(crowds, math.sqrt(2 - 2 * 0.97)), 490_000, 2048) == 0
+
+
 def test_few_copies_of_each_vector_are_placed(frame):
     rng = np.random.default_rng(0)
     centres = rng.normal(size=(40, 64))
