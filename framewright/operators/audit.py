@@ -27,21 +27,24 @@ KINDS = (
     "same_photo_in_two_splits",
 )
 LINE_END = r"\r?\n"
+#: Rows that one task makes of one much repeated finding.
+REPEATS = 100_000
 
 
-def parsed_lines(labels: DataFrame) -> DataFrame:
+def parsed_lines(labels: DataFrame, *, carry: Sequence[str] = ()) -> DataFrame:
     """Lines of label texts: number, tokens, and the class and shares that could be read.
 
-    ``labels`` has ``source`` and ``text``; blank lines are left out but counted.
+    ``labels`` has ``source``, ``text`` and what ``carry`` names; blank lines are left out but counted.
     """
-    lines = labels.select("source", F.posexplode(F.split("text", LINE_END)).alias("_pos", "line"))
+    lines = labels.select("source", *carry, F.posexplode(F.split("text", LINE_END)).alias("_pos", "line"))
     tokens = F.split(F.btrim("line", F.lit(" \t\r\f")), r"\s+")
-    lines = lines.select("source", (F.col("_pos") + 1).alias("line_no"), "line", tokens.alias("_t"))
+    lines = lines.select("source", *carry, (F.col("_pos") + 1).alias("line_no"), "line", tokens.alias("_t"))
     lines = lines.filter(F.col("line").rlike(r"\S")).withColumn("tokens", F.size("_t"))
     value = lambda k: F.try_element_at("_t", F.lit(k)).try_cast("double")
     names = ("cx", "cy", "w", "h")
     return lines.select(
         "source",
+        *carry,
         "line_no",
         "tokens",
         F.try_element_at("_t", F.lit(1)).try_cast("int").alias("class_id"),
@@ -57,9 +60,9 @@ def read_boxes(labels: DataFrame) -> DataFrame:
     return parsed_lines(labels).filter(good).select("source", "line_no", "class_id", "cx", "cy", "w", "h")
 
 
-def line_findings(labels: DataFrame) -> DataFrame:
+def line_findings(labels: DataFrame, *, carry: Sequence[str] = ()) -> DataFrame:
     """Findings about single lines; one line may raise several."""
-    lines = parsed_lines(labels)
+    lines = parsed_lines(labels, carry=carry)
     shares = [F.col(c) for c in ("cx", "cy", "w", "h")]
     readable = (F.col("tokens") == 5) & F.col("class_id").isNotNull()
     for share in shares:
@@ -77,7 +80,7 @@ def line_findings(labels: DataFrame) -> DataFrame:
         F.when(readable & outside, F.struct(F.lit("out_of_range").alias("kind"), place.alias("item"))),
         F.when(readable & flat, F.struct(F.lit("degenerate").alias("kind"), place.alias("item"))),
     )
-    return lines.select(F.inline(F.array_compact(found)))
+    return lines.select(*carry, F.inline(F.array_compact(found)))
 
 
 def names_in_two_splits(images: DataFrame) -> DataFrame:
@@ -119,10 +122,21 @@ def unpaired(images: DataFrame, labels: DataFrame) -> DataFrame:
     """Images without label and labels without image, by part and stem."""
     left = images.select("split", stem(F.col("name")).alias("stem"), F.col("name").alias("image_name"))
     right = labels.select("split", stem(F.col("name")).alias("stem"), F.col("name").alias("label_name"))
-    both = left.join(right, ["split", "stem"], "full_outer")
-    kind = F.when(F.col("label_name").isNull(), "missing_label").when(F.col("image_name").isNull(), "missing_image")
-    name = F.coalesce("image_name", "label_name")
-    return both.select(kind.alias("kind"), F.concat("split", F.lit("/"), name).alias("item")).filter("kind IS NOT NULL")
+    alone = []
+    for own, other, kind, name in ((left, right, "missing_label", "image_name"), (right, left, "missing_image", "label_name")):
+        # names that many rows share are never paired with each other
+        lonely = own.join(other.select("split", "stem").distinct(), ["split", "stem"], "left_anti")
+        alone.append(lonely.select(F.lit(kind).alias("kind"), F.concat("split", F.lit("/"), name).alias("item")))
+    return alone[0].unionByName(alone[1])
+
+
+def repeated(rows: DataFrame, times: str) -> DataFrame:
+    """Every row as often as ``times`` says; a much repeated one comes from many tasks, ``REPEATS`` rows at a time."""
+    parts = F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / REPEATS))
+    dealt = rows.withColumn("_part", F.explode(parts))
+    dealt = dealt.repartition(F.xxhash64(*dealt.columns))
+    own = F.least(F.lit(REPEATS), F.col(times) - F.col("_part") * REPEATS).cast("int")
+    return dealt.withColumn("_again", F.explode(F.array_repeat(F.lit(True), own))).drop("_again", "_part", times)
 
 
 def findings(images: DataFrame, labels: DataFrame, *, splits: Sequence[str] = C.SPLITS) -> DataFrame:
@@ -144,10 +158,12 @@ def findings(images: DataFrame, labels: DataFrame, *, splits: Sequence[str] = C.
     lonely = unpaired(images, labels)
     dead = broken.select(F.lit("broken_link").alias("kind"), source.alias("item"))
     no_label = lonely.join(dead.select("item").withColumn("kind", F.lit("missing_label")), ["kind", "item"], "left_anti")
-    texts = labels.withColumn("_stem", stem(F.col("name"))).drop("name").join(
-        present.select("split", stem(F.col("name")).alias("_stem"), "name"), ["split", "_stem"]
-    )
-    lines = line_findings(texts.select(source.alias("source"), "text"))
+    # equal labels and images of one name are read once and counted, their findings repeated
+    label_texts = labels.groupBy("split", stem(F.col("name")).alias("_stem"), "text").agg(F.count("*").alias("_labels"))
+    shown = present.groupBy("split", "name").agg(F.count("*").alias("_images")).withColumn("_stem", stem(F.col("name")))
+    texts = label_texts.join(shown, ["split", "_stem"])
+    texts = texts.groupBy(source.alias("source"), "text").agg(F.sum(F.col("_labels") * F.col("_images")).alias("_times"))
+    lines = repeated(line_findings(texts, carry=["_times"]), "_times")
     twice = names_in_two_splits(images).select(F.lit("name_in_two_splits").alias("kind"), F.col("name").alias("item"))
     same = photos_in_two_splits(present).select(
         F.lit("same_photo_in_two_splits").alias("kind"),

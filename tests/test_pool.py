@@ -277,3 +277,19 @@ def test_build_multi_has_no_leaks(frame):
     counts = {r["split"]: r["frames"] for r in out["counts"].collect()}
     assert counts["holdout"] == 10 and sum(counts.values()) == len(rows) + 10
     assert {r["source"] for r in out["by_source"].collect()} == {"a", "b", "n", "h"}
+
+
+def test_names_that_many_rows_share_are_not_paired(frame, monkeypatch, capsys):
+    monkeypatch.setattr(audit, "REPEATS", 7)
+    images = frame([("train", "a.jpg", f"{i}") for i in range(40)] + [("train", "b.jpg", "b"), ("val", "a.jpg", None)], "split string, name string, content string")
+    labels = frame([("train", "a.txt", "0 x")] * 20 + [("train", "a.txt", "1 0.5 0.5 0.1 0.1")] * 10 + [("test", "c.txt", "")], "split string, name string, text string")
+    read = []
+    monkeypatch.setattr(audit, "line_findings", lambda texts, found=audit.line_findings, **kw: read.append(texts) or found(texts, **kw))
+    found = {(r["kind"], r["item"]): r["n"] for r in audit.findings(images, labels).groupBy("kind", "item").agg(F.count("*").alias("n")).collect()}
+    assert found == {
+        ("bad_line", "train/a.jpg:1"): 800, ("bad_line", "train/a.jpg:1 class 1"): 400, ("missing_label", "train/b.jpg"): 1, ("missing_image", "test/c.txt"): 1,
+        ("broken_link", "val/a.jpg"): 1, ("name_in_two_splits", "a.jpg"): 1, ("empty_split", "test"): 1,
+    }
+    assert read[0].count() == 2  # not 1,200
+    audit.unpaired(images, labels).explain()
+    assert "FullOuter" not in capsys.readouterr().out
