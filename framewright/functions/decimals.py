@@ -28,5 +28,11 @@ def rounded(value: Column, decimals: int) -> Column:
 
 
 def fixed(value: Column, decimals: int) -> Column:
-    """Text with ``decimals`` decimals."""
-    return F.format_string(f"%.{decimals}f", rounded(value, decimals))
+    """Text with ``decimals`` decimals.
+
+    A formatter per value is slow, so usual numbers (up to six decimals) are written as decimals; zero, negative and huge ones are formatted.
+    """
+    text, x = F.format_string(f"%.{decimals}f", rounded(value, decimals)), value.cast("double")
+    if decimals > 6:
+        return text
+    return F.when((x > 0) & (x < 1e6), rounded(value, decimals).cast(f"decimal(18,{decimals})").cast("string")).otherwise(text)

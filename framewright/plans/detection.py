@@ -14,7 +14,7 @@ from framewright.functions.naming import group_of, video_moment
 from framewright.operators import audit, augment, boxes, pool, reports, review, scenes, splits
 from framewright.operators.inference import ask_service, detect, require_service
 from framewright.operators.ranking import ordered_rank, sample_first, sheet_cell
-from framewright.session import pin
+from framewright.session import kept, pin
 from framewright.sources import sinks
 
 
@@ -163,8 +163,8 @@ def sheets(settled: DataFrame, frames: DataFrame, *, columns: int = 8, rows: int
 
 def apply_verdicts(frames: DataFrame, boxes_: DataFrame, answers: DataFrame, verdicts: DataFrame, *, empty_stride: int = 0) -> dict[str, DataFrame]:
     """Review stage four: fates, clean label lines, totals, and what a human must still see."""
-    settled = pin(review.settle_boxes(boxes_, answers, verdicts))
-    fates = review.frame_fates(frames, settled, empty_stride=empty_stride)
+    settled = kept(review.settle_boxes(boxes_, answers, verdicts), "settled")
+    fates = kept(review.frame_fates(frames, settled, empty_stride=empty_stride), "fates")
     return {
         "settled": settled,
         "fates": fates,
@@ -202,7 +202,12 @@ def evaluate(predictions: DataFrame, truths: DataFrame, *, part: str = "split")
 
 
 def store_review(result: dict[str, DataFrame], path: str, *, empty_stride: int = 0) -> None:
-    """Write what :func:`apply_verdicts` settled: fates, queue, label lines, and the lines of disputed frames for a human."""
+    """Write what :func:`apply_verdicts` settled: fates, queue, label lines, and the lines of disputed frames for a human.
+
+    Lines meet the frames they are written for directly, in one join each.
+    """
     sinks.write_fates(review.with_notes(result["fates"], empty_stride=empty_stride), result["queue"], path)
-    sinks.write_label_texts(result["lines"], result["fates"].filter(~F.col("status").isin(C.FATE_DISPUTED, C.FATE_NO_BOXES)), f"{path}/labels")
-    sinks.write_label_texts(result["disputed"], result["fates"].filter(F.col("status") == C.FATE_DISPUTED), f"{path}/disputed")
+    lines = result["settled"].select("file", "index", "fate", review.box_line().alias("line"))
+    fates, waiting = result["fates"], F.col("status").isin(C.FATE_DISPUTED, C.FATE_NO_BOXES)
+    sinks.write_label_texts(lines.filter(F.col("fate") == C.KEEP), fates.filter(~waiting), f"{path}/labels")
+    sinks.write_label_texts(lines.filter(F.col("fate") != C.DROP), fates.filter(F.col("status") == C.FATE_DISPUTED), f"{path}/disputed")

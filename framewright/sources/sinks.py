@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from framewright.functions.decimals import fixed
 from framewright.functions.geometry import stem
+from framewright.session import kept
 
 
 def formatted(df: DataFrame, decimals: dict[str, int]) -> DataFrame:
@@ -33,8 +34,11 @@ def write_boxes(boxes: DataFrame, path: str) -> None:
 
 
 def write_label_texts(lines: DataFrame, frames: DataFrame, path: str) -> None:
-    """Label lines by frame, sorted; every frame has at least one row, an empty one a null line."""
-    rows = frames.select("file").join(lines.select("file", "index", "line"), "file", "left")
+    """Label lines by frame, sorted; every frame has at least one row, an empty one a null line.
+
+    The joined rows are kept first: a range shuffle reads its input twice, once for the bounds.
+    """
+    rows = kept(frames.select("file").join(lines.select("file", "index", "line"), "file", "left"), "label-lines")
     rows.repartitionByRange("file", "index").sortWithinPartitions("file", "index").write.mode("overwrite").parquet(path)
 
 

@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from framewright.functions.decimals import fixed, rounded
 from framewright.operators import boxes, greedy, reports, review
 from framewright.plans import detection
 
@@ -203,3 +204,22 @@ def test_scan_numbers_boxes_and_names_crops(frame):
     got = detection.scan(frames, make, "n").orderBy("number").collect()
     assert [(r["number"], r["file"], r["index"], r["crop"]) for r in got] == [(1, "a.jpg", 0, "a__0.jpg"), (2, "a.jpg", 1, "a__1.jpg"), (3, "b.jpg", 0, "b__0.jpg")]
     assert (got[0]["cx"], got[0]["w"]) == (0.25, 0.5) and abs(got[0]["confidence"] - 0.4) < 1e-9
+
+
+def test_review_is_stored_from_kept_rows(spark, frame, tmp_path):
+    out = detection.apply_verdicts(*case(frame))
+    for name in ("settled", "fates"):  # five writes read them: no join or sum may run again in each
+        plan = out[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan
+    detection.store_review(out, str(tmp_path))
+    read = lambda part: sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/{part}").select("file", "index").collect())
+    assert read("labels") == [("a.jpg", 0), ("b.jpg", 0), ("c.jpg", None)]
+    assert read("disputed") == sorted((r["file"], r["index"]) for r in out["disputed"].collect())
+
+
+def test_fixed_texts_equal_the_formatter(frame):
+    values = [0.0, -0.0, 1e-9, -1e-9, 5e-7, 1.5e-6, 0.125, 0.045, 1 / 3, 999999.9999995, 1e6, 2.5e9, -3.25, None]
+    df = frame([(v,) for v in values], "v double")
+    for n in (0, 2, 4, 6, 8):
+        plain = F.format_string(f"%.{n}f", rounded(F.col("v"), n))
+        assert df.filter(~fixed(F.col("v"), n).eqNullSafe(plain)).count() == 0
