@@ -11,6 +11,9 @@ from framewright.functions.decimals import fixed
 from framewright.functions.geometry import stem
 from framewright.session import kept
 
+#: Lines of one frame that one task writes into a bundle.
+BUNDLE_LINES = 100_000
+
 
 def formatted(df: DataFrame, decimals: dict[str, int]) -> DataFrame:
     """Numbers as text with a fixed count of decimals."""
@@ -72,10 +75,16 @@ def append_answers(answers: DataFrame, path: str) -> None:
 
 
 def write_bundles(queue: DataFrame, lines: DataFrame, path: str, *, class_name: str = "ad_object") -> None:
-    """Task parts for people: frames and their lines, one folder per part."""
+    """Task parts for people: frames and their lines, one folder per part.
+
+    Rows are dealt by part, with no pass for the bounds of ranges, to as many tasks as the session shuffles to: files cost more time
+    than bytes.  Lines of a frame beyond ``BUNDLE_LINES`` go to another task.
+    """
+    width = int(queue.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     frames = queue.select("part", "position", "file").join(lines.select("file", "index", "line"), "file", "left")
     named = frames.withColumn("class_name", F.lit(class_name))
-    named.repartitionByRange("part", "position").write.mode("overwrite").partitionBy("part").parquet(path)
+    beyond = F.coalesce(F.floor(F.col("index") / BUNDLE_LINES), F.lit(0))
+    named.repartition(width, "part", beyond).write.mode("overwrite").partitionBy("part").parquet(path)
 
 
 def write_predictions(predictions: DataFrame, path: str, probabilities: Sequence[str]) -> None:

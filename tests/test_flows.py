@@ -106,6 +106,18 @@ def test_label_texts_keep_empty_frames(spark, frame, tmp_path):
     assert rows == [("a.jpg", "first"), ("a.jpg", "second"), ("b.jpg", None)]
 
 
+def test_bundles_keep_all_lines_of_a_crowded_frame(spark, frame, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "BUNDLE_LINES", 50)
+    queue = frame([(1 + i // 3, i, f"{i}.jpg") for i in range(9)], "part bigint, position bigint, file string")
+    lines = frame([("4.jpg", i, f"line {i}") for i in range(400)] + [("0.jpg", 0, "one")], "file string, index int, line string")
+    sinks.write_bundles(queue, lines, f"{tmp_path}/b")
+    back = spark.read.parquet(f"{tmp_path}/b")
+    assert sorted((r["part"], r["file"]) for r in back.select("part", "file").distinct().collect()) == [(1 + i // 3, f"{i}.jpg") for i in range(9)]
+    assert sorted(r["index"] for r in back.filter("file = '4.jpg'").collect()) == list(range(400))
+    files_ = {p: len(list((tmp_path / "b" / f"part={p}").glob("*.parquet"))) for p in (1, 2, 3)}
+    assert files_[1] == files_[3] == 1 and files_[2] > 1
+
+
 def test_store_reuses_only_the_same_ids(spark, frame, tmp_path):
     calls = []
 
