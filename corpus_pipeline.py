@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.llm import bpe, decontaminate, exact, shingles, toxicity
+from framewright.llm import bpe, decontaminate, exact, shingles, simhash, toxicity
 from framewright.llm.common import stored, table
 
 #: No SQL expresses the learned scorer, the link closure and the merges; the tests compare with brute force.
@@ -23,7 +23,8 @@ def _exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return shingles.drop_near_copies(docs)
+    """Fingerprints (``op1``) find near copies, exact similarity proves them, and bands of minimum hashes add what three bits miss."""
+    return shingles.drop_near_copies(docs, candidates=simhash.near_stars)
 
 
 def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,9 @@ Candidates come from ``BANDS`` bands of ``WIDTH`` minimum hashes each: two texts
 2. Where a bucket still holds several components, its texts meet in one cell and all texts of different components are compared.
    Buckets of equal members are visited once.  A crowded bucket is dealt into a grid of cells, every two slices of it in one.
 
+Another operator may propose stars of near copies first (``candidates``).  They are verified on the texts like any other, and what
+they settle isn't compared again; the bands find the rest.
+
 Links are transitive: a group is a connected component.  Texts with equal sets of shingles collapse before anything joins.
 
 Defined results: words are cut at blanks and compared in lower case (A-Z); a text of fewer words than a shingle is one shingle;
@@ -16,7 +19,7 @@ the stored order, exactly one a group however ids repeat; an empty table gives a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -158,15 +161,32 @@ def _cells(least: float):
     return run
 
 
-def near_links(texts: DataFrame, entries: DataFrame, *, least: float = LEAST, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """Links ``u, v`` that join the texts (``id, text``) which share a bucket (``entries``: ``key, id``) and are near."""
-    count = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first")).filter("n > 1")
-    shared = stored(entries.join(stored(count, "shingle-buckets"), "key").select("key", "id", "first"), "shingle-entries")
-    stars = stored(shared.filter("id != first").select(F.col("first").alias("u"), F.col("id").alias("v")).distinct(), "shingle-stars")
+def verified(stars: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Those of the pairs ``u, v`` whose texts (``id, text``) are near."""
     with_texts = stars.join(texts.select(F.col("id").alias("v"), F.col("text").alias("v_text")), "v")
     with_texts = with_texts.join(texts.select(F.col("id").alias("u"), F.col("text").alias("u_text")), "u")
-    direct = stored(with_texts.select("u", "v", "u_text", "v_text").mapInArrow(_verified(least), "u long, v long"), "shingle-direct")
-    groups = stored(components(shared.select("id").distinct(), direct), "shingle-components")
+    return stored(with_texts.select("u", "v", "u_text", "v_text").mapInArrow(_verified(least), "u long, v long"), "shingle-direct")
+
+
+def _unsettled(stars: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs without those that hang on the same text by known links."""
+    owner = stored(known.groupBy("v").agg(F.min("u").alias("owner")), "shingle-owners")
+    for end in ("u", "v"):
+        stars = stars.join(owner.select(F.col("v").alias(end), F.col("owner").alias(f"{end}_owner")), end, "left")
+    return stars.filter(F.coalesce("u_owner", "u") != F.coalesce("v_owner", "v")).select("u", "v")
+
+
+def near_links(
+    texts: DataFrame, entries: DataFrame, *, least: float = LEAST, slice_rows: int = SLICE_ROWS, stars: DataFrame | None = None
+) -> DataFrame:
+    """Links ``u, v`` that join the texts (``id, text``) which share a bucket (``entries``: ``key, id``) or a star and are near."""
+    known = None if stars is None else verified(stars, texts, least)
+    count = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first")).filter("n > 1")
+    shared = stored(entries.join(stored(count, "shingle-buckets"), "key").select("key", "id", "first"), "shingle-entries")
+    own = stored(shared.filter("id != first").select(F.col("first").alias("u"), F.col("id").alias("v")).distinct(), "shingle-stars")
+    direct = verified(own, texts, least) if known is None else known.unionByName(verified(_unsettled(own, known), texts, least))
+    reached = shared.select("id").unionByName(direct.select(F.explode(F.array("u", "v")).alias("id"))).distinct()
+    groups = stored(components(reached, direct), "shingle-components")
     members = shared.select("key", "id").join(groups, "id")
     mark = F.bit_xor(F.xxhash64("id")), F.bit_xor(F.xxhash64("id", F.lit(1))), F.min("id"), F.count("*")
     still = members.groupBy("key").agg(
@@ -189,15 +209,24 @@ def near_links(texts: DataFrame, entries: DataFrame, *, least: float = LEAST, sl
     return direct.unionByName(rest)
 
 
-def drop_near_copies(docs: DataFrame, *, least: float = LEAST, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """One row of each group of near copies, with all its columns."""
+def drop_near_copies(
+    docs: DataFrame, *, least: float = LEAST, slice_rows: int = SLICE_ROWS, candidates: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """One row of each group of near copies, with all its columns.  ``candidates`` makes stars ``u, v`` from ``id, text``."""
     placed = stored(docs.withColumn("_place", F.monotonically_increasing_id()), "shingle-placed")  # numbered once
     texts = placed.select("_place", F.coalesce("text", F.lit("")).alias("_text"))
     rows = stored(texts.mapInArrow(_sketched, "place long, digest binary, keys array<long>"), "shingle-sketches")
     sets = stored(rows.groupBy("digest").agg(F.min("place").alias("id")), "shingle-sets")
     entries = rows.join(sets, "digest").filter("place = id").select(F.explode("keys").alias("key"), "id")
     contents = texts.select(F.col("_place").alias("id"), F.col("_text").alias("text"))
-    links = near_links(contents, entries, least=least, slice_rows=slice_rows)
+    stars = None
+    if candidates is not None:
+        first = stored(rows.select("place", "digest").join(sets, "digest").select("place", "id"), "shingle-firsts")
+        stars = candidates(contents)
+        for end in ("u", "v"):
+            stars = stars.join(first.select(F.col("place").alias(end), F.col("id").alias(f"{end}_id")), end)
+        stars = stored(stars.select(F.col("u_id").alias("u"), F.col("v_id").alias("v")).filter("u != v").distinct(), "shingle-candidates")
+    links = near_links(contents, entries, least=least, slice_rows=slice_rows, stars=stars)
     groups = stored(components(sets.select("id"), links), "shingle-groups")
     ids = placed.select(F.col("_place").alias("place"), F.col("doc_id").cast("long").alias("doc_id"))
     grouped = rows.select("place", "digest").join(stored(sets.join(groups, "id").select("digest", "group"), "shingle-set-groups"), "digest").join(ids, "place")

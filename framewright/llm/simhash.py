@@ -264,6 +264,12 @@ def near_groups(docs: DataFrame, *, words_per_shingle: int = 3, most_bits: int =
     )
 
 
+def near_stars(texts: DataFrame, *, words_per_shingle: int = 3, most_bits: int = MOST_BITS) -> DataFrame:
+    """Every text (``id, text``) but the first of its near-duplicate group, with that first: ``u`` (first), ``v``."""
+    groups = near_groups(texts.select(F.col("id").alias("doc_id"), "text"), words_per_shingle=words_per_shingle, most_bits=most_bits)
+    return groups.filter("doc_id != component_id").select(F.col("component_id").alias("u"), F.col("doc_id").alias("v"))
+
+
 def drop_near_copies(docs: DataFrame, *, words_per_shingle: int = 3, most_bits: int = MOST_BITS) -> DataFrame:
     """One document of each near-duplicate group, the one of the least id, with all its columns."""
     keep = near_groups(docs, words_per_shingle=words_per_shingle, most_bits=most_bits)

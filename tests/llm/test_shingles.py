@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from framewright.llm import shingles
+from framewright.llm import shingles, simhash
 
 
 def brute_sets(texts):
@@ -115,3 +115,22 @@ def test_recall_of_bands_at_the_bound():
         both, a, b = rng.integers(0, 1 << 63, 400, dtype=np.uint64), rng.integers(0, 1 << 63, 50, dtype=np.uint64), rng.integers(0, 1 << 63, 50, dtype=np.uint64)
         met += bool(np.any(shingles.band_keys(np.concatenate([both, a])) == shingles.band_keys(np.concatenate([both, b]))))
     assert met >= 399
+
+
+def test_the_stage_takes_its_first_links_from_fingerprints(spark, near_rows, monkeypatch):
+    docs = spark.createDataFrame([(i, t, i) for i, t in near_rows], "doc_id long, text string, n long")
+    found, near_stars = [], simhash.near_stars
+
+    def spy(texts):
+        found.append(near_stars(texts))
+        return found[-1]
+
+    monkeypatch.setattr(simhash, "near_stars", spy)
+    assert kept_places(dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, "")) == brute_kept(near_rows)
+    assert len(found) == 1 and found[0].count() > 20
+
+
+def test_proposed_links_are_proved(spark, near_rows):
+    docs = spark.createDataFrame([(i, t, i) for i, t in near_rows], "doc_id long, text string, n long")
+    lone = lambda texts: texts.selectExpr("(SELECT 0L) AS u", "id AS v").filter("v % 2 = 1")
+    assert kept_places(shingles.drop_near_copies(docs.coalesce(1), candidates=lone)) == brute_kept(near_rows)
