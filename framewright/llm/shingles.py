@@ -10,7 +10,7 @@ Candidates come from ``BANDS`` bands of ``WIDTH`` minimum hashes each: two texts
 Another operator may propose stars of near copies first (``candidates``).  They are verified on the texts like any other, and what
 they settle isn't compared again; the bands find the rest.
 
-Links are transitive: a group is a connected component.  Texts with equal sets of shingles collapse before anything joins.
+Links are transitive: a group is a connected component.  The cells link groups, so what the first links settled isn't walked again.  Texts with equal sets of shingles collapse before anything joins.
 
 Defined results: words are cut at blanks and compared in lower case (A-Z); a text of fewer words than a shingle is one shingle;
 null and empty texts have equal (empty) sets; the row that stays is the one of the least ``doc_id`` (null last), then the first in
@@ -141,16 +141,19 @@ def cell_links(ids: list[int], groups: list[int], sides: list[int], texts: list[
 
 
 def _cells(least: float):
+    """Links between groups, from the texts of each cell."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, held = None, []
         schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
         def links():
-            found = cell_links(*map(list, zip(*held)), least) if len(held) > 1 else []
+            groups, sides, texts = map(list, zip(*held)) if held else ([], [], [])
+            found = cell_links(groups, groups, sides, texts, least) if len(held) > 1 else []
             return pa.record_batch([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], schema=schema)
 
         for batch in batches:
-            columns = [batch[c].to_pylist() for c in ("key", "low", "high", "id", "group", "side")]
+            columns = [batch[c].to_pylist() for c in ("key", "low", "high", "group", "side")]
             for key, low, high, *row, text in zip(*columns, as_bytes(batch["text"])):
                 if (key, low, high) != cell:
                     yield links()
@@ -176,10 +179,11 @@ def _unsettled(stars: DataFrame, known: DataFrame) -> DataFrame:
     return stars.filter(F.coalesce("u_owner", "u") != F.coalesce("v_owner", "v")).select("u", "v")
 
 
-def near_links(
+def near_groups(
     texts: DataFrame, entries: DataFrame, *, least: float = LEAST, slice_rows: int = SLICE_ROWS, stars: DataFrame | None = None
-) -> DataFrame:
-    """Links ``u, v`` that join the texts (``id, text``) which share a bucket (``entries``: ``key, id``) or a star and are near."""
+) -> tuple[DataFrame, DataFrame]:
+    """Groups of the texts (``id, text``) which share a bucket (``entries``: ``key, id``) or a star and are near, in two tables:
+    ``id, group`` by the first links, and ``group, whole`` for those groups that the cells join.  Who isn't listed stays apart."""
     known = None if stars is None else verified(stars, texts, least)
     count = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first")).filter("n > 1")
     shared = stored(entries.join(stored(count, "shingle-buckets"), "key").select("key", "id", "first"), "shingle-entries")
@@ -201,12 +205,13 @@ def near_links(
     own = F.pmod(F.xxhash64("id", F.lit(2)), F.col("grid")).cast("int")
     placed = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("grid") - 1)))
     placed = placed.select(
-        "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "group",
+        "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "group",
         (F.col("own") > F.col("other")).cast("int").alias("side"), "text",
     )
     dealt = placed.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
     rest = stored(dealt.mapInArrow(_cells(least), "u long, v long"), "shingle-rest")
-    return direct.unionByName(rest)
+    ends = rest.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+    return groups, stored(components(ends, rest).select(F.col("id").alias("group"), F.col("group").alias("whole")), "shingle-wholes")
 
 
 def drop_near_copies(
@@ -226,9 +231,10 @@ def drop_near_copies(
         for end in ("u", "v"):
             stars = stars.join(first.select(F.col("place").alias(end), F.col("id").alias(f"{end}_id")), end)
         stars = stored(stars.select(F.col("u_id").alias("u"), F.col("v_id").alias("v")).filter("u != v").distinct(), "shingle-candidates")
-    links = near_links(contents, entries, least=least, slice_rows=slice_rows, stars=stars)
-    groups = stored(components(sets.select("id"), links), "shingle-groups")
+    groups, wholes = near_groups(contents, entries, least=least, slice_rows=slice_rows, stars=stars)
+    of_sets = sets.join(groups, "id", "left").select("digest", F.coalesce("group", "id").alias("group")).join(wholes, "group", "left")
+    of_sets = stored(of_sets.select("digest", F.coalesce("whole", "group").alias("group")), "shingle-set-groups")
     ids = placed.select(F.col("_place").alias("place"), F.col("doc_id").cast("long").alias("doc_id"))
-    grouped = rows.select("place", "digest").join(stored(sets.join(groups, "id").select("digest", "group"), "shingle-set-groups"), "digest").join(ids, "place")
+    grouped = rows.select("place", "digest").join(of_sets, "digest").join(ids, "place")
     keep = grouped.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "place")).alias("first"))
     return placed.join(keep.select(F.col("first.place").alias("_place")), "_place", "left_semi").drop("_place")

@@ -265,9 +265,16 @@ def near_groups(docs: DataFrame, *, words_per_shingle: int = 3, most_bits: int =
 
 
 def near_stars(texts: DataFrame, *, words_per_shingle: int = 3, most_bits: int = MOST_BITS) -> DataFrame:
-    """Every text (``id, text``) but the first of its near-duplicate group, with that first: ``u`` (first), ``v``."""
-    groups = near_groups(texts.select(F.col("id").alias("doc_id"), "text"), words_per_shingle=words_per_shingle, most_bits=most_bits)
-    return groups.filter("doc_id != component_id").select(F.col("component_id").alias("u"), F.col("doc_id").alias("v"))
+    """Each text (``id, text``) as ``v`` with another ``u``: the first text of the least fingerprint that its own is linked to,
+    or of its own.  The stars of :func:`near_links` serve as they are, without walking whole components."""
+    docs = texts.select(F.col("id").alias("doc_id"), "text")
+    rows = stored(fingerprints(docs, words_per_shingle=words_per_shingle), "simhash-rows")
+    distinct = stored(rows.groupBy("print").agg(F.min("doc_id").alias("first")), "simhash-prints")
+    links = near_links(distinct.select("print"), most_bits=most_bits)
+    hung = links.groupBy(F.greatest("u", "v").alias("print")).agg(F.min(F.least("u", "v")).alias("least"))
+    firsts = distinct.join(hung, "print", "left").select("print", F.coalesce("least", "print").alias("least"))
+    firsts = firsts.join(distinct.withColumnRenamed("print", "least"), "least").select("print", "first")
+    return rows.join(stored(firsts, "simhash-stars"), "print").filter("doc_id != first").select(F.col("first").alias("u"), F.col("doc_id").alias("v"))
 
 
 def drop_near_copies(docs: DataFrame, *, words_per_shingle: int = 3, most_bits: int = MOST_BITS) -> DataFrame:

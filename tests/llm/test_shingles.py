@@ -134,3 +134,17 @@ def test_proposed_links_are_proved(spark, near_rows):
     docs = spark.createDataFrame([(i, t, i) for i, t in near_rows], "doc_id long, text string, n long")
     lone = lambda texts: texts.selectExpr("(SELECT 0L) AS u", "id AS v").filter("v % 2 = 1")
     assert kept_places(shingles.drop_near_copies(docs.coalesce(1), candidates=lone)) == brute_kept(near_rows)
+
+
+def test_components_are_walked_once_and_then_only_between_groups(spark, near_rows, monkeypatch):
+    docs = spark.createDataFrame([(i, t, i) for i, t in near_rows], "doc_id long, text string, n long")
+    edges = []
+
+    def spy(vertices, links, own=shingles.components):
+        edges.append(links.count())
+        return own(vertices, links)
+
+    monkeypatch.setattr(shingles, "components", spy)
+    monkeypatch.setattr(simhash, "components", spy)
+    assert kept_places(dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, "")) == brute_kept(near_rows)
+    assert len(edges) == 2 and edges[1] < edges[0] / 4
