@@ -313,6 +313,14 @@ def test_longer_contexts_win_where_they_diverge(spark):
     assert any(len(contexts) for contexts, _ in tree.levels[1:])
 
 
+def test_contexts_of_a_tiny_share_stay_by_their_evidence(spark):
+    common = spark.range(150).selectExpr("repeat('ab ab ac ', 5000) AS text")
+    rare = spark.createDataFrame([("zqa wqb " * 30,)], "text string")
+    tree = suffix_tree.learn(common.unionByName(rare))
+    for likely, unlikely in ((b"zqa", b"zqb"), (b"wqb", b"wqa")):
+        assert tree.spelled([likely])[0] > tree.spelled([unlikely])[0] + 0.5
+
+
 # toxicity
 
 
