@@ -58,7 +58,7 @@ def src07(d):
     path = scratch_path(d.spark, "outcomes")
     empty = F.lit("")
     rows = d.documents.select(
-        F.concat("doc_id", F.lit(".jpg")).alias("file"), F.lit("other").alias("brand"), empty.alias("raw_brand"),
+        F.concat_ws("", "doc_id", F.lit(".jpg")).alias("file"), F.lit("other").alias("brand"), empty.alias("raw_brand"),
         empty.alias("basis"), empty.alias("verdict"), F.col("lang").alias("truth"), F.col("text").alias("visible_text"),
         empty.alias("evidence"), empty.alias("error"),
     )

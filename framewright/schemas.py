@@ -28,6 +28,9 @@ BOX_CATEGORIES = (
 KEPT_CATEGORIES = ("ad_surface", "storefront_sign", "vehicle_ad")
 CATEGORY_ERROR = "error"
 
+# Fixed value: an unquoted empty cell of a CSV file is null, a quoted one an empty text; so is this cell, and a text like it gets one more backslash.
+NULL_CELL = "\\N"
+
 CONFIRMED, REVIEW, REJECTED = "confirmed", "review", "rejected"
 BASIS_NAME, BASIS_LOGO, BASIS_COLORS = "name_read", "logo_only", "colors_only"
 OTHER, UNCLEAR, UNSURE = "other", "unclear", "unsure"

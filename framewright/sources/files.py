@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from framewright import schemas as C
 from framewright.functions.geometry import stem
@@ -157,18 +158,18 @@ def read_class_folders(spark: SparkSession, root: str, brands: Sequence[str]) ->
 
 
 def read_table(spark: SparkSession, path: str, schema, *, optional: bool = False) -> DataFrame:
-    """CSV with a fixed schema; quoted fields may span lines.  A missing optional table is empty."""
+    """CSV with a fixed schema; quoted fields may span lines.  A missing optional table is empty.
+
+    An unquoted empty cell is null (as is ``\\N``), a quoted one an empty text.
+    """
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     if optional and not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
         return spark.createDataFrame([], schema)
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(_folder(spark, path))
-    )
+    reader = spark.read.schema(schema).options(header=True, multiLine=True, quote='"', escape='"', nullValue=C.NULL_CELL)
+    # without it a zero character beside a quote is taken for an escape
+    rows = reader.option("charToEscapeQuoteEscaping", '"').csv(_folder(spark, path))
+    texts = [f.name for f in rows.schema if isinstance(f.dataType, StringType)]
+    return rows.withColumns({c: F.when(F.col(c).rlike(r"^\\{2,}N\z"), F.substr(F.col(c), F.lit(2))).otherwise(F.col(c)) for c in texts})
 
 
 def read_outcomes(spark: SparkSession, path: str) -> DataFrame:

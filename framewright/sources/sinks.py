@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from framewright.functions.decimals import fixed
 from framewright.functions.geometry import stem
@@ -21,7 +22,11 @@ def formatted(df: DataFrame, decimals: dict[str, int]) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    """Every text comes back from ``files.read_table`` as it was: white space at its ends, empty texts, control characters and all."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, StringType)]
+    escaped = {c: F.when(F.col(c).rlike(r"^\\+N\z"), F.concat(F.lit("\\"), c)).otherwise(F.col(c)) for c in texts}
+    whole = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}  # Spark's writer would trim
+    df.withColumns(escaped).write.mode(mode).options(header=True, quote='"', escape='"', **whole).csv(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:
