@@ -610,6 +610,6 @@ def jn07(d):
        UNION ALL SELECT number, file, place, confidence, true FROM fresh""",
 )
 def jn07_merged(d):
-    base = ordered_rank(d.scans.filter("scan = 'F'"), ["id"], rank="number").drop("id")
+    base = ordered_rank(d.scans.filter("scan = 'F'").drop("scan"), ["id"], rank="number").drop("id")
     merged = boxes.merged_scan(base, d.scans.filter("scan = 'O'"), iou_min=0.6)
     return merged.select("number", "file", F.col("index").cast("long").alias("place"), "confidence", "added")

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,6 +20,8 @@ from framewright.session import pin
 SIDES = ("cx", "cy", "w", "h")
 #: Bands per unit of confidence in which precision-recall curves are built.
 CONFIDENCE_BANDS = 4096
+#: Boxes of a file that are compared all with all, pairs that a task holds at once, and sides beyond which sums of areas may overflow.
+CROWD, PAIRS_AT_ONCE, FARTHEST = 500, 300_000, 1e100
 IOU_STEPS = tuple(round(0.5 + 0.05 * k, 2) for k in range(10))
 
 
@@ -68,13 +73,71 @@ def overlap_pairs(left: DataFrame, right: DataFrame, *, iou_min: float, keep: Se
     )
 
 
-def merge_scans(base: DataFrame, extra: DataFrame, *, iou_min: float = 0.6) -> DataFrame:
-    """Boxes of a second scan that the first one lacks.
-
-    An extra box is refused when it overlaps a box of the first scan, or an
-    extra box accepted before it (order: ``id``).  Both need
-    ``id, file, cx, cy, w, h``.
-    """
+def _judged(rows: pa.Table, iou_min: float, carried: Sequence[str]) -> pa.RecordBatch:
+    """Whole files in order of file, first scan before second, ``id`` → the boxes of the second scan that stay, and their indexes."""
+    code = pc.dictionary_encode(rows["file"].combine_chunks()).indices.to_numpy()
+    begins = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    group = np.repeat(np.arange(len(begins)), np.diff(np.r_[begins, len(code)]))
+    extra = rows["_extra"].to_numpy()
+    cx, cy, w, h = (rows[f"_{s}"].to_numpy() for s in SIDES)
+    solid = (w > 0) & (h > 0)
+    lost = np.zeros(len(code), bool)
+    before = np.where(extra & solid, np.arange(len(code)) - begins[group], 0)  # boxes of the file that a box meets
+    cuts = np.flatnonzero(np.diff(np.cumsum(before)[np.r_[begins[1:] - 1, len(code) - 1]] // PAIRS_AT_ONCE, prepend=0)) if len(code) else []
+    for low, high in zip(np.r_[0, begins[cuts]], np.r_[begins[cuts], len(code)]):
+        n = before[low:high]
+        later = np.repeat(np.arange(low, high), n)
+        earlier = begins[group[later]] + np.arange(len(later)) - np.repeat(np.cumsum(n) - n, n)
+        across = np.minimum((cx + w / 2)[later], (cx + w / 2)[earlier]) - np.maximum((cx - w / 2)[later], (cx - w / 2)[earlier])
+        down = np.minimum((cy + h / 2)[later], (cy + h / 2)[earlier]) - np.maximum((cy - h / 2)[later], (cy - h / 2)[earlier])
+        shared = np.maximum(0.0, across) * np.maximum(0.0, down)
+        met = solid[earlier] & (shared * (1.0 + iou_min) >= iou_min * ((w * h)[later] + (w * h)[earlier]))
+        earlier, later = earlier[met], later[met]
+        first = ~extra[earlier]
+        lost[later[first]] = True
+        for one, other in zip(earlier[~first].tolist(), later[~first].tolist()):
+            if not lost[one]:
+                lost[other] = True
+    stays = extra & ~lost
+    none = np.iinfo(np.int64).min
+    top = np.maximum.reduceat(pc.fill_null(rows["_at"], none).to_numpy(), begins) if len(code) else begins
+    upto = np.cumsum(stays)
+    place = np.where(top == none, 0, top + 1)[group] + upto - 1 - (upto - stays)[begins][group]
+    kept = rows.select(carried).filter(pa.array(stays)).combine_chunks()
+    return pa.record_batch([*[c.combine_chunks() for c in kept.columns], pa.array(place[stays])], names=[*carried, "_index"])
+
+
+def _judge_files(iou_min: float, carried: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = (rows if held is None else pa.concat_tables([held, rows])).combine_chunks()
+            last = pc.index(rows["file"], rows["file"][-1]).as_py()  # the last file may go on
+            if last:
+                yield _judged(rows.slice(0, last), iou_min, carried)
+            held = rows.slice(last)
+        if held is not None:
+            yield _judged(held, iou_min, carried)
+
+    return run
+
+
+def _crowded(base: DataFrame, extra: DataFrame) -> DataFrame | None:
+    """Files that are not judged whole: very full ones, and those with a box whose sides are no numbers; None where there are none."""
+    wild = F.lit(False)
+    for side in SIDES:
+        wild = wild | F.coalesce(F.isnan(side) | (F.abs(side) > FARTHEST), F.lit(True))
+    files = [df.filter("file IS NOT NULL").select("file", wild.alias("_wild")) for df in (base, extra)]
+    sizes = files[0].unionByName(files[1]).groupBy("file").agg(F.count("*").alias("_n"), F.max("_wild").alias("_wild"))
+    found = pin(sizes.filter((F.col("_n") > CROWD) | F.col("_wild")).select("file"))
+    return None if found.isEmpty() else found
+
+
+def _crowd_winners(base: DataFrame, extra: DataFrame, iou_min: float) -> DataFrame:
+    """The boxes of ``extra`` that stay, by bands and blocks, for files of any size."""
     solid = (F.col("w") > 0) & (F.col("h") > 0)
     # exact twins share all conflicts and conflict with each other: only the first can win, and each place of the first scan counts once
     first = pin(extra.filter(solid).groupBy("file", *SIDES).agg(F.min("id").alias("id")))
@@ -89,6 +152,37 @@ def merge_scans(base: DataFrame, extra: DataFrame, *, iou_min: float = 0.6) -> D
     return extra.join(winners, "id", "left_semi")
 
 
+def _winners(base: DataFrame, extra: DataFrame, iou_min: float) -> tuple[DataFrame, DataFrame]:
+    """Boxes of ``extra`` that stay: of files judged whole, with ``_index`` behind the largest ``index`` of the base; of all others."""
+    carried, crowded = extra.columns, _crowded(base, extra)
+    whole = lambda df: df.filter("file IS NOT NULL")
+    others = [df.filter("file IS NULL") for df in (base, extra)]
+    if crowded is not None:
+        whole = lambda df: df.filter("file IS NOT NULL").join(crowded, "file", "left_anti")
+        others = [own.unionByName(df.join(crowded, "file", "left_semi").select(*df.columns)) for own, df in zip(others, (base, extra))]
+    sides = [F.col(s).cast("double").alias(f"_{s}") for s in SIDES]
+    at = F.col("index").cast("long") if "index" in base.columns else F.lit(None).cast("long")
+    known = whole(base).select("file", *sides, at.alias("_at"), F.lit(False).alias("_extra"))
+    later = whole(extra).select(*carried, *sides, F.lit(None).cast("long").alias("_at"), F.lit(True).alias("_extra"))
+    rows = later.unionByName(known, allowMissingColumns=True).repartition("file").sortWithinPartitions("file", "_extra", "id")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in extra.schema)
+    settled = rows.mapInArrow(_judge_files(iou_min, carried), f"{kinds}, _index long")
+    return settled, others[1].limit(0) if crowded is None and others[1].isEmpty() else _crowd_winners(*others, iou_min)
+
+
+def merge_scans(base: DataFrame, extra: DataFrame, *, iou_min: float = 0.6) -> DataFrame:
+    """Boxes of a second scan that the first one lacks.
+
+    An extra box is refused when it overlaps a box of the first scan, or an extra box accepted before it (order: ``id``).  Both need
+    ``id, file, cx, cy, w, h``; further columns of ``extra`` go through the shuffle, so leave out what isn't needed.
+
+    A file of up to ``CROWD`` boxes is judged whole: one shuffle by file, all its pairs at once.  Fuller files are spread over bands
+    (:func:`overlap_pairs`) and settled in blocks.
+    """
+    settled, others = _winners(base, extra, iou_min)
+    return settled.drop("_index").unionByName(others.select(*extra.columns))
+
+
 def merged_scan(base: DataFrame, extra: DataFrame, *, iou_min: float = 0.6) -> DataFrame:
     """The first scan with the new boxes of a second one added, numbers and indexes continued.
 
@@ -96,15 +190,18 @@ def merged_scan(base: DataFrame, extra: DataFrame, *, iou_min: float = 0.6) -> D
     Base rows stay as they are.  New boxes are numbered on in the order of ``id`` over all files, and in their file from the largest index
     on; a file that the first scan doesn't know begins at 0.  ``added`` tells them apart.
     """
-    kept = ["file", *SIDES, "confidence"]
-    fresh = merge_scans(base.withColumn("id", F.col("number")), extra, iou_min=iou_min).select("id", *kept)
-    ranked = ordered_rank(ordered_rank(fresh, ["id"], rank="_on"), ["id"], groups=["file"], rank="_in")
+    shown = ["file", *SIDES, "confidence"]
+    settled, others = _winners(base.withColumn("id", F.col("number")), extra.select("id", *shown), iou_min)
+    if not others.isEmpty():
+        used = pin(base.groupBy("file").agg((F.max("index") + 1).alias("_used")))
+        ranked = ordered_rank(others, ["id"], groups=["file"], rank="_in").join(used, "file", "left")
+        place = (F.coalesce("_used", F.lit(0)) + F.col("_in") - 1).cast("long").alias("_index")
+        settled = settled.unionByName(ranked.select("id", *shown, place))
     top = F.coalesce(base.agg(F.max("number")).scalar(), F.lit(0))
-    used = pin(base.groupBy("file").agg((F.max("index") + 1).alias("_used")))
-    more = ranked.join(used, "file", "left").select(
-        (F.col("_on") + top).alias("number"), (F.coalesce("_used", F.lit(0)) + F.col("_in") - 1).alias("index"), *kept, F.lit(True).alias("added")
+    more = ordered_rank(settled, ["id"], rank="_on").select(
+        (F.col("_on") + top).alias("number"), F.col("_index").alias("index"), *shown, F.lit(True).alias("added")
     )
-    return base.select("number", "index", *kept, F.lit(False).alias("added")).unionByName(more)
+    return base.select("number", "index", *shown, F.lit(False).alias("added")).unionByName(more)
 
 
 def number_boxes(boxes: DataFrame, order: Sequence[str], *, after: DataFrame | None = None) -> DataFrame:

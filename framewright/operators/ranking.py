@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from framewright.functions.chance import shuffle_key
-from framewright.session import pin
+from framewright.session import kept
 
 _BEFORE = (W.unboundedPreceding, -1)
 _POSITION_BITS = (1 << 33) - 1
@@ -57,7 +57,7 @@ def ordered_rank(
     order, which the same range shuffle gives.
 
     A range shuffle sorts the table over many tasks; a group that is too large
-    for one range spreads over several.  The placed rows are pinned once, so
+    for one range spreads over several.  The placed rows are kept once, packed, so
     that counting them and numbering them see the same ranges.
     """
     cols = [F.col(c) if isinstance(c, str) else c for c in (*groups, *order)]
@@ -67,15 +67,17 @@ def ordered_rank(
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS)))
     )
-    placed = pin(placed)
+    placed = kept(placed, "ranked")
     if overall:
         parts = placed.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
         parts = _offsets(parts, (), "_part").select("_part", "_first", F.col("_offset").alias("_ahead"))
-        placed = placed.join(parts, "_part")  # one row per range
+        placed = placed.join(F.broadcast(parts), "_part")  # one row per range
         placed = placed.withColumn(overall, F.col("_ahead") + F.col("_place") - F.col("_first") + 1).drop("_ahead", "_first")
     by = ["_part", *groups]
     tally = placed.groupBy(*by).agg(F.count("*").alias("_n"), F.min("_place").alias("_start"))
     tally = _offsets(tally, groups, "_part").drop("_n")
+    if not groups:
+        tally = F.broadcast(tally)  # one row per range
     return (
         placed.join(tally, by)
         .withColumn(rank, F.col("_offset") + F.col("_place") - F.col("_start") + 1)

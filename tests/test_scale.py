@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from catalog import QUERIES
@@ -74,6 +75,16 @@ def test_a_crowd_of_copies_costs_one_link_each(spark):
     assert sizes["count"] >= 1000 and sizes["group"] == 0
 
 
+def _boxes_of_files(spark, seed):
+    """Files of 1 to 40 boxes, some of which overlap."""
+    rows = spark.range(1200).withColumn("n", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1_000_000)))
+    file = F.when(F.col("id") < 200, F.floor(F.col("id") / 40)).otherwise(F.floor(F.col("id") / 3))
+    return rows.select(
+        F.format_string("b%07d-%d", "n", "id").alias("id"), F.concat(F.lit("f"), file.cast("string")).alias("file"), (F.col("n") % 7 / 20.0 + 0.2).alias("cx"),
+        (F.col("n") % 11 / 40.0 + 0.2).alias("cy"), (F.col("n") % 3 / 30.0 + 0.3).alias("w"), (F.col("n") % 5 / 50.0 + 0.3).alias("h"),
+    )
+
+
 def test_one_full_file_compares_neighbours_only(spark):
     rows = spark.range(3000).select(
         F.col("id").cast("string").alias("id"), F.lit("hot").alias("file"),
@@ -85,6 +96,33 @@ def test_one_full_file_compares_neighbours_only(spark):
     assert pairs.count() < 3000 * 20
 
 
+def test_files_of_usual_size_are_shuffled_once_for_a_merge(spark, tmp_path):
+    base, extra = (_boxes_of_files(spark, seed).repartition(3) for seed in (0, 1))
+    for df, name in ((base, "base"), (extra, "extra")):
+        df.write.parquet(f"{tmp_path}/{name}")
+    base, extra = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("base", "extra"))
+    merged = boxes.merge_scans(base, extra)
+    assert plan(merged).count("Exchange") == 1 and "Join" not in plan(merged)
+
+
+def test_merging_files_whole_equals_bands(spark, monkeypatch):
+    base, extra = _boxes_of_files(spark, 0), _boxes_of_files(spark, 1)
+    numbered = base.select((F.row_number().over(W.orderBy("id"))).alias("number"), "file", F.lit(4).alias("index"), *boxes.SIDES, F.lit(0.5).alias("confidence"))
+    extra = extra.withColumn("confidence", F.lit(0.25))
+
+    def both():
+        merged = boxes.merged_scan(numbered, extra).select("number", "file", "index", "added")
+        return sorted(r["id"] for r in boxes.merge_scans(base, extra).collect()), sorted(map(tuple, merged.collect()))
+
+    whole = both()
+    assert 0 < len(whole[0]) < extra.count()
+    monkeypatch.setattr(boxes, "PAIRS_AT_ONCE", 50)
+    assert both() == whole
+    for crowd in (20, 0):  # some files by bands, all files by bands
+        monkeypatch.setattr(boxes, "CROWD", crowd)
+        assert both() == whole
+
+
 def test_a_crowd_of_equal_boxes_is_compared_once(spark, monkeypatch):
     sizes = []
     monkeypatch.setattr(boxes, "overlap_pairs", lambda a, b, pairs=boxes.overlap_pairs, **k: sizes.append((a.count(), b.count())) or pairs(a, b, **k))
