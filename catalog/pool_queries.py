@@ -582,8 +582,8 @@ def ag31(d):
        SELECT accepted AS id FROM walk WHERE accepted <> ''""",
 )
 def jn07(d):
-    scans = d.scans
-    return boxes.merge_scans(scans.filter("scan = 'F'"), scans.filter("scan = 'O'"), iou_min=0.6).select("id")
+    scans = d.scans.select("id", "file", *boxes.SIDES, "scan")
+    return boxes.merge_scans(scans.filter("scan = 'F'").drop("scan"), scans.filter("scan = 'O'").drop("scan"), iou_min=0.6).select("id")
 
 
 @query(
