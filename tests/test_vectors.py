@@ -304,3 +304,36 @@ def test_area_sums_travel_by_target_row(spark, capsys):
     assert sum(r["n"] for r in cells) == len(rows)
     got.explain()
     assert "Generate" not in capsys.readouterr().out  # no row for each pixel and cell
+
+
+def test_area_sums_of_packed_pixels_equal_the_plain_sum(spark, frame, monkeypatch):
+    monkeypatch.setattr(resample, "BLOCK", 4)
+    monkeypatch.setattr(resample, "RUNS_AT_ONCE", 3)
+    rng = np.random.default_rng(7)
+    sizes = {1: (30, 23), 2: (70, 9), 3: (6, 5), 4: (19, 40), None: (12, 33)}  # some shrink little, some much, one not at all
+    rows = [(i, x, y, w, h, int(v)) for i, (w, h) in sizes.items() for y in range(h) for x in range(w) for v in [rng.integers(0, 256)]]
+    rows = [r for r in rows if rng.random() > 0.03]  # some are missing, some come twice
+    rows += [rows[int(i)] for i in rng.integers(0, len(rows), 40)] + [(1, 2, 3, 30, 23, 70_000), (1, 2, 4, 30, 23, -5)]
+    want = {}
+    for i, x, y, w, h, v in rows:
+        nw, nh = min(w, 17), min(h, 19)
+        for tx in range(x * nw // w, ((x + 1) * nw - 1) // w + 1):
+            for ty in range(y * nh // h, ((y + 1) * nh - 1) // h + 1):
+                share = (min((x + 1) * nw, (tx + 1) * w) - max(x * nw, tx * w)) * (min((y + 1) * nh, (ty + 1) * h) - max(y * nh, ty * h))
+                want[i, tx, ty] = want.get((i, tx, ty), 0) + share * v
+    rng.shuffle(rows)
+    pixels = frame([tuple(None if c is None else int(c) for c in r) for r in rows], "img int, x int, y int, width int, height int, v int").repartition(3)
+    got = resample.area_sums(pixels, F.least("width", F.lit(17)), F.least("height", F.lit(19)), channels=["v"]).collect()
+    assert {(r["img"], r["x"], r["y"]): r["v"] for r in got} == want and len(got) == len(want)
+
+
+def test_pixels_of_pictures_that_shrink_little_travel_as_bytes():
+    import pyarrow as pa
+
+    place = np.arange(192 * 52)
+    columns = {"img": np.zeros(len(place), np.int64), "x": place % 192, "y": place // 192, "width": 0 * place + 192, "height": 0 * place + 900}
+    columns |= {"_new_w": 0 * place + 34, "_new_h": 0 * place + 160, "r": place % 256, "g": place % 255}
+    for new_w, new_h, most in ((160, 750, 2.2), (34, 160, 2.2)):
+        columns |= {"_new_w": 0 * place + new_w, "_new_h": 0 * place + new_h}
+        sent = list(resample._runs_of_pixels(["r", "g"])(iter([pa.record_batch({k: pa.array(v) for k, v in columns.items()})])))
+        assert sum(len(b) for s in sent for c in ("r", "g") for b in s[c].to_pylist()) < most * len(place)
