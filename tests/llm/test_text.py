@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from framewright.llm import bpe, decontaminate, license_scan, secret_scan, suffix_tree, token_files, toxicity
@@ -299,6 +300,27 @@ def test_word_counts_and_base(docs, odd, corpus, empty, monkeypatch):
     assert suffix_tree.scores(empty).count() == 0
 
 
+def test_every_training_word_has_its_own_mass(docs, corpus, monkeypatch):
+    split = [((i is not None and zlib.crc32(str(i).encode()) % 7 == 2), (t or "").encode().lower()) for i, t in corpus]
+    counts = {}
+    for held, text in split:
+        for w in [*text.split(), b""] if not held else ():
+            counts[w] = counts.get(w, 0) + 1
+    n, v = sum(counts.values()), len(counts)
+    learned = docs.filter(~suffix_tree.is_held_out(F.col("doc_id")))
+    tree = suffix_tree.learn(learned.select("text"))
+    want = []
+    for _, text in split:
+        own = np.array([counts.get(w, 0) for w in [*text.split(), b""]])
+        want.append(np.log10(own / (n + v) + v / (n + v) * 10.0 ** tree.spelled([text])).sum())
+    monkeypatch.setattr(suffix_tree, "PART_BYTES", 20_000)
+    monkeypatch.setattr(suffix_tree, "GROUP_BYTES", 5_000)
+    for frequent in (1e-6, 0.002, 1.0):  # who is sent to all tasks changes no score
+        monkeypatch.setattr(suffix_tree, "FREQUENT", frequent)
+        got = [r["score"] for r in suffix_tree.scores(docs).collect()]
+        assert np.allclose(sorted(got), sorted(want), rtol=1e-9, atol=1e-6)
+
+
 def test_the_tree_is_a_distribution(docs):
     tree = suffix_tree.learn(docs.select("text"))
     assert np.allclose((10.0 ** tree.logs.astype(float)).sum(axis=1), 1, atol=1e-4)
